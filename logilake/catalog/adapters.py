@@ -24,13 +24,15 @@ CUT = "1998-07-01"
 
 
 class Tables:
-    """The parquet tables of one scale factor; attribute access reads one."""
+    """The parquet tables of one scale factor; attribute access opens one, once."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.dir = spark, sf_dir.rstrip("/")
 
     def __getattr__(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.dir}/{name}.parquet")
+        df = self.spark.read.parquet(f"{self.dir}/{name}.parquet")
+        setattr(self, name, df)
+        return df
 
 
 def ts(column: str) -> Column:
@@ -114,9 +116,11 @@ def gazetteer(places: DataFrame) -> DataFrame:
     )
 
 
-def locations(t: Tables, top_n: int | None = None) -> DataFrame:
-    places = all_places(t)
-    return dims.dim_location(places, gazetteer(places), at("2024-01-01"), top_n)
+def locations(t: Tables) -> DataFrame:
+    """The published location table, as the facts read it: every address that customers or suppliers have."""
+    names = ("address_raw", "addr_norm", "lat", "lon")
+    places = all_places(t).groupBy("addr_hash").agg(*[F.min(c).alias(c) for c in names])
+    return places.select(F.col("addr_hash").alias("location_id"), *names, F.col("addr_norm").alias("addr_norm_ascii"))
 
 
 def warehouse_code(key: Column) -> Column:

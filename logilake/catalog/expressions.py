@@ -226,7 +226,7 @@ def envelope_flatten(t: Tables) -> DataFrame:
 @query("silver_fact", _FACT_SQL)
 def silver_fact(t: Tables) -> DataFrame:
     """Documents written as files, then one batch run of the sales order entity (which requires its key only)."""
-    entity = ENTITIES["sales_order"]
+    entity = replace(ENTITIES["sales_order"], partition_unit="year")
     raw = work_dir(t.spark, "raw")
     _documents(a.raw_sales_orders(t), entity.name).write.option("compression", "gzip").text(raw)
     paths = silver.SilverPaths(work_dir(t.spark, "silver"))
@@ -238,7 +238,7 @@ def silver_fact(t: Tables) -> DataFrame:
 @query("stream_intake", _FACT_SQL)
 def stream_intake(t: Tables) -> DataFrame:
     """Orders before the cut arrive first, the others next; a third run finds nothing new."""
-    entity = ENTITIES["sales_order"]
+    entity = replace(ENTITIES["sales_order"], partition_unit="year")
     raw, checkpoint = work_dir(t.spark, "raw"), work_dir(t.spark, "checkpoint")
     paths = silver.SilverPaths(work_dir(t.spark, "stream"))
     early = F.col("o_orderdate") < F.lit(a.CUT)

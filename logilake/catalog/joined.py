@@ -50,7 +50,7 @@ def cascade_lookup(t: Tables) -> DataFrame:
         (raw, F.lower("n_name")),
         (text.normalise_address(raw), text.normalise_address(F.col("n_name"))),
     ]
-    found = joins.cascade_lookup(left, t.nation, stages, "n_nationkey", "nationkey", "stage")
+    found = joins.cascade_lookup(left, t.nation, ["spelled"], stages, "n_nationkey", "nationkey", "stage")
     return found.select("c_custkey", F.coalesce("nationkey", F.lit(-1)).alias("nationkey"), F.coalesce("stage", F.lit(0)).alias("stage"))
 
 
@@ -63,7 +63,7 @@ def best_coverage_join(t: Tables) -> DataFrame:
     lines = t.lineitem.select("l_orderkey", "l_linenumber", "l_suppkey", a.padded(F.col("l_orderkey"), 10).alias("doc"))
     orders = t.orders.select(F.concat(F.lit(" "), F.col("o_orderkey").cast("string")).alias("order_no"), "o_custkey", "o_orderdate")
     as_text = [(F.col("doc"), F.col("order_no"))]
-    numeric = [(text.last_digits(F.col("doc")), F.trim("order_no").try_cast("bigint"))]
+    numeric = [(text.last_digits(F.col("doc")), text.to_integer(F.col("order_no")))]
     joined = joins.best_coverage_join(lines, orders, [as_text, numeric], "inner")
     return joined.select("l_orderkey", "l_linenumber", "l_suppkey", "o_custkey", "o_orderdate")
 

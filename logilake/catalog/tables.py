@@ -109,7 +109,8 @@ def dim_time(t: Tables) -> DataFrame:
 )
 def dim_location(t: Tables) -> DataFrame:
     """The 5000 most frequent addresses, which is the operator's own limit."""
-    dim = a.locations(t, top_n=5000)
+    places = a.all_places(t)
+    dim = dims.dim_location(places, a.gazetteer(places), at("2024-01-01"), top_n=5000)
     return dim.select("location_id", "address_raw", "addr_norm", "lat", "lon", "addr_norm_ascii")
 
 
@@ -446,8 +447,8 @@ def routes_summary(t: Tables) -> DataFrame:
 
 @query(
     "weekly_distance",
-    f"""{_ROUTES} SELECT CAST(date_trunc('week', last_trip_at) AS DATE) AS week, {rnd("avg(avg_distance_km)", 3)} AS avg_distance_km,
-      {rnd("avg(avg_network_duration_min)", 2)} AS avg_network_duration_min FROM routes GROUP BY 1""",
+    f"""{_ROUTES} SELECT CAST(date_trunc('week', last_trip_at) AS DATE) AS week, {rnd("avg(CAST(avg_distance_km AS DECIMAL(24,6)))", 3)} AS avg_distance_km,
+      {rnd("avg(CAST(avg_network_duration_min AS DECIMAL(24,6)))", 2)} AS avg_network_duration_min FROM routes GROUP BY 1""",
     ("week",),
 )
 def weekly_distance(t: Tables) -> DataFrame:
@@ -457,7 +458,7 @@ def weekly_distance(t: Tables) -> DataFrame:
 @query(
     "weekly_eta_error",
     f"""{_ROUTES} SELECT CAST(last_trip_at AS DATE) - CAST(dayofweek(last_trip_at) AS INTEGER) AS week,
-      {rnd("avg(avg_eta_error_min)", 4)} AS avg_eta_error_min, {rnd("avg(avg_abs_eta_error_min)", 4)} AS avg_abs_eta_error_min FROM routes GROUP BY 1""",
+      {rnd("avg(CAST(avg_eta_error_min AS DECIMAL(24,6)))", 4)} AS avg_eta_error_min, {rnd("avg(CAST(avg_abs_eta_error_min AS DECIMAL(24,6)))", 4)} AS avg_abs_eta_error_min FROM routes GROUP BY 1""",
     ("week",),
 )
 def weekly_eta_error(t: Tables) -> DataFrame:
@@ -513,7 +514,7 @@ _SHIP_SQL = """
       CAST(sum(days) AS DOUBLE) / count(*) AS avg_days, CAST(count(*) FILTER (WHERE days > 60) AS DOUBLE) / count(*) * 100 AS pct_delayed FROM sh GROUP BY ALL),
     u AS (SELECT region, carrier, month, 'trips' AS metric, trips AS value FROM m UNION ALL SELECT region, carrier, month, 'quantity', quantity FROM m
       UNION ALL SELECT region, carrier, month, 'avg_days', avg_days FROM m UNION ALL SELECT region, carrier, month, 'pct_delayed', pct_delayed FROM m)
-    SELECT u.region, u.carrier, u.month, u.metric, {rnd("u.value", 6)} AS value, {rnd("CASE WHEN p.value <> 0 THEN u.value / p.value - 1 END", 6)} AS yoy_change
+    SELECT u.region, u.carrier, u.month, u.metric, u.value, CASE WHEN p.value <> 0 THEN u.value / p.value - 1 END AS yoy_change
     FROM u LEFT JOIN u p ON u.region = p.region AND u.carrier = p.carrier AND u.metric = p.metric AND u.month = CAST(p.month + INTERVAL 12 MONTH AS DATE)
     """,
     ("month",),
@@ -526,8 +527,7 @@ def kpi_monthly_yoy(t: Tables) -> DataFrame:
         "avg_days": F.sum("days") / count,
         "pct_delayed": F.count_if(F.col("days") > 60) / count * 100,
     }
-    table = kpis.monthly_kpis(_shipments(t), ["region", "carrier"], "shipped_at", metrics)
-    return table.withColumns({c: F.round(c, 6) for c in ("value", "yoy_change")})
+    return kpis.monthly_kpis(_shipments(t), ["region", "carrier"], "shipped_at", metrics)
 
 
 @query(

@@ -5,20 +5,18 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from logilake.functions.text import to_integer
+
 # Text forms of the source system's dates and times of day.
 ODATA_DATE = r"/Date\((\d+)\)/"
-ISO_DURATION = r"PT(?:([0-9]+)H)?(?:([0-9]+)M)?(?:([0-9]+)S)?"
-CLOCK_HMS = r"^([0-9]{1,2}):([0-9]{2}):([0-9]{2})$"
-CLOCK_HM = r"^([0-9]{1,2}):([0-9]{2})$"
-
-# timestamp_millis works in microseconds, so larger values would overflow a long.
-_MAX_MILLIS = (2**63 - 1) // 1000
+ISO_DURATION = r"^PT(?:([0-9]+)H)?(?:([0-9]+)M)?(?:([0-9]+)S)?.*$"
+CLOCK = r"^[0-9]{1,2}:[0-9]{2}(:[0-9]{2})?$"
 
 
 def odata_date(raw: Column) -> Column:
-    """``/Date(1471392000000)/`` to a timestamp."""
-    millis = F.regexp_extract(raw, ODATA_DATE, 1).try_cast("bigint")
-    return F.timestamp_millis(F.when(millis <= _MAX_MILLIS, millis))
+    """``/Date(1471392000000)/`` to a timestamp; a value beyond the range of timestamps gives null."""
+    millis = to_integer(F.regexp_extract(raw, ODATA_DATE, 1))
+    return F.timestamp_micros(F.try_multiply(millis, F.lit(1000)))
 
 
 def iso_timestamp(raw: Column) -> Column:
@@ -30,21 +28,22 @@ def any_date(raw: Column) -> Column:
     return F.coalesce(odata_date(raw), iso_timestamp(raw))
 
 
-def _group(raw: Column, pattern: str, index: int) -> Column:
-    return F.coalesce(F.regexp_extract(raw, pattern, index).try_cast("bigint"), F.lit(0))
-
-
 def seconds_of_day(raw: Column) -> Column:
-    """``PT11H05M09S``, ``11:05:09`` or ``11:05`` to seconds; anything else, and null, is 0."""
-    iso = _group(raw, ISO_DURATION, 1) * 3600 + _group(raw, ISO_DURATION, 2) * 60 + _group(raw, ISO_DURATION, 3)
-    hms = _group(raw, CLOCK_HMS, 1) * 3600 + _group(raw, CLOCK_HMS, 2) * 60 + _group(raw, CLOCK_HMS, 3)
-    hm = _group(raw, CLOCK_HM, 1) * 3600 + _group(raw, CLOCK_HM, 2) * 60
-    return (
-        F.when(raw.startswith("PT"), iso)
-        .when(raw.rlike(CLOCK_HMS), hms)
-        .when(raw.rlike(CLOCK_HM), hm)
-        .otherwise(F.lit(0).cast("bigint"))
+    """``PT11H05M09S``, ``11:05:09`` or ``11:05`` to seconds; anything else, and null, is 0.
+
+    Both forms are brought to hours:minutes:seconds by one regular expression each.
+    """
+    clock = (
+        F.when(raw.startswith("PT"), F.regexp_replace(raw, ISO_DURATION, "$1:$2:$3"))
+        .when(raw.rlike(CLOCK), raw)
+        .otherwise("")
     )
+    parts = F.split(clock, ":")
+
+    def part(index: int) -> Column:
+        return F.coalesce(to_integer(F.get(parts, F.lit(index))), F.lit(0))
+
+    return part(0) * 3600 + part(1) * 60 + part(2)
 
 
 def add_seconds(ts: Column, seconds: Column) -> Column:

@@ -8,11 +8,10 @@ from functools import cache
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Latin letters that Unicode does not decompose, with their ASCII spelling.
+# Lower-case Latin letters that Unicode does not decompose, with their ASCII spelling.
 LETTER_SPELLINGS = {
-    "ß": "ss", "ẞ": "SS", "Æ": "AE", "æ": "ae", "Œ": "OE", "œ": "oe", "Þ": "Th", "þ": "th",
-    "Đ": "D", "đ": "d", "Ð": "D", "ð": "d", "Ø": "O", "ø": "o", "Ł": "L", "ł": "l",
-    "Ħ": "H", "ħ": "h", "ı": "i", "Ŧ": "T", "ŧ": "t", "Ŋ": "NG", "ŋ": "ng", "ĸ": "k",
+    "ß": "ss", "æ": "ae", "œ": "oe", "þ": "th", "ŋ": "ng",
+    "đ": "d", "ð": "d", "ø": "o", "ł": "l", "ħ": "h", "ı": "i", "ŧ": "t", "ĸ": "k",
 }
 
 # Latin-1 Supplement, Latin Extended-A and -B, and Latin Extended Additional (Vietnamese).
@@ -21,13 +20,13 @@ _LATIN_BLOCKS = (range(0x00C0, 0x0250), range(0x1E00, 0x1F00))
 
 @cache
 def _single_letter_map() -> tuple[str, str]:
-    """Accented letter -> base letter, for every Latin letter that Unicode decomposes to one ASCII letter."""
+    """Lower-case accented letter -> base letter, where Unicode decomposes it to one ASCII letter."""
     pairs = {k: v for k, v in LETTER_SPELLINGS.items() if len(v) == 1}
     for block in _LATIN_BLOCKS:
-        for code in block:
-            base = "".join(c for c in unicodedata.normalize("NFKD", chr(code)) if not unicodedata.combining(c))
-            if len(base) == 1 and base.isascii() and base.isalpha():
-                pairs[chr(code)] = base
+        for letter in map(chr, block):
+            base = "".join(c for c in unicodedata.normalize("NFKD", letter) if not unicodedata.combining(c))
+            if letter.islower() and len(base) == 1 and base.isascii() and base.isalpha():
+                pairs[letter] = base
     return "".join(pairs), "".join(pairs.values())
 
 
@@ -53,25 +52,29 @@ def join_words(*parts: Column) -> Column:
     return F.trim(F.concat_ws(" ", *[or_blank(p) for p in parts]))
 
 
-def to_ascii(value: Column) -> Column:
-    """Latin text in ASCII letters; combining marks are dropped, other characters stay."""
-    out = F.regexp_replace(value, r"\p{M}", "")
+def to_ascii(lowered: Column) -> Column:
+    """Lower-case Latin text in ASCII letters; combining marks are dropped, other characters stay.
+
+    Text that is plain ASCII, the common case, only pays for the test.
+    """
+    out = F.regexp_replace(lowered, r"\p{M}+", "")
     for letter, spelling in LETTER_SPELLINGS.items():
         if len(spelling) > 1:
             out = F.replace(out, F.lit(letter), F.lit(spelling))
     source, target = _single_letter_map()
-    return F.translate(out, source, target)
+    return F.when(lowered.rlike(r"[^\x00-\x7F]"), F.translate(out, source, target)).otherwise(lowered)
 
 
 def normalise_address(value: Column, keep_punctuation: bool = True, transliterate: bool = True) -> Column:
     """Canonical address text: ASCII, lower case, single blanks; empty becomes null.
 
     ``keep_punctuation`` keeps hyphens and commas. Without ``transliterate`` accented letters turn into blanks.
+    Runs of blanks and of dropped characters become one blank in a single pass.
     """
-    text = F.lower(to_ascii(value) if transliterate else value)
-    kept = r"[^a-z0-9\s\-,]" if keep_punctuation else r"[^a-z0-9\s]"
-    squeezed = F.regexp_replace(F.regexp_replace(text, kept, " "), r"\s+", " ")
-    return blank_to_null(F.trim(squeezed))
+    lowered = F.lower(value)
+    text = to_ascii(lowered) if transliterate else lowered
+    dropped = r"[^a-z0-9\-,]+" if keep_punctuation else r"[^a-z0-9]+"
+    return blank_to_null(F.trim(F.regexp_replace(text, dropped, " ")))
 
 
 def address_hash(normalised: Column) -> Column:
@@ -79,14 +82,19 @@ def address_hash(normalised: Column) -> Column:
     return F.sha2(normalised, 256)
 
 
+def to_integer(value: Column, dtype: str = "bigint") -> Column:
+    """Whole number in text, else null. The test comes first because a try_cast that fails raises inside, which
+    costs far more than a test where blanks or other text are common."""
+    return F.when(value.rlike(r"^\s*[+-]?[0-9]+\s*$"), value).try_cast(dtype)
+
+
 def last_digits(document: Column, digits: int = 8) -> Column:
     """Right-most digits of a document number as a long; blank or non-numeric gives null."""
-    tail = F.when(F.length(document) > digits, F.right(document, F.lit(digits))).otherwise(document)
-    return tail.try_cast("bigint")
+    return to_integer(F.when(F.length(document) > digits, F.right(document, F.lit(digits))).otherwise(document))
 
 
 def item_number(item: Column) -> Column:
-    return item.try_cast("int")
+    return to_integer(item.cast("string"), "int")
 
 
 def strip_prefix(value: Column, prefix: str) -> Column:

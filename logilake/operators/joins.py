@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from functools import reduce
 from itertools import product
 
 from pyspark.sql import Column, DataFrame
@@ -21,6 +22,7 @@ def unique_lookup(lookup: DataFrame, key: Column, value: str, key_name: str, val
 def cascade_lookup(
     left: DataFrame,
     lookup: DataFrame,
+    on: list[str],
     stages: KeyPairs,
     value: str,
     out: str | None = None,
@@ -28,27 +30,23 @@ def cascade_lookup(
 ) -> DataFrame:
     """Look ``value`` up by the first stage whose key matches; unmatched rows stay, with null.
 
-    Each stage is (left key, lookup key). The stages run on the distinct left keys, and their result is joined
-    back once, so the large side is shuffled at most once however many stages there are.
+    Each stage is (left key, lookup key), and the left keys are computed from the columns in ``on``. The stages run
+    on the distinct values of those columns, so keys that are costly to compute are computed once per value, and
+    the large side is joined once however many stages there are.
     """
     out = out or value
     names = [f"_k{i}" for i in range(len(stages))]
-    keyed = left.withColumns({n: key for n, (key, _) in zip(names, stages)})
-    found = keyed.select(*names).distinct()
+    found = left.select(*on).distinct().withColumns({n: key for n, (key, _) in zip(names, stages)})
     for i, (_, lookup_key) in enumerate(stages):
         found = found.join(unique_lookup(lookup, lookup_key, value, names[i], f"_v{i}"), names[i], "left")
     values = [F.col(f"_v{i}") for i in range(len(stages))]
     stage = F.coalesce(*[F.when(v.isNotNull(), F.lit(i + 1)) for i, v in enumerate(values)])
     hits = found.select(
-        *[F.col(n).alias(f"{n}_hit") for n in names], F.coalesce(*values).alias(out), stage.alias("_stage")
+        *[F.col(c).alias(f"_on{i}") for i, c in enumerate(on)], F.coalesce(*values).alias(out), stage.alias("_stage")
     ).filter(F.col("_stage").isNotNull())
-
-    condition = keyed[names[0]].eqNullSafe(hits[f"{names[0]}_hit"])
-    for n in names[1:]:
-        condition = condition & keyed[n].eqNullSafe(hits[f"{n}_hit"])
-    joined = keyed.join(hits, condition, "left")
+    same = reduce(lambda x, y: x & y, [left[c].eqNullSafe(hits[f"_on{i}"]) for i, c in enumerate(on)])
     extra = [F.col("_stage").alias(stage_col)] if stage_col else []
-    return joined.select(*[keyed[c] for c in left.columns], hits[out], *extra)
+    return left.join(hits, same, "left").select(*[left[c] for c in left.columns], hits[out], *extra)
 
 
 def _composite_equal(a, b, lnames: list[str], rnames: list[str]) -> Column:

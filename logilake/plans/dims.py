@@ -161,13 +161,22 @@ ADDRESS_COLUMNS = (
 )
 
 
-def with_address(df: DataFrame) -> DataFrame:
-    """Add ``address_raw``, ``addr_norm`` and ``addr_hash``, built from whatever address columns there are."""
+def with_address_raw(df: DataFrame) -> DataFrame:
+    """Add ``address_raw``, assembled from whatever address columns there are."""
     raw = text.join_words(*[column_or(df, F.lit(""), *names) for names in ADDRESS_COLUMNS])
-    with_norm = df.withColumn("address_raw", raw).withColumn("addr_norm", text.normalise_address(F.col("address_raw")))
+    return df.withColumn("address_raw", raw)
+
+
+def with_address_hash(df: DataFrame) -> DataFrame:
+    """Add ``addr_norm`` and ``addr_hash`` of ``address_raw``."""
+    with_norm = df.withColumn("addr_norm", text.normalise_address(F.col("address_raw")))
     return with_norm.withColumn("addr_hash", text.address_hash(F.col("addr_norm")))
 
 
+def with_address(df: DataFrame) -> DataFrame:
+    return with_address_hash(with_address_raw(df))
+
+
 def dim_location(addresses: DataFrame, gazetteer: DataFrame, published_at: Column, top_n: int | None = 5000) -> DataFrame:
     """The ``top_n`` most frequent addresses that the gazetteer locates; ``None`` takes all of them.
 
@@ -203,6 +212,20 @@ def unlocated(addresses: DataFrame, location: DataFrame) -> DataFrame:
     return spelled.join(location.select(F.col("location_id").alias("addr_hash")), "addr_hash", "left_anti")
 
 
+def locate_addresses(df: DataFrame, location: DataFrame, out: str) -> DataFrame:
+    """Location id by ``address_raw``: normal form, then plain lower case, then the form without punctuation."""
+    raw = F.col("address_raw")
+    stages = [
+        (text.normalise_address(raw), F.col("addr_norm")),
+        (text.blank_to_null(F.lower(raw)), F.lower(raw)),
+        (
+            text.normalise_address(raw, keep_punctuation=False),
+            text.normalise_address(F.col("addr_norm_ascii"), keep_punctuation=False),
+        ),
+    ]
+    return joins.cascade_lookup(df, location, ["address_raw"], stages, "location_id", out)
+
+
 MAX_MATRIX_LOCATIONS = 5000
 _MATRIX_CHUNK = 50
 
@@ -285,13 +308,21 @@ def _order_kpis(orders: DataFrame) -> DataFrame:
         column_or(o, null_of("string"), "warehouseorder", "warehouse_order", "orderid", "order_id").alias("order_id"),
         planned.alias("planned"),
     ).filter("warehouse_id IS NOT NULL")
-    # The filter clause makes Spark fold the plain aggregates per warehouse on the map side, instead of keeping a
-    # percentile sketch per (warehouse, order).
-    return rows.groupBy("warehouse_id").agg(
-        F.expr("count(DISTINCT order_id) FILTER (WHERE order_id IS NOT NULL)").alias("total_orders"),
+    figures = rows.groupBy("warehouse_id").agg(
         F.round(F.avg("planned"), 3).alias("avg_order_planned_duration_min"),
         F.round(F.percentile_approx("planned", 0.9), 3).alias("p90_order_planned_duration_min"),
     )
+    return _with_distinct_counts(figures, rows, {"total_orders": "order_id"})
+
+
+def _with_distinct_counts(figures: DataFrame, rows: DataFrame, counts: dict[str, str]) -> DataFrame:
+    """Join distinct counts to figures per warehouse.
+
+    They are aggregated apart: beside a distinct count, Spark would keep a percentile sketch for every distinct
+    value instead of one per warehouse. The distinct values themselves are spread over all tasks.
+    """
+    distinct = rows.groupBy("warehouse_id").agg(*[F.countDistinct(c).alias(name) for name, c in counts.items()])
+    return figures.join(distinct, "warehouse_id")
 
 
 def _task_rows(tasks: DataFrame) -> DataFrame:
@@ -315,9 +346,7 @@ def _task_rows(tasks: DataFrame) -> DataFrame:
 
 def _task_kpis(rows: DataFrame) -> DataFrame:
     done = F.count_if(F.col("status").isin(*DONE_STATES)) / F.count(F.lit(1))
-    return rows.groupBy("warehouse_id").agg(
-        F.countDistinct("task_id").alias("total_tasks"),
-        F.countDistinct("order_id").alias("distinct_orders_for_tasks"),
+    figures = rows.groupBy("warehouse_id").agg(
         F.round(F.avg("duration"), 3).alias("avg_task_duration_min"),
         F.round(F.percentile_approx("duration", 0.9), 3).alias("p90_task_duration_min"),
         F.round(F.avg("weight"), 3).alias("avg_task_weight_kg"),
@@ -325,6 +354,7 @@ def _task_kpis(rows: DataFrame) -> DataFrame:
         F.round(F.avg("priority"), 3).alias("avg_priority"),
         F.when(F.any_value("_has_status"), done).alias("pct_tasks_completed"),
     )
+    return _with_distinct_counts(figures, rows, {"total_tasks": "task_id", "distinct_orders_for_tasks": "order_id"})
 
 
 def _task_tops(rows: DataFrame, k: int = 5) -> DataFrame:
@@ -391,8 +421,7 @@ def dim_warehouse(
 ) -> DataFrame:
     """Warehouse figures with name, address, coordinates and location.
 
-    The location is found by coordinates within the tolerance, else by the normalised address, else by its ASCII
-    form without punctuation.
+    The location is found by coordinates within the tolerance, else by the address.
     """
     dim = warehouse_figures(orders, tasks)
     map_types = {"warehouse_name": "string", "address_raw": "string", "lat": "double", "lon": "double"}
@@ -410,13 +439,7 @@ def dim_warehouse(
     else:
         here = [(F.col("lat"), F.col("lat")), (F.col("lon"), F.col("lon"))]
         dim = joins.tolerance_lookup(dim, location, here, latlon_tolerance, "location_id", "_by_place")
-        norm = text.normalise_address(F.col("address_raw"))
-        loose = text.normalise_address(F.col("address_raw"), keep_punctuation=False)
-        stages = [
-            (norm, F.col("addr_norm")),
-            (loose, text.normalise_address(F.col("addr_norm_ascii"), keep_punctuation=False)),
-        ]
-        dim = joins.cascade_lookup(dim, location, stages, "location_id", "_by_address")
+        dim = locate_addresses(dim, location, "_by_address")
         dim = dim.withColumn("location_id", F.coalesce("_by_place", "_by_address"))
     return dim.select(
         "warehouse_id", "warehouse_name", "address_raw", "location_id", "lat", "lon", *_WAREHOUSE_FIGURES,

@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 from logilake.functions import dates, text
 from logilake.operators import dedupe, joins
 from logilake.operators.schema import column_or, lower_columns, null_of, resolve
-from logilake.plans.dims import with_address
+from logilake.plans.dims import locate_addresses, with_address_hash, with_address_raw
 
 # Partner functions in order of preference for a delivery's address.
 PARTNER_RANKS = [
@@ -36,19 +36,25 @@ def _at_time(day: Column, time_of_day: Column) -> Column:
 
 
 def best_address(address: DataFrame) -> DataFrame:
-    """One address per delivery: current rows first, then by partner function, then by address id."""
-    spelled = address if resolve(address, "addr_hash") else with_address(address)
+    """One address per delivery: current rows first, then by partner function, then by address id.
+
+    The address is normalised and hashed after the choice, so only chosen rows pay for it.
+    """
+    has_hash = resolve(address, "addr_hash") is not None
+    spelled = address if has_hash else with_address_raw(address)
+    shown = "addr_hash" if has_hash else "address_raw"
     rank = dedupe.code_rank(column_or(spelled, F.lit(""), "PartnerFunction"), PARTNER_RANKS, OTHER_PARTNER)
     rows = spelled.select(
         text.lower_trim(column_or(spelled, F.lit(""), "DeliveryDocument")).alias("deliverydocument"),
         column_or(spelled, null_of("string"), "AddressID").cast("string").alias("addressid"),
-        F.col("addr_hash"),
+        F.col(shown),
         dedupe.current_first(column_or(spelled, F.lit(True), "is_current", "IsCurrent")).alias("_current"),
         rank.alias("_rank"),
     )
-    order = [F.asc_nulls_last("addressid"), F.asc_nulls_last("addr_hash")]
-    best = dedupe.latest_by(rows, ["deliverydocument"], [F.asc("_current"), F.asc("_rank"), *order])
-    return best.drop("_current", "_rank")
+    order = [F.asc("_current"), F.asc("_rank"), F.asc_nulls_last("addressid"), F.asc_nulls_last(shown)]
+    best = dedupe.latest_by(rows, ["deliverydocument"], order)
+    best = best if has_hash else with_address_hash(best)
+    return best.select("deliverydocument", "addressid", "addr_hash")
 
 
 def shortest_lanes(lanes: DataFrame) -> DataFrame:
@@ -146,13 +152,7 @@ ITEM_COLUMNS = ("deliverydocumentitem", "delivery_document_item", "deliveryitem"
 def _destinations(address: DataFrame, location: DataFrame) -> DataFrame:
     """Located destination per document, and per item where the addresses have one."""
     a = lower_columns(address)
-    a = a if "addr_norm" in a.columns else with_address(a)
-    loose = text.normalise_address(F.col("address_raw"), keep_punctuation=False)
-    stages = [
-        (F.col("addr_norm"), F.col("addr_norm")),
-        (text.blank_to_null(F.lower("address_raw")), F.lower("address_raw")),
-        (loose, text.normalise_address(F.col("addr_norm_ascii"), keep_punctuation=False)),
-    ]
+    a = a if "address_raw" in a.columns else with_address_raw(a)
     rank = dedupe.code_rank(column_or(a, F.lit(""), "partnerfunction"), PARTNER_RANKS, OTHER_PARTNER)
     item = resolve(a, *ITEM_COLUMNS)
     rows = a.select(
@@ -160,9 +160,8 @@ def _destinations(address: DataFrame, location: DataFrame) -> DataFrame:
         *([text.item_number(a[item]).alias("item")] if item else []),
         rank.alias("_rank"),
         "address_raw",
-        "addr_norm",
-    ).filter("doc IS NOT NULL")
-    located = joins.cascade_lookup(rows, location, stages, "location_id", "dest_location_id")
+    ).filter(F.col("doc").isNotNull() & text.non_blank(F.col("address_raw")))
+    located = locate_addresses(rows, location, "dest_location_id")
     located = located.filter(F.col("dest_location_id").isNotNull())
     keys = ["doc", "item"] if item else ["doc"]
     return dedupe.latest_by(located, keys, [F.asc("_rank"), F.asc("dest_location_id")]).select(*keys, "dest_location_id")
@@ -205,7 +204,7 @@ def task_trips(
     raw_doc = column_or(i, null_of("string"), *DOCUMENT_COLUMNS).cast("string")
     raw_item = column_or(i, null_of("string"), *ITEM_COLUMNS).cast("string")
     items = i.select(
-        raw_doc.try_cast("bigint").alias("idoc"),
+        text.to_integer(raw_doc).alias("idoc"),
         text.item_number(raw_item).alias("iitem"),
         text.lower_trim(raw_doc).alias("idoc_s"),
         text.lower_trim(raw_item).alias("iitem_s"),

@@ -37,13 +37,18 @@ def weekly_on_time(fact: DataFrame) -> DataFrame:
     )
 
 
+def _exact_avg(column: str) -> Column:
+    """Average of rounded figures in decimals: the same whatever the order in which they are added."""
+    return F.avg(F.col(column).cast("decimal(24,6)")).cast("double")
+
+
 def weekly_distance(routes: DataFrame) -> DataFrame:
     week = dates.week_start_monday(F.col("last_trip_at")).alias("week")
     return (
         routes.groupBy(week)
         .agg(
-            F.round(F.avg("avg_distance_km"), 3).alias("avg_distance_km"),
-            F.round(F.avg("avg_network_duration_min"), 2).alias("avg_network_duration_min"),
+            F.round(_exact_avg("avg_distance_km"), 3).alias("avg_distance_km"),
+            F.round(_exact_avg("avg_network_duration_min"), 2).alias("avg_network_duration_min"),
         )
         .orderBy("week")
     )
@@ -54,8 +59,8 @@ def weekly_eta_error(routes: DataFrame) -> DataFrame:
     return (
         routes.groupBy(week)
         .agg(
-            F.avg("avg_eta_error_min").alias("avg_eta_error_min"),
-            F.avg("avg_abs_eta_error_min").alias("avg_abs_eta_error_min"),
+            _exact_avg("avg_eta_error_min").alias("avg_eta_error_min"),
+            _exact_avg("avg_abs_eta_error_min").alias("avg_abs_eta_error_min"),
         )
         .orderBy("week")
     )

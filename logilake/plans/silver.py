@@ -78,9 +78,7 @@ def run_entity(
         rejects = staged.filter("outcome = 'reject'").drop("outcome")
         if entity.kind == "fact":
             facts = state.with_ingest_meta(valid, batch_id, entity.name, as_of)
-            facts = sinks.with_day(facts, entity.partition_date)
-            by = ["partition_day"] if entity.partition_date else None
-            sinks.append_batch(facts, paths.table(entity), batch_id, by)
+            sinks.append_facts(facts, paths.table(entity), batch_id, entity.partition_date, entity.partition_unit)
             target = paths.table(entity)
         else:
             current = sinks.read_snapshot(spark, paths.table(entity), previous_batch)

@@ -34,6 +34,8 @@ def local_session(cores: int | str = "*", memory: str = "8g", app: str = "logila
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", partitions)
         .config("spark.ui.enabled", "false")
+        # Test tables are small; without this AQE would merge their shuffles into a single task.
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
     )
     spark = configure(builder.getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")

@@ -23,7 +23,8 @@ def _rules(by_checks: dict[str, str]) -> dict[str, list[str]]:
 class Entity:
     """``kind`` is ``fact`` (append) or ``dim`` (versioned). Columns are text unless ``types`` says otherwise.
 
-    An empty ``compare`` means that any non-key column starts a new version.
+    An empty ``compare`` means that any non-key column starts a new version. Facts are partitioned by
+    ``partition_date`` cut to ``partition_unit`` (``day``, ``month`` or ``year``).
     """
 
     name: str
@@ -36,6 +37,7 @@ class Entity:
     rules: dict[str, list[str]] = field(default_factory=dict)
     compare: list[str] = field(default_factory=list)
     partition_date: str | None = None
+    partition_unit: str = "day"
 
     @property
     def record_schema(self) -> T.StructType:

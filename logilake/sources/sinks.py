@@ -11,15 +11,30 @@ def append(df: DataFrame, path: str, partition_by: list[str] | None = None) -> N
     df.write.mode("append").partitionBy(*(partition_by or [])).parquet(path)
 
 
+def append_facts(df: DataFrame, path: str, batch_id: str, source: str | None, unit: str = "day") -> None:
+    """Append a batch of facts, partitioned by the day of a timestamp column if one is named."""
+    if source is None:
+        append_batch(df, path, batch_id)
+    else:
+        append_batch(with_partition_day(df, source, unit), path, batch_id, [PARTITION_DAY])
+
+
 def append_batch(df: DataFrame, path: str, batch_id: str, partition_by: list[str] | None = None) -> None:
     """Append one batch under its own folder, so that writing the same batch again replaces it."""
     target = f"{path.rstrip('/')}/ingest_batch_id={batch_id}"
     df.drop("ingest_batch_id").write.mode("overwrite").partitionBy(*(partition_by or [])).parquet(target)
 
 
-def with_day(df: DataFrame, source: str | None, name: str = "partition_day") -> DataFrame:
-    """Day column to partition by; a raw timestamp would give one partition per instant."""
-    return df.withColumn(name, F.to_date(F.col(source))) if source else df
+PARTITION_DAY = "partition_day"
+
+
+def with_partition_day(df: DataFrame, source: str, unit: str = "day") -> DataFrame:
+    """Date column to partition by; a raw timestamp would give one partition per instant.
+
+    Rows of one day are brought together, so that a day gives few files. AQE splits a hot day and joins small ones.
+    """
+    day = F.to_date(F.date_trunc(unit, F.col(source)))
+    return df.withColumn(PARTITION_DAY, day).hint("rebalance", PARTITION_DAY)
 
 
 def write_rejects(rejects: DataFrame, path: str) -> None:

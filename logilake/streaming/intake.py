@@ -57,8 +57,7 @@ def process_batch(
     valid = state.with_ingest_meta(quality.parsed_columns(good, entity.rules), batch, entity.name, as_of)
     table = paths.table(entity)
     if entity.kind == "fact":
-        facts = sinks.with_day(valid, entity.partition_date)
-        sinks.append_batch(facts, table, batch, ["partition_day"] if entity.partition_date else None)
+        sinks.append_facts(valid, table, batch, entity.partition_date, entity.partition_unit)
     else:
         current = sinks.read_snapshot(spark, table, last_commit_before(spark, paths, entity, batch))
         new = state.scd2_apply(current, valid, entity.keys, as_of, entity.compare or None, order)
