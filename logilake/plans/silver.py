@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logilake.operators import quality, state
@@ -30,12 +30,22 @@ class SilverPaths:
 
 
 def classify_records(records: DataFrame, entity: Entity) -> DataFrame:
-    return quality.classify(records, entity.required, entity.rules)
+    """Reject reason per record; the text of a document that is not JSON is itself a reject."""
+    judged = quality.classify(records, entity.required, entity.rules)
+    if readers.CORRUPT not in records.columns:
+        return judged
+    broken = F.when(F.col(readers.CORRUPT).isNotNull(), F.lit("corrupt_document"))
+    return judged.withColumn(quality.REJECT_REASON, broken.otherwise(F.col(quality.REJECT_REASON)))
 
 
-def split_records(records: DataFrame, entity: Entity) -> quality.Split:
-    """Typed valid rows and raw rejects, lazily."""
-    return quality.split_classified(classify_records(records, entity), entity.rules)
+def stage_records(records: DataFrame, entity: Entity) -> tuple[quality.Split, DataFrame]:
+    """Classify once into a staged table split by outcome; gives the typed valid rows and the raw rejects, each of
+    which reads its own partition only, and the staged rows themselves."""
+    classified = classify_records(records, entity)
+    staged = stage(classified.withColumn("outcome", quality.outcome()), f"silver-{entity.name}", ("outcome",))
+    good = staged.filter("outcome = 'valid'").drop("outcome", quality.REJECT_REASON, readers.CORRUPT)
+    rejects = staged.filter("outcome = 'reject'").drop("outcome")
+    return quality.Split(quality.parsed_columns(good, entity.rules), rejects), staged
 
 
 def next_state(current: DataFrame | None, valid: DataFrame, entity: Entity, as_of: Column) -> DataFrame:
@@ -60,22 +70,12 @@ def run_entity(
 ) -> dict:
     """Run one batch and return its counters.
 
-    The documents are parsed once: the classified rows go to a staged table split by outcome, from which the valid
-    and the rejected rows are read with only their own partition. The counters come from the staging write.
+    The documents are parsed once, into the staged table; the counters read only its reason column.
     """
     try:
-        docs = readers.read_documents(spark, raw_path, entity)
-        records = readers.flatten_documents(docs, entity)
-        classified = classify_records(records, entity)
-        seen = Observation(f"{entity.name}-{batch_id}")
-        observed = classified.observe(seen, *quality.batch_counts(classified))
-        outcome = quality.outcome().alias("outcome")
-        staged = stage(observed.select("*", outcome), f"silver-{entity.name}", ("outcome",))
-        counts = dict(seen.get)
-
-        good = staged.filter("outcome = 'valid'").drop("outcome", quality.REJECT_REASON)
-        valid = quality.parsed_columns(good, entity.rules)
-        rejects = staged.filter("outcome = 'reject'").drop("outcome")
+        records = readers.flatten_documents(readers.read_documents(spark, raw_path, entity), entity)
+        (valid, rejects), staged = stage_records(records, entity)
+        counts = staged.agg(*quality.batch_counts(staged)).first().asDict()
         if entity.kind == "fact":
             facts = state.with_ingest_meta(valid, batch_id, entity.name, as_of)
             sinks.append_facts(facts, paths.table(entity), batch_id, entity.partition_date, entity.partition_unit)

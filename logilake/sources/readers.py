@@ -38,15 +38,16 @@ def read_documents(spark: SparkSession, path: str, entity: Entity) -> DataFrame:
 
 
 def flatten_documents(docs: DataFrame, entity: Entity) -> DataFrame:
-    """One row per record of the envelope's array; the source file stays with the record."""
-    carried = [c for c in (SOURCE_FILE,) if c in docs.columns]
-    exploded = docs.select(F.explode(F.col(entity.envelope)).alias("record"), *carried)
-    return exploded.select("record.*", *carried)
-
-
-def corrupt_documents(docs: DataFrame) -> DataFrame:
-    """Documents that could not be parsed, for the reject table."""
-    return docs.filter(F.col(CORRUPT).isNotNull()).select(F.col(CORRUPT).alias("document"), SOURCE_FILE)
+    """One row per record of the envelope's array; the source file stays with the record.
+
+    A document that is not JSON gives one row without a record, which carries its text.
+    """
+    carried = [c for c in (SOURCE_FILE, CORRUPT) if c in docs.columns]
+    exploded = docs.select(F.explode_outer(F.col(entity.envelope)).alias("record"), *carried)
+    kept = F.col("record").isNotNull()
+    if CORRUPT in carried:
+        kept = kept | F.col(CORRUPT).isNotNull()
+    return exploded.filter(kept).select("record.*", *carried)
 
 
 def parse_documents(text: Column, entity: Entity) -> Column:

@@ -55,6 +55,8 @@ def register_table(spark: SparkSession, table: str, path: str) -> None:
         spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
     else:
         spark.sql(f"CREATE TABLE {table} USING PARQUET LOCATION '{path}'")
+    if any(column.isPartition for column in spark.catalog.listColumns(table)):
+        spark.catalog.recoverPartitions(table)
     spark.sql(f"REFRESH TABLE {table}")
 
 

@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from logilake.operators import quality, state
 from logilake.plans import silver
-from logilake.session import configure, stage
+from logilake.session import configure
 from logilake.sources import readers, sinks
 from logilake.sources.entities import Entity
 
@@ -49,12 +49,8 @@ def process_batch(
     batch = batch_name(epoch)
     if is_committed(spark, paths, entity, batch):
         return
-    classified = silver.classify_records(readers.flatten_documents(docs, entity), entity)
-    outcome = quality.outcome().alias("outcome")
-    staged = stage(classified.select("*", outcome), f"stream-{entity.name}", ("outcome",))
-
-    good = staged.filter("outcome = 'valid'").drop("outcome", quality.REJECT_REASON)
-    valid = state.with_ingest_meta(quality.parsed_columns(good, entity.rules), batch, entity.name, as_of)
+    (good, bad), staged = silver.stage_records(readers.flatten_documents(docs, entity), entity)
+    valid = state.with_ingest_meta(good, batch, entity.name, as_of)
     table = paths.table(entity)
     if entity.kind == "fact":
         sinks.append_facts(valid, table, batch, entity.partition_date, entity.partition_unit)
@@ -62,7 +58,7 @@ def process_batch(
         current = sinks.read_snapshot(spark, table, last_commit_before(spark, paths, entity, batch))
         new = state.scd2_apply(current, valid, entity.keys, as_of, entity.compare or None, order)
         sinks.publish_snapshot(new, table, batch)
-    rejects = quality.with_reject_meta(staged.filter("outcome = 'reject'").drop("outcome"), batch, entity.name, as_of)
+    rejects = quality.with_reject_meta(bad, batch, entity.name, as_of)
     sinks.append_batch(rejects, f"{paths.rejects}/{entity.name}", batch)
     counts = staged.agg(*quality.batch_counts(staged))
     sinks.append_batch(
