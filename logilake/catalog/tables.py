@@ -9,6 +9,7 @@ from logilake.catalog import adapters as a
 from logilake.catalog.adapters import SQL_LANES, SQL_PLACES, Tables, at, ntz, rnd, ts
 from logilake.catalog.registry import query
 from logilake.functions import dates
+from logilake.operators.schema import temporal_columns
 from logilake.plans import dims, facts, kpis
 from logilake.sources import sinks
 
@@ -96,7 +97,7 @@ def dim_product(t: Tables) -> DataFrame:
     ("date",),
 )
 def dim_time(t: Tables) -> DataFrame:
-    span = dims.date_range_of([(t.orders, ["o_orderdate"]), (t.lineitem, ["l_shipdate"]), (t.events, ["ts"])])
+    span = dims.date_range_of([(df, temporal_columns(df)) for df in (t.orders, t.lineitem, t.events)])
     return dims.calendar_over(span, F.lit("2024-01-01").cast("date")).withColumn("date_ts", ntz("date_ts"))
 
 
@@ -445,6 +446,14 @@ def routes_summary(t: Tables) -> DataFrame:
     return lane_summary(t).withColumn("last_trip_at", ntz("last_trip_at"))
 
 
+@query(
+    "routes_dq_summary",
+    f"{_ROUTES} SELECT '2024-01-01' AS run_ts, count(*) AS routes_total, count(avg_distance_km) AS routes_with_distance FROM routes",
+)
+def routes_dq_summary(t: Tables) -> DataFrame:
+    return facts.routes_dq(lane_summary(t), F.lit("2024-01-01"))
+
+
 @query(
     "weekly_distance",
     f"""{_ROUTES} SELECT CAST(date_trunc('week', last_trip_at) AS DATE) AS week, {rnd("avg(CAST(avg_distance_km AS DECIMAL(24,6)))", 3)} AS avg_distance_km,

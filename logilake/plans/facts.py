@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from logilake.functions import dates, text
 from logilake.operators import dedupe, joins
+from logilake.operators.quality import coverage_summary
 from logilake.operators.schema import column_or, lower_columns, null_of, resolve
 from logilake.plans.dims import locate_addresses, with_address_hash, with_address_raw
 
@@ -301,3 +302,9 @@ def routes_summary(
 ) -> DataFrame:
     trips = task_trips(task, item, address, location, header, warehouse)
     return summarise_routes(trips, lanes, delay_min, last_updated)
+
+
+def routes_dq(routes: DataFrame, run_ts: Column) -> DataFrame:
+    return coverage_summary(
+        routes, run_ts, routes_total=F.lit(True), routes_with_distance=F.col("avg_distance_km").isNotNull()
+    )

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logilake.operators import quality, state
-from logilake.session import stage
+from logilake.session import Staged, discard, stage
 from logilake.sources import readers, sinks
 from logilake.sources.entities import Entity
 
@@ -38,13 +38,13 @@ def classify_records(records: DataFrame, entity: Entity) -> DataFrame:
     return judged.withColumn(quality.REJECT_REASON, broken.otherwise(F.col(quality.REJECT_REASON)))
 
 
-def stage_records(records: DataFrame, entity: Entity) -> tuple[quality.Split, DataFrame]:
+def stage_records(records: DataFrame, entity: Entity) -> tuple[quality.Split, Staged]:
     """Classify once into a staged table split by outcome; gives the typed valid rows and the raw rejects, each of
-    which reads its own partition only, and the staged rows themselves."""
+    which reads its own partition only, and the staged table, which the caller discards."""
     classified = classify_records(records, entity)
     staged = stage(classified.withColumn("outcome", quality.outcome()), f"silver-{entity.name}", ("outcome",))
-    good = staged.filter("outcome = 'valid'").drop("outcome", quality.REJECT_REASON, readers.CORRUPT)
-    rejects = staged.filter("outcome = 'reject'").drop("outcome")
+    good = staged.rows.filter("outcome = 'valid'").drop("outcome", quality.REJECT_REASON, readers.CORRUPT)
+    rejects = staged.rows.filter("outcome = 'reject'").drop("outcome")
     return quality.Split(quality.parsed_columns(good, entity.rules), rejects), staged
 
 
@@ -75,7 +75,7 @@ def run_entity(
     try:
         records = readers.flatten_documents(readers.read_documents(spark, raw_path, entity), entity)
         (valid, rejects), staged = stage_records(records, entity)
-        counts = staged.agg(*quality.batch_counts(staged)).first().asDict()
+        counts = staged.rows.agg(*quality.batch_counts(staged.rows)).first().asDict()
         if entity.kind == "fact":
             facts = state.with_ingest_meta(valid, batch_id, entity.name, as_of)
             sinks.append_facts(facts, paths.table(entity), batch_id, entity.partition_date, entity.partition_unit)
@@ -89,6 +89,7 @@ def run_entity(
             sinks.register_table(spark, table, target)
         sinks.write_rejects(quality.with_reject_meta(rejects, batch_id, entity.name, as_of), f"{paths.rejects}/{entity.name}")
         sinks.append(_batch_log(spark, counts, batch_id, entity.name, "success", as_of), paths.log)
+        discard(spark, staged)
         return counts
     except Exception:
         sinks.append(_batch_log(spark, {}, batch_id, entity.name, "failed", as_of), paths.log)

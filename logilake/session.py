@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -56,11 +57,22 @@ def work_dir(spark: SparkSession, purpose: str) -> str:
     return f"{shared.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, purpose: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
+class Staged(NamedTuple):
+    rows: DataFrame
+    path: str
+
+
+def stage(df: DataFrame, purpose: str, partition_by: tuple[str, ...] = ()) -> Staged:
     """Write a frame that several sinks will read, and read it back.
 
     Unlike an executor-local cache it survives the loss of executors, and its reads prune columns and partitions.
     """
     path = work_dir(df.sparkSession, purpose)
     df.write.mode("errorifexists").partitionBy(*partition_by).parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return Staged(df.sparkSession.read.parquet(path), path)
+
+
+def discard(spark: SparkSession, staged: Staged) -> None:
+    """Delete a staged table once every sink has been written."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(staged.path)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from logilake.operators import quality, state
 from logilake.plans import silver
-from logilake.session import configure
+from logilake.session import configure, discard
 from logilake.sources import readers, sinks
 from logilake.sources.entities import Entity
 
@@ -60,10 +60,10 @@ def process_batch(
         sinks.publish_snapshot(new, table, batch)
     rejects = quality.with_reject_meta(bad, batch, entity.name, as_of)
     sinks.append_batch(rejects, f"{paths.rejects}/{entity.name}", batch)
-    counts = staged.agg(*quality.batch_counts(staged))
-    sinks.append_batch(
-        quality.batch_log_row(counts, batch, entity.name, "success", as_of), f"{paths.log}/{entity.name}", batch
-    )
+    counts = staged.rows.agg(*quality.batch_counts(staged.rows))
+    log = quality.batch_log_row(counts, batch, entity.name, "success", as_of)
+    sinks.append_batch(log, f"{paths.log}/{entity.name}", batch)
+    discard(spark, staged)
 
 
 def start_intake(

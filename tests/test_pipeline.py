@@ -234,6 +234,37 @@ def test_routes_summary_falls_back_and_counts_tasks_once(spark):
     assert (got["ewm:w7"].total_trips, got["ewm:w7"].avg_eta_error_min, got["ewm:w7"].avg_distance_km) == (1, None, 7.0)
 
 
+def test_gold_run_end_to_end(spark, tmp_path, rows):
+    header, address, _, _, _, _ = lane_inputs(spark)
+    address = address.drop("address_raw", "addr_norm", "addr_hash")
+    gazetteer = dims.with_address(address).select(
+        "addr_hash", F.lit(10.0).alias("lat"), F.lit(20.0).alias("lon"), F.lit("x").alias("display_name"),
+        F.lit(None).cast("string").alias("raw_json"), F.lit("2024").alias("created_at"),
+    ).distinct()
+    wh_map = spark.createDataFrame([("W1", "main st.", None, None, "First")], "ewmwarehouse string, address_raw string, lat double, lon double, warehouse_name string")
+    parts = spark.createDataFrame([("C1", "SH", "A")], "Customer string, PartnerFunction string, AddressID string")
+    items = spark.createDataFrame([("P1", "000010", "0080000001", dt.datetime(2024, 1, 1))], "Material string, DeliveryDocumentItem string, DeliveryDocument string, CreationDate timestamp")
+    task = spark.createDataFrame([("W1", "T1", "1", "0080000001", "10")], "EWMWarehouse string, WarehouseTask string, WarehouseOrder string, EWMDelivery string, EWMDeliveryItem string")
+    silver_tables = {
+        "outbound_delivery_address": address, "outbound_delivery_header": header, "warehouse_task": task,
+        "sales_order_partner": parts, "outbound_delivery_partner": parts, "sales_order_item": items, "outbound_delivery_item": items,
+    }
+    for batch, previous in (("b1", None), ("b2", "b1"), ("b2", "b1")):
+        day = at("2024-02-01" if batch == "b1" else "2024-02-02")
+        job = gold.GoldJob(spark, silver_tables, str(tmp_path), batch, day, previous, "gold_db")
+        gold.build_dimensions(job, gazetteer, wh_map)
+        gold.build_distances(job)
+        gold.build_facts(job)
+    assert rows(spark.table("gold_db.dim_location"), "address_raw") == [("Elsewhere",), ("Main St",)]
+    assert rows(spark.table("gold_db.dim_customer"), "customer_id", "is_current") == [("c1", True)]
+    made = spark.table("gold_db.dim_warehouse").select("warehouse_name", F.to_date("created_at"), F.to_date("last_updated_at")).first()
+    assert made[:] == ("First", dt.date(2024, 2, 1), dt.date(2024, 2, 2))
+    assert spark.table("gold_db.dim_time").count() == 1 and spark.table("gold_db.dim_distance_matrix").count() == 4
+    assert rows(gold.read_trips(job), "deliverydocument", "distance_km", "ingest_batch_id") == [("0080000001", 0.0, "b1"), ("0080000001", 0.0, "b2")]
+    assert rows(spark.table("gold_db.routes_summary"), "total_trips", "avg_distance_km") == [(1, 0.0)]
+    assert rows(spark.read.parquet(job.path("routes_summary_dq")), "routes_total", "routes_with_distance") == [(1, 1), (1, 1)]
+
+
 def test_year_over_year_is_null_without_a_base(spark):
     trips = spark.createDataFrame([("r", "2023-01-05"), ("r", "2024-01-01"), ("r", "2024-01-31"), ("r", "2024-02-01")], "region string, day string")
     trips = trips.withColumn("ts", F.col("day").cast("timestamp"))
