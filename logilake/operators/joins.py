@@ -30,23 +30,28 @@ def cascade_lookup(
 ) -> DataFrame:
     """Look ``value`` up by the first stage whose key matches; unmatched rows stay, with null.
 
-    Each stage is (left key, lookup key), and the left keys are computed from the columns in ``on``. The stages run
-    on the distinct values of those columns, so keys that are costly to compute are computed once per value, and
-    the large side is joined once however many stages there are.
+    Each stage is (left key, lookup key), and the left keys are computed from the columns in ``on``. The distinct
+    values of those columns meet the lookup in one join on (stage, key), whatever the number of stages, so keys
+    that are costly to compute are computed once per value. The large side is then joined once.
     """
     out = out or value
-    names = [f"_k{i}" for i in range(len(stages))]
-    found = left.select(*on).distinct().withColumns({n: key for n, (key, _) in zip(names, stages)})
-    for i, (_, lookup_key) in enumerate(stages):
-        found = found.join(unique_lookup(lookup, lookup_key, value, names[i], f"_v{i}"), names[i], "left")
-    values = [F.col(f"_v{i}") for i in range(len(stages))]
-    stage = F.coalesce(*[F.when(v.isNotNull(), F.lit(i + 1)) for i, v in enumerate(values)])
-    hits = found.select(
-        *[F.col(c).alias(f"_on{i}") for i, c in enumerate(on)], F.coalesce(*values).alias(out), stage.alias("_stage")
-    ).filter(F.col("_stage").isNotNull())
+
+    def keyed(keys: list[Column]) -> Column:
+        """One row per stage."""
+        return F.explode(F.array(*[F.struct(F.lit(i + 1).alias("_stage"), k.alias("_key")) for i, k in enumerate(keys)]))
+
+    probes = left.select(*on).distinct().select(*on, keyed([key for key, _ in stages]).alias("_p"))
+    known = lookup.select(F.col(value).alias("_value"), keyed([key for _, key in stages]).alias("_p"))
+    known = known.select("_p._stage", "_p._key", "_value").filter("_key IS NOT NULL AND _value IS NOT NULL")
+    known = known.groupBy("_stage", "_key").agg(F.min("_value").alias("_value"))
+    found = probes.select(*on, "_p._stage", "_p._key").join(known, ["_stage", "_key"])
+    hits = found.groupBy(*on).agg(F.min(F.struct("_stage", "_value")).alias("_hit"))
+    hits = hits.select(*[F.col(c).alias(f"_on{i}") for i, c in enumerate(on)], "_hit")
     same = reduce(lambda x, y: x & y, [left[c].eqNullSafe(hits[f"_on{i}"]) for i, c in enumerate(on)])
-    extra = [F.col("_stage").alias(stage_col)] if stage_col else []
-    return left.join(hits, same, "left").select(*[left[c] for c in left.columns], hits[out], *extra)
+    extra = [F.col("_hit._stage").alias(stage_col)] if stage_col else []
+    return left.join(hits, same, "left").select(
+        *[left[c] for c in left.columns], F.col("_hit._value").alias(out), *extra
+    )
 
 
 def _composite_equal(a, b, lnames: list[str], rnames: list[str]) -> Column:

@@ -411,6 +411,17 @@ def warehouse_figures(orders: DataFrame | None, tasks: DataFrame | None) -> Data
     )
 
 
+def _locate_warehouses(known: DataFrame, location: DataFrame | None, tolerance: float) -> DataFrame:
+    """Location of the mapped warehouses. Done on the map, before the figures of orders and tasks are joined, since
+    each lookup reads its left side twice."""
+    if location is None:
+        return known.withColumn("location_id", null_of("string"))
+    here = [(F.col("lat"), F.col("lat")), (F.col("lon"), F.col("lon"))]
+    placed = joins.tolerance_lookup(known, location, here, tolerance, "location_id", "_by_place")
+    placed = locate_addresses(placed, location, "_by_address")
+    return placed.withColumn("location_id", F.coalesce("_by_place", "_by_address")).drop("_by_place", "_by_address")
+
+
 def dim_warehouse(
     orders: DataFrame | None,
     tasks: DataFrame | None,
@@ -423,24 +434,17 @@ def dim_warehouse(
 
     The location is found by coordinates within the tolerance, else by the address.
     """
-    dim = warehouse_figures(orders, tasks)
     map_types = {"warehouse_name": "string", "address_raw": "string", "lat": "double", "lon": "double"}
+    dim = warehouse_figures(orders, tasks)
     if wh_map is None:
-        dim = dim.withColumns({name: null_of(kind) for name, kind in map_types.items()})
+        dim = dim.withColumns({name: null_of(kind) for name, kind in map_types.items()} | {"location_id": null_of("string")})
     else:
         known = wh_map.select(
             F.col("ewmwarehouse").cast("string").alias("warehouse_id"),
             *[column_or(wh_map, null_of(kind), name).cast(kind).alias(name) for name, kind in map_types.items()],
         )
-        order = [F.asc_nulls_last(c) for c in ("warehouse_name", "address_raw", "lat", "lon")]
-        dim = dim.join(dedupe.latest_by(known, ["warehouse_id"], order), "warehouse_id", "left")
-    if location is None:
-        dim = dim.withColumn("location_id", null_of("string"))
-    else:
-        here = [(F.col("lat"), F.col("lat")), (F.col("lon"), F.col("lon"))]
-        dim = joins.tolerance_lookup(dim, location, here, latlon_tolerance, "location_id", "_by_place")
-        dim = locate_addresses(dim, location, "_by_address")
-        dim = dim.withColumn("location_id", F.coalesce("_by_place", "_by_address"))
+        known = dedupe.latest_by(known, ["warehouse_id"], [F.asc_nulls_last(c) for c in map_types])
+        dim = dim.join(_locate_warehouses(known, location, latlon_tolerance), "warehouse_id", "left")
     return dim.select(
         "warehouse_id", "warehouse_name", "address_raw", "location_id", "lat", "lon", *_WAREHOUSE_FIGURES,
         as_of.alias("created_at"), as_of.alias("last_updated_at"),
