@@ -257,9 +257,15 @@ SALES_ORDER_RULES = {"SalesOrderDate": ["odata_date"], "TotalNetAmount": ["numer
 # ---- the same relations in SQL ----------------------------------------------------------------------------------
 
 
-def rnd(expression: str, digits: int) -> str:
-    """Half-up rounding on decimal digits, as Spark rounds a double."""
-    return f"CAST(round(CAST({expression} AS DECIMAL(38,12)), {digits}) AS DOUBLE)"
+def rnd(expression: str, digits: int, guard: int = 12) -> str:
+    """Half-up rounding on decimal digits, as Spark rounds a double. Binary noise beyond ``guard`` digits is dropped
+    first."""
+    return f"CAST(round(CAST({expression} AS DECIMAL(38,{guard})), {digits}) AS DOUBLE)"
+
+
+def rnd_ratio(expression: str, digits: int) -> str:
+    """The same for quotients of whole numbers, which often fall exactly between two roundings."""
+    return rnd(expression, digits, digits + 4)
 
 
 _STREET_ROWS = ", ".join(

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from logilake.catalog import adapters as a
-from logilake.catalog.adapters import SQL_LANES, SQL_PLACES, Tables, at, ntz, rnd, ts
+from logilake.catalog.adapters import SQL_LANES, SQL_PLACES, Tables, at, ntz, rnd, rnd_ratio, ts
 from logilake.catalog.registry import query
 from logilake.functions import dates
 from logilake.operators.schema import temporal_columns
@@ -198,12 +198,12 @@ _TASK_SQL = """
 """
 _FIGURES_SQL = f"""
     k AS (
-      SELECT wh, l_suppkey, count(DISTINCT ord) AS total_orders, {rnd("avg(w)", 3)} AS avg_order_planned_duration_min,
-        {rnd("quantile_disc(w, 0.9)", 3)} AS p90_order_planned_duration_min, count(DISTINCT task) AS total_tasks,
-        count(DISTINCT ord) AS distinct_orders_for_tasks, {rnd("avg(dur)", 3)} AS avg_task_duration_min,
-        {rnd("quantile_disc(dur, 0.9)", 3)} AS p90_task_duration_min, {rnd("avg(w)", 3)} AS avg_task_weight_kg,
-        {rnd("avg(v)", 3)} AS avg_task_volume_m3, {rnd("CAST(count(DISTINCT task) AS DOUBLE) / count(DISTINCT ord)", 3)} AS tasks_per_order,
-        {rnd("avg(prio)", 3)} AS avg_priority, {rnd("CAST(count(*) FILTER (WHERE done) AS DOUBLE) / count(*)", 6)} AS pct_tasks_completed
+      SELECT wh, l_suppkey, count(DISTINCT ord) AS total_orders, {rnd_ratio("avg(w)", 3)} AS avg_order_planned_duration_min,
+        {rnd_ratio("quantile_disc(w, 0.9)", 3)} AS p90_order_planned_duration_min, count(DISTINCT task) AS total_tasks,
+        count(DISTINCT ord) AS distinct_orders_for_tasks, {rnd_ratio("avg(dur)", 3)} AS avg_task_duration_min,
+        {rnd_ratio("quantile_disc(dur, 0.9)", 3)} AS p90_task_duration_min, {rnd_ratio("avg(w)", 3)} AS avg_task_weight_kg,
+        {rnd_ratio("avg(v)", 3)} AS avg_task_volume_m3, {rnd_ratio("CAST(count(DISTINCT task) AS DOUBLE) / count(DISTINCT ord)", 3)} AS tasks_per_order,
+        {rnd_ratio("avg(prio)", 3)} AS avg_priority, {rnd("CAST(count(*) FILTER (WHERE done) AS DOUBLE) / count(*)", 6)} AS pct_tasks_completed
       FROM task GROUP BY wh, l_suppkey),
     ca AS (SELECT wh, area AS item, count(*) AS n FROM task GROUP BY ALL), cp AS (SELECT wh, product AS item, count(*) AS n FROM task GROUP BY ALL),
     ra AS (SELECT wh, item, row_number() OVER (PARTITION BY wh ORDER BY n DESC, item) AS rn FROM ca), rp AS (SELECT wh, item, row_number() OVER (PARTITION BY wh ORDER BY n DESC, item) AS rn FROM cp),
@@ -416,9 +416,9 @@ _ROUTES_SQL = f"""
         CAST(date_diff('second', planned, actual) AS DOUBLE) / 60 AS err, CAST(date_diff('second', pick, actual) AS DOUBLE) / 60 AS trav
       FROM lineitem JOIN arr ON l_orderkey = k JOIN addr s ON s.side = 's' AND s.key = l_suppkey JOIN addr c ON c.side = 'c' AND c.key = o_custkey),
     agg AS (
-      SELECT o, d, count(*) AS total_trips, {rnd("avg(trav)", 2)} AS avg_actual_travel_time_min, {rnd("quantile_disc(trav, 0.5)", 2)} AS median_actual_travel_time_min,
-        {rnd("avg(err)", 2)} AS avg_eta_error_min, {rnd("avg(abs(err))", 2)} AS avg_abs_eta_error_min,
-        {rnd("CAST(count(*) FILTER (WHERE err > 15) AS DOUBLE) / count(*) * 100", 2)} AS pct_delayed, max(actual) AS last_trip_at
+      SELECT o, d, count(*) AS total_trips, {rnd_ratio("avg(trav)", 2)} AS avg_actual_travel_time_min, {rnd_ratio("quantile_disc(trav, 0.5)", 2)} AS median_actual_travel_time_min,
+        {rnd_ratio("avg(err)", 2)} AS avg_eta_error_min, {rnd_ratio("avg(abs(err))", 2)} AS avg_abs_eta_error_min,
+        {rnd_ratio("CAST(count(*) FILTER (WHERE err > 15) AS DOUBLE) / count(*) * 100", 2)} AS pct_delayed, max(actual) AS last_trip_at
       FROM tt GROUP BY o, d),
     routes AS (
       SELECT agg.o AS origin_location_id, agg.d AS dest_location_id, total_trips, avg_actual_travel_time_min, median_actual_travel_time_min, avg_eta_error_min,
@@ -456,8 +456,8 @@ def routes_dq_summary(t: Tables) -> DataFrame:
 
 @query(
     "weekly_distance",
-    f"""{_ROUTES} SELECT CAST(date_trunc('week', last_trip_at) AS DATE) AS week, {rnd("avg(CAST(avg_distance_km AS DECIMAL(24,6)))", 3)} AS avg_distance_km,
-      {rnd("avg(CAST(avg_network_duration_min AS DECIMAL(24,6)))", 2)} AS avg_network_duration_min FROM routes GROUP BY 1""",
+    f"""{_ROUTES} SELECT CAST(date_trunc('week', last_trip_at) AS DATE) AS week, {rnd_ratio("avg(CAST(avg_distance_km AS DECIMAL(24,6)))", 3)} AS avg_distance_km,
+      {rnd_ratio("avg(CAST(avg_network_duration_min AS DECIMAL(24,6)))", 2)} AS avg_network_duration_min FROM routes GROUP BY 1""",
     ("week",),
 )
 def weekly_distance(t: Tables) -> DataFrame:
@@ -467,7 +467,7 @@ def weekly_distance(t: Tables) -> DataFrame:
 @query(
     "weekly_eta_error",
     f"""{_ROUTES} SELECT CAST(last_trip_at AS DATE) - CAST(dayofweek(last_trip_at) AS INTEGER) AS week,
-      {rnd("avg(CAST(avg_eta_error_min AS DECIMAL(24,6)))", 4)} AS avg_eta_error_min, {rnd("avg(CAST(avg_abs_eta_error_min AS DECIMAL(24,6)))", 4)} AS avg_abs_eta_error_min FROM routes GROUP BY 1""",
+      {rnd_ratio("avg(CAST(avg_eta_error_min AS DECIMAL(24,6)))", 4)} AS avg_eta_error_min, {rnd_ratio("avg(CAST(avg_abs_eta_error_min AS DECIMAL(24,6)))", 4)} AS avg_abs_eta_error_min FROM routes GROUP BY 1""",
     ("week",),
 )
 def weekly_eta_error(t: Tables) -> DataFrame:
@@ -555,8 +555,8 @@ def kpi_rollup(t: Tables) -> DataFrame:
     "route_reliability",
     f"""
     WITH {_SHIP_SQL}, e AS (SELECT *, CAST(date_diff('second', picked_at, shipped_at) AS DOUBLE) / 60 - 43200 AS err FROM sh)
-    SELECT origin, dest, CAST(isodow(picked_at) AS INTEGER) AS day_of_week, CAST(hour(picked_at) AS INTEGER) AS hour, count(*) AS trips, {rnd("avg(err)", 2)} AS avg_error_min,
-      {rnd("CAST(count(*) FILTER (WHERE err > 15) AS DOUBLE) / count(*) * 100", 2)} AS pct_delayed FROM e GROUP BY ALL
+    SELECT origin, dest, CAST(isodow(picked_at) AS INTEGER) AS day_of_week, CAST(hour(picked_at) AS INTEGER) AS hour, count(*) AS trips, {rnd_ratio("avg(err)", 2)} AS avg_error_min,
+      {rnd_ratio("CAST(count(*) FILTER (WHERE err > 15) AS DOUBLE) / count(*) * 100", 2)} AS pct_delayed FROM e GROUP BY ALL
     """,
 )
 def route_reliability(t: Tables) -> DataFrame:
@@ -569,7 +569,7 @@ def route_reliability(t: Tables) -> DataFrame:
     "route_cost_per_km",
     f"""
     WITH {_SHIP_SQL}
-    SELECT origin, dest, count(*) AS trips, {rnd("CASE WHEN sum(days) <> 0 THEN CAST(sum(qty) AS DOUBLE) / sum(days) END", 4)} AS cost_per_km FROM sh GROUP BY origin, dest
+    SELECT origin, dest, count(*) AS trips, {rnd_ratio("CASE WHEN sum(days) <> 0 THEN CAST(sum(qty) AS DOUBLE) / sum(days) END", 4)} AS cost_per_km FROM sh GROUP BY origin, dest
     """,
 )
 def route_cost_per_km(t: Tables) -> DataFrame:
