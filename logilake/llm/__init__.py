@@ -2,12 +2,12 @@
 
 import sys
 
-from logilake.llm import bpe, common, exact_dedup, histogram_shards
+from logilake.llm import bpe, common, exact_dedup, histogram_shards, license_scan
 from logilake.llm.common import ORACLE, QUERIES
 
 common.ship_by_value(sys.modules[__name__])
 
-__all__ = ["all_queries", "all_sql", "bpe", "exact_dedup", "histogram_shards"]
+__all__ = ["all_queries", "all_sql", "bpe", "exact_dedup", "histogram_shards", "license_scan"]
 
 
 def all_queries():
