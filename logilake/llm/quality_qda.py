@@ -10,7 +10,7 @@ two classes' log densities and log priors, from Mahalanobis distances by Cholesk
 Defined cases: a null text is empty and gets a score like any text. Labels other than 0 and 1, null labels and null
 ids in ``labels`` are not learned from; a document with several labels counts once for each. With fewer than two
 labelled rows of a class the score is the share of label 1, or 0.5 without any label. Labels, lang, source and
-doc_id are never inputs. Rows that repeat are scored alike. The filter keeps rows without an id, which it cannot name.
+doc_id are never inputs. Rows that repeat are scored alike.
 """
 
 from __future__ import annotations
@@ -179,11 +179,16 @@ def from_sums(products: np.ndarray) -> Model:
     )
 
 
+def learned(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, Model]:
+    """Vectors of all documents, and the model that their labels outside the held-out fold give."""
+    found = staged(vectors(docs), "quality-vectors").withColumn("held_out", fold("doc_id", FOLDS) == HELD_OUT)
+    known = labels.select("doc_id", F.col("quality").cast("int").alias("label")).where("label IN (0, 1)")
+    return found, fit(found.where(~F.col("held_out")).join(known, "doc_id"))
+
+
 def scored(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, held_out, score and predicted for every document, learned outside the held-out fold."""
-    found = staged(vectors(docs), "quality-vectors").withColumn("held_out", fold("doc_id", FOLDS) == HELD_OUT)
-    known = labels.select(F.col("doc_id"), F.col("quality").cast("int").alias("label")).where("label IN (0, 1)")
-    model = fit(found.where(~F.col("held_out")).join(known, "doc_id"))
+    found, model = learned(docs, labels)
 
     def run(batches):
         for batch in batches:
@@ -200,9 +205,20 @@ def scored(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents that the classifier does not reject, all their columns as they were."""
-    rejected = scored(docs, labels).where("predicted = 0").select("doc_id")
-    return docs.join(rejected, "doc_id", "left_anti").select(*docs.columns)
+    """The documents that the classifier does not reject, all their columns as they were.
+
+    Statistics are computed again where the texts are, which is cheaper than moving the texts to their scores.
+    """
+    _, model = learned(docs, labels)
+    text_at = docs.columns.index("text")
+
+    def run(batches):
+        for batch in batches:
+            if batch.num_rows:
+                x = np.array([statistics(t) for t in batch.column(text_at).to_pylist()], np.float32).astype(float)
+                yield batch.filter(pa.array(model.scores(x) >= 0.5))
+
+    return docs.mapInArrow(run, docs.schema)
 
 
 @query("op2_quality_qda")
