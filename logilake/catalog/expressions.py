@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import replace
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from logilake.catalog import adapters as a
@@ -86,9 +86,10 @@ _LOOSE_SQL = "trim(regexp_replace(regexp_replace(lower(strip_accents(replace(tex
 )
 def address_norm_hash(t: Tables) -> DataFrame:
     """The address normaliser over whole multilingual texts."""
-    norm = text.normalise_address(F.col("text"))
-    loose = text.normalise_address(F.col("text"), keep_punctuation=False)
-    rows = t.documents.select("doc_id", norm.alias("norm"), loose.alias("loose"))
+    # The file has one row group: the rows are spread before the costly part, and both forms share the spelling.
+    spelled = t.documents.select("doc_id", "text").repartition("doc_id").select("doc_id", text.to_ascii(F.lower("text")).alias("spelled"))
+    norm, loose = text.normalise_ascii(F.col("spelled")), text.normalise_ascii(F.col("spelled"), keep_punctuation=False)
+    rows = spelled.select("doc_id", norm.alias("norm"), loose.alias("loose"))
     return rows.select(
         "doc_id",
         F.length("norm").cast("bigint").alias("norm_length"),
@@ -97,11 +98,31 @@ def address_norm_hash(t: Tables) -> DataFrame:
     )
 
 
+# Places in several scripts and their normal forms.
+PLACES = [("Αθήνα", "athina"), ("Москва", "moskva"), ("上海", "上海"), ("北京", "北京"), ("Hà Nội", "ha noi"), ("Київ", "kiiv"), ("서울", "서울")]
+_PLACE_ROWS = ", ".join(f"({i}, '{norm}')" for i, (_, norm) in enumerate(PLACES))
+
+
+@query(
+    "address_scripts",
+    f"""
+    WITH p(i, norm) AS (VALUES {_PLACE_ROWS})
+    SELECT c_custkey, norm || ' ' || c_custkey AS addr_norm, sha256(norm || ' ' || c_custkey) AS addr_hash FROM customer JOIN p ON i = c_custkey % {len(PLACES)}
+    """,
+)
+def address_scripts(t: Tables) -> DataFrame:
+    """Greek, Cyrillic, Chinese and Korean places: different ones keep different hashes."""
+    city = F.element_at(F.array(*[F.lit(raw) for raw, _ in PLACES]), (F.col("c_custkey") % len(PLACES) + 1).cast("int"))
+    norm = text.normalise_address(F.concat(city, F.lit("  #"), F.col("c_custkey").cast("string")))
+    rows = t.customer.select("c_custkey", norm.alias("addr_norm"))
+    return rows.withColumn("addr_hash", text.address_hash(F.col("addr_norm")))
+
+
 @query(
     "party_and_key_cleanup",
     """
     SELECT c_custkey, trim(lower(c_name)) || ' ' || lower(c_mktsegment) AS party,
-      c_custkey AS doc_number, CAST(c_nationkey AS INTEGER) AS item_no,
+      '99' || lpad(CAST(c_custkey AS VARCHAR), 8, '0') AS doc_number, CAST(c_nationkey AS INTEGER) AS item_no,
       CAST(c_custkey AS VARCHAR) AS bare_key,
       CASE WHEN c_mktsegment = 'BUILDING' THEN NULL ELSE c_mktsegment END AS segment
     FROM customer
@@ -112,7 +133,7 @@ def party_and_key_cleanup(t: Tables) -> DataFrame:
     return t.customer.select(
         "c_custkey",
         F.lower(text.join_words(c("c_name"), c("c_mktsegment"))).alias("party"),
-        text.last_digits(F.concat(F.lit("99"), a.padded(c("c_custkey"), 8))).alias("doc_number"),
+        text.document_number(F.concat(F.lit("0099"), a.padded(c("c_custkey"), 8))).alias("doc_number"),
         text.item_number(a.padded(c("c_nationkey"), 6)).alias("item_no"),
         text.strip_prefix(F.concat(F.lit("ewm:"), c("c_custkey").cast("string")), "ewm:").alias("bare_key"),
         text.blank_to_null(F.when(c("c_mktsegment") == "BUILDING", "").otherwise(c("c_mktsegment"))).alias("segment"),
@@ -199,12 +220,17 @@ def dq_batch_log(t: Tables) -> DataFrame:
 # ---- raw documents ----------------------------------------------------------------------------------------------
 
 
+RECORDS_PER_DOCUMENT = 7
+
+
 def _documents(records: DataFrame, entity: str) -> DataFrame:
-    """One JSON response document per record, in the entity's envelope."""
-    body = F.array(F.struct(*records.columns))
+    """JSON response documents of several records each, in the entity's envelope."""
+    page = F.pmod(F.xxhash64(*records.columns), F.lit(1 << 40)) % F.greatest(F.lit(1), F.lit(records.count() // RECORDS_PER_DOCUMENT))
+    body = F.col("records")
     for part in reversed(ENTITIES[entity].envelope.split(".")):
         body = F.struct(body.alias(part))
-    return records.select(F.to_json(body).alias("value"))
+    pages = records.groupBy(page.alias("page")).agg(F.collect_list(F.struct(*records.columns)).alias("records"))
+    return pages.select(F.to_json(body).alias("value"))
 
 
 @query(
@@ -231,25 +257,69 @@ def silver_fact(t: Tables) -> DataFrame:
     _documents(a.raw_sales_orders(t), entity.name).write.option("compression", "gzip").text(raw)
     paths = silver.SilverPaths(work_dir(t.spark, "silver"))
     silver.run_entity(t.spark, entity, raw, paths, "b1", at("2024-01-01"))
-    rows = t.spark.read.parquet(paths.table(entity))
+    rows = silver.read_entity(t.spark, paths, entity)
     return rows.select("SalesOrder", "SoldToParty", ntz("SalesOrderDate").alias("SalesOrderDate"), "TotalNetAmount")
 
 
-@query("stream_intake", _FACT_SQL)
-def stream_intake(t: Tables) -> DataFrame:
-    """Orders before the cut arrive first, the others next; a third run finds nothing new."""
+def _order_columns(rows: DataFrame) -> DataFrame:
+    return rows.select("SalesOrder", "SoldToParty", ntz("SalesOrderDate").alias("SalesOrderDate"), "TotalNetAmount")
+
+
+@query("silver_fact_redelivered", _FACT_SQL)
+def silver_fact_redelivered(t: Tables) -> DataFrame:
+    """Every order in two files and in two batches, the second of them run twice."""
     entity = replace(ENTITIES["sales_order"], partition_unit="year")
-    raw, checkpoint = work_dir(t.spark, "raw"), work_dir(t.spark, "checkpoint")
+    raw, paths = work_dir(t.spark, "raw"), silver.SilverPaths(work_dir(t.spark, "silver"))
+    for _ in range(2):
+        _documents(a.raw_sales_orders(t), entity.name).write.mode("append").text(raw)
+    for batch in ("007", "8", "8"):
+        silver.run_entity(t.spark, entity, raw, paths, batch, at("2024-01-01"))
+    return _order_columns(silver.load(t.spark, paths, [entity])[entity.name])
+
+
+def _run_stream(t: Tables) -> tuple:
+    """Orders before the cut arrive first, the others next; a third run finds nothing new. A new checkpoint then
+    reads everything again, and a batch run uses the same paths."""
+    entity = replace(ENTITIES["sales_order"], partition_unit="year")
+    raw = work_dir(t.spark, "raw")
     paths = silver.SilverPaths(work_dir(t.spark, "stream"))
     early = F.col("o_orderdate") < F.lit(a.CUT)
-    for part in (t.orders.filter(early), t.orders.filter(~early), None):
+    first, second = work_dir(t.spark, "checkpoint"), work_dir(t.spark, "checkpoint")
+    for part, checkpoint in ((t.orders.filter(early), first), (None, first), (t.orders.filter(~early), second)):
         if part is not None:
             wave = Tables(t.spark, t.dir)
             wave.orders = part
             _documents(a.raw_sales_orders(wave), entity.name).write.mode("append").text(raw)
         intake.run_intake(t.spark, entity, raw, paths, checkpoint, lambda epoch: at("2024-01-01"))
-    rows = intake.read_facts(t.spark, paths, entity)
-    return rows.select("SalesOrder", "SoldToParty", ntz("SalesOrderDate").alias("SalesOrderDate"), "TotalNetAmount")
+    silver.run_entity(t.spark, entity, raw, paths, "batch", at("2024-01-01"))
+    return entity, paths
+
+
+@query("stream_intake", _FACT_SQL)
+def stream_intake(t: Tables) -> DataFrame:
+    entity, paths = _run_stream(t)
+    return _order_columns(intake.read_facts(t.spark, paths, entity))
+
+
+@query(
+    "stream_rejects_and_log",
+    f"""
+    WITH {_RAW_SQL},
+    j AS (SELECT *, (reject_reason IS NULL OR reject_reason = 'missing_required') AS ok, o_orderdate < TIMESTAMP '{a.CUT}' AS early FROM judged)
+    SELECT 'log' AS kind, CAST(count(*) FILTER (WHERE ok AND early) + 2 * count(*) FILTER (WHERE ok) AS BIGINT) AS good, CAST(count(*) FILTER (WHERE NOT ok AND early) + 2 * count(*) FILTER (WHERE NOT ok) AS BIGINT) AS bad FROM j
+    UNION ALL SELECT 'rejects', CAST(0 AS BIGINT), CAST(count(*) FILTER (WHERE NOT ok AND early) + 2 * count(*) FILTER (WHERE NOT ok) AS BIGINT) FROM j
+    """,
+)
+def stream_rejects_and_log(t: Tables) -> DataFrame:
+    """Log and rejects of two checkpoints and a batch on the same paths: the first wave once, and all orders twice."""
+    entity, paths = _run_stream(t)
+    log = silver.read_log(t.spark, paths, entity).agg(
+        F.lit("log").alias("kind"), F.sum("records_processed").alias("good"), F.sum("records_rejected").alias("bad")
+    )
+    rejects = silver.read_rejects(t.spark, paths, entity).agg(
+        F.lit("rejects").alias("kind"), F.lit(0).cast("bigint").alias("good"), F.count(F.lit(1)).alias("bad")
+    )
+    return log.unionByName(rejects)
 
 
 # ---- one row per group ------------------------------------------------------------------------------------------
@@ -343,6 +413,23 @@ def scd2_apply(t: Tables) -> DataFrame:
     return state.scd2_apply(first, _latest_priority(t.orders), ["o_custkey"], at("2001-12-31"), ["o_orderpriority"])
 
 
+@query("scd2_late_batch", _SCD2_SQL, ("start_date", "end_date"))
+def scd2_late_batch(t: Tables) -> DataFrame:
+    """The two batches of ``scd2_apply`` in the wrong order, from an empty start: the late one takes its place."""
+    before = t.orders.filter(F.col("o_orderdate") < F.lit(a.CUT))
+    late = state.scd2_apply(None, _latest_priority(t.orders), ["o_custkey"], at("2001-12-31"), ["o_orderpriority"])
+    state_now = state.scd2_apply(late, _latest_priority(before), ["o_custkey"], at(a.CUT), ["o_orderpriority"], late="insert")
+    # Applied in order, a value that stays the same is one version; here the later row tells it again.
+    again = F.lag("o_orderpriority").over(Window.partitionBy("o_custkey").orderBy("start_date"))
+    told = state_now.withColumn("_again", again.eqNullSafe(F.col("o_orderpriority")) & F.col("is_current"))
+    following = F.lead("_again").over(Window.partitionBy("o_custkey").orderBy("start_date"))
+    merged = told.withColumn("_open", F.coalesce(following, F.lit(False))).filter("NOT _again")
+    return merged.select(
+        "o_custkey", "o_orderpriority", "o_orderstatus", "start_date",
+        F.when(~F.col("_open"), F.col("end_date")).alias("end_date"), (F.col("is_current") | F.col("_open")).alias("is_current"),
+    )
+
+
 @query(
     "stream_scd2",
     """

@@ -59,12 +59,16 @@ def cascade_lookup(t: Tables) -> DataFrame:
     "SELECT l_orderkey, l_linenumber, l_suppkey, o_custkey, o_orderdate FROM lineitem JOIN orders ON l_orderkey = o_orderkey",
 )
 def best_coverage_join(t: Tables) -> DataFrame:
-    """Padded document numbers never equal plain ones as text, so the numeric key is chosen."""
-    lines = t.lineitem.select("l_orderkey", "l_linenumber", "l_suppkey", a.padded(F.col("l_orderkey"), 10).alias("doc"))
-    orders = t.orders.select(F.concat(F.lit(" "), F.col("o_orderkey").cast("string")).alias("order_no"), "o_custkey", "o_orderdate")
+    """Two thirds of the lines have padded numbers, which never equal plain ones as text; the rest match as text only."""
+    key = F.col("l_orderkey")
+    odd = key % 3 == 0
+    doc = F.when(odd, F.concat(F.lit("x-"), key.cast("string"))).otherwise(a.padded(key, 10))
+    lines = t.lineitem.select("l_orderkey", "l_linenumber", "l_suppkey", doc.alias("doc"))
+    name = F.when(F.col("o_orderkey") % 3 == 0, F.concat(F.lit("x-"), F.col("o_orderkey").cast("string")))
+    orders = t.orders.select(F.coalesce(name, F.concat(F.lit(" "), F.col("o_orderkey").cast("string"))).alias("order_no"), "o_custkey", "o_orderdate")
     as_text = [(F.col("doc"), F.col("order_no"))]
-    numeric = [(text.last_digits(F.col("doc")), text.to_integer(F.col("order_no")))]
-    joined = joins.best_coverage_join(lines, orders, [as_text, numeric], "inner")
+    numeric = [(text.to_integer(F.col("doc")), text.to_integer(F.col("order_no")))]
+    joined = joins.first_match_join(lines, orders, [as_text, numeric], "inner")
     return joined.select("l_orderkey", "l_linenumber", "l_suppkey", "o_custkey", "o_orderdate")
 
 

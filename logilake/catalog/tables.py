@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from logilake.catalog import adapters as a
-from logilake.catalog.adapters import SQL_LANES, SQL_PLACES, Tables, at, ntz, rnd, rnd_ratio, ts
+from logilake.catalog.adapters import SQL_KNOWN, SQL_KNOWN_LANES, SQL_LANES, SQL_PLACES, Tables, at, ntz, rnd, rnd_ratio, ts
 from logilake.catalog.registry import query
 from logilake.functions import dates
 from logilake.operators.schema import temporal_columns
@@ -88,7 +88,7 @@ def dim_product(t: Tables) -> DataFrame:
       SELECT min(lo) AS lo, max(hi) AS hi FROM (
         SELECT min(o_orderdate) AS lo, max(o_orderdate) AS hi FROM orders UNION ALL
         SELECT min(l_shipdate), max(l_shipdate) FROM lineitem UNION ALL SELECT min(ts), max(ts) FROM events)),
-    d AS (SELECT CAST(g AS DATE) AS d FROM r, generate_series(CAST(greatest(CAST(lo AS DATE), CAST(hi AS DATE) - 3650) AS TIMESTAMP), CAST(CAST(hi AS DATE) AS TIMESTAMP), INTERVAL 1 DAY) s(g))
+    d AS (SELECT CAST(g AS DATE) AS d FROM r, generate_series(CAST(CAST(lo AS DATE) AS TIMESTAMP), CAST(CAST(hi AS DATE) AS TIMESTAMP), INTERVAL 1 DAY) s(g))
     SELECT d AS date, CAST(d AS TIMESTAMP) AS date_ts, strftime(d, '%Y%m%d') AS date_key, strftime(d, '%Y') AS year,
       CAST(month(d) AS INTEGER) AS month, CAST(day(d) AS INTEGER) AS day, CAST(isodow(d) AS INTEGER) AS day_of_week, isodow(d) >= 6 AS is_weekend,
       CAST(weekofyear(d) AS INTEGER) AS week_of_year, CAST(quarter(d) AS INTEGER) AS quarter, monthname(d) AS month_name
@@ -104,14 +104,14 @@ def dim_time(t: Tables) -> DataFrame:
 @query(
     "dim_location",
     f"""
-    WITH {SQL_PLACES}, top AS (SELECT * FROM loc ORDER BY cnt DESC, address_raw LIMIT 5000)
-    SELECT location_id, address_raw, addr_norm, lat, lon, addr_norm AS addr_norm_ascii FROM top
+    WITH {SQL_PLACES}, known AS (SELECT * FROM loc WHERE {SQL_KNOWN})
+    SELECT location_id, address_raw, addr_norm, lat, lon, addr_norm AS addr_norm_ascii FROM known
     """,
 )
 def dim_location(t: Tables) -> DataFrame:
-    """The 5000 most frequent addresses, which is the operator's own limit."""
+    """All addresses that the gazetteer knows; it lacks every third."""
     places = a.all_places(t)
-    dim = dims.dim_location(places, a.gazetteer(places), at("2024-01-01"), top_n=5000)
+    dim = dims.dim_location(places, a.gazetteer(places.filter(a.KNOWN)), at("2024-01-01"))
     return dim.select("location_id", "address_raw", "addr_norm", "lat", "lon", "addr_norm_ascii")
 
 
@@ -173,22 +173,6 @@ def distance_matrix_network(t: Tables) -> DataFrame:
     return matrix.withColumns({c: F.round(c, 6) for c in ("distance_km", "network_duration_min")})
 
 
-@query(
-    "distance_matrix_all_pairs",
-    f"""
-    WITH {SQL_PLACES}, top AS (SELECT location_id, lat, lon FROM loc ORDER BY location_id LIMIT 300),
-    hav AS (
-      SELECT a.location_id AS o, b.location_id AS d, least(1.0, pow(sin(radians(b.lat - a.lat) / 2), 2) + cos(radians(a.lat)) * cos(radians(b.lat)) * pow(sin(radians(b.lon - a.lon) / 2), 2)) AS h
-      FROM top a, top b)
-    SELECT o AS origin_location_id, d AS dest_location_id, {rnd("2 * 6371.0 * atan2(sqrt(h), sqrt(1 - h))", 6)} AS distance_km FROM hav
-    """,
-)
-def distance_matrix_all_pairs(t: Tables) -> DataFrame:
-    """All pairs of the first 300 locations, which is the operator's own limit."""
-    matrix = dims.distance_matrix(a.locations(t), top_n=300)
-    return matrix.select("origin_location_id", "dest_location_id", F.round("distance_km", 6).alias("distance_km"))
-
-
 _TASK_SQL = """
     task AS (
       SELECT 'WH' || lpad(CAST(l_suppkey AS VARCHAR), 6, '0') AS wh, l_suppkey, l_orderkey || '-' || l_linenumber AS task, l_orderkey AS ord,
@@ -256,20 +240,40 @@ def dim_warehouse(t: Tables) -> DataFrame:
     "dq_summary",
     f"""
     WITH {SQL_PLACES}, w AS (SELECT DISTINCT l_suppkey FROM lineitem),
-    d AS (SELECT l_suppkey, lat FROM w LEFT JOIN addr ON side = 's' AND key = l_suppkey)
+    d AS (SELECT l_suppkey, lat FROM w LEFT JOIN addr ON side = 's' AND key = l_suppkey AND key % 7 <> 0)
     SELECT '2024-01-01' AS run_ts, count(*) AS n_warehouses, count(*) FILTER (WHERE lat IS NULL) AS missing_location_id_and_latlon, count(*) FILTER (WHERE lat IS NULL) AS missing_lat_or_lon FROM d
     """,
 )
 def dq_summary(t: Tables) -> DataFrame:
-    return dims.warehouse_summary(_warehouse_dim(t), F.lit("2024-01-01"))
+    """Every seventh warehouse is not on the map."""
+    mapped = a.warehouse_map(t).filter(F.substring("ewmwarehouse", 3, 6).cast("int") % 7 != 0)
+    dim = dims.dim_warehouse(a.warehouse_order(t), a.warehouse_task(t), at("2024-01-01"), mapped, a.locations(t))
+    return dims.warehouse_summary(dim, F.lit("2024-01-01"))
+
+
+@query(
+    "matrix_with_gaps",
+    f"""
+    WITH {SQL_PLACES}, {SQL_LANES}, {SQL_KNOWN_LANES}
+    SELECT o AS origin_location_id, d AS dest_location_id, {rnd("km", 6)} AS distance_km, CASE WHEN km IS NOT NULL THEN 'great_circle' END AS source, '2024-01-01' AS retrieved_at FROM kdist
+    """,
+)
+def matrix_with_gaps(t: Tables) -> DataFrame:
+    """Lanes with an end that has no place stay without a distance."""
+    matrix = _matrix_with_gaps(t)
+    return matrix.withColumn("distance_km", F.round("distance_km", 6)).drop("network_duration_min")
+
+
+def _matrix_with_gaps(t: Tables) -> DataFrame:
+    return dims.distance_matrix(a.locations(t).filter(a.KNOWN), a.lane_use(t), retrieved_at=F.lit("2024-01-01"))
 
 
 @query(
     "matrix_dq_summary",
-    f"WITH {SQL_PLACES}, {SQL_LANES} SELECT '2024-01-01' AS run_ts, count(*) AS pairs_total, count(km) AS pairs_with_metric FROM dist",
+    f"WITH {SQL_PLACES}, {SQL_LANES}, {SQL_KNOWN_LANES} SELECT '2024-01-01' AS run_ts, count(*) AS pairs_total, count(km) AS pairs_with_metric FROM kdist",
 )
 def matrix_dq_summary(t: Tables) -> DataFrame:
-    return dims.matrix_summary(a.lanes(t), F.lit("2024-01-01"))
+    return dims.matrix_summary(_matrix_with_gaps(t), F.lit("2024-01-01"))
 
 
 # ---- trip fact --------------------------------------------------------------------------------------------------
@@ -319,31 +323,48 @@ def fact_trip(t: Tables) -> DataFrame:
 @query(
     "fact_trip_fanout",
     f"""
-    WITH {SQL_PLACES}, {SQL_LANES}, {_TRIP_SQL.split("lane_min AS")[0].rstrip().rstrip(",")},
-    fan AS (SELECT h.*, l.o AS fo, l.d AS fd FROM head h JOIN (SELECT DISTINCT d AS o, o AS d FROM lane) l ON h.addr_hash = l.o)
-    SELECT fo AS origin_location_id, count(*) AS trips, count(DISTINCT fd) AS destinations, count(DISTINCT deliverydocument) AS deliveries FROM fan GROUP BY fo
+    WITH {SQL_PLACES}, {SQL_LANES},
+    head AS (SELECT c.addr_hash, count(*) AS deliveries FROM orders JOIN addr c ON c.side = 'c' AND c.key = o_custkey GROUP BY 1),
+    fan AS (SELECT d, count(DISTINCT o) AS destinations FROM lane GROUP BY d)
+    SELECT d AS origin_location_id, deliveries * destinations AS trips, destinations, deliveries FROM head JOIN fan ON d = addr_hash
     """,
 )
 def fact_trip_fanout(t: Tables) -> DataFrame:
-    """Every delivery against all lanes that leave its address, summed per address; the lanes are the reverse ones."""
+    """Deliveries of each address against all lanes that leave it, counted from the lanes' number; the lanes are the
+    reverse ones."""
     reverse = a.lane_use(t).select(
         F.col("dest_location_id").alias("origin_location_id"), F.col("origin_location_id").alias("dest_location_id")
     )
-    lanes = dims.distance_matrix(a.locations(t), reverse)
-    fan = facts.fact_trip(
-        a.delivery_header(t).filter(F.col("DeliveryDate").isNotNull()),
-        a.delivery_address(t),
-        a.locations(t),
-        lanes,
-        a.warehouse_locations(t),
-        ON_TIME_MIN,
-        "origin_fanout",
+    degree = facts.shortest_lanes(dims.distance_matrix(a.locations(t), reverse)).groupBy("origin_location_id").agg(
+        F.count(F.lit(1)).alias("destinations")
+    )
+    trips = facts.located_trips(
+        a.delivery_header(t), a.delivery_address(t), a.locations(t), a.warehouse_locations(t), to_warehouse=False
+    )
+    here = trips.groupBy(F.col("_place").alias("origin_location_id")).agg(F.count(F.lit(1)).alias("deliveries"))
+    return here.join(degree, "origin_location_id").select(
+        "origin_location_id", (F.col("deliveries") * F.col("destinations")).alias("trips"), "destinations", "deliveries"
     )
-    return fan.groupBy("origin_location_id").agg(
-        F.count(F.lit(1)).alias("trips"),
-        F.countDistinct("dest_location_id").alias("destinations"),
-        F.countDistinct("deliverydocument").alias("deliveries"),
+
+
+@query(
+    "fact_trip_redelivered",
+    f"{_FACT} SELECT deliverydocument, count(*) AS trips FROM fact GROUP BY 1",
+)
+def fact_trip_redelivered(t: Tables) -> DataFrame:
+    """Every header and address twice: still one trip per delivery."""
+    header, address = a.delivery_header(t), a.delivery_address(t)
+    fact = facts.fact_trip(
+        header.unionByName(header), address.unionByName(address), a.locations(t), a.lanes(t), a.warehouse_locations(t), ON_TIME_MIN
     )
+    return fact.groupBy("deliverydocument").agg(F.count(F.lit(1)).alias("trips"))
+
+
+@query("trips_without_calendar_day", "SELECT CAST(0 AS BIGINT) AS trips")
+def trips_without_calendar_day(t: Tables) -> DataFrame:
+    """Trips whose record date is not in the calendar."""
+    days = dim_time(t).select(F.col("date").alias("record_date"))
+    return trip_fact(t).join(days, "record_date", "left_anti").agg(F.count(F.lit(1)).alias("trips"))
 
 
 @query("total_trips", f"{_FACT} SELECT count(*) AS total_trips FROM fact")
@@ -414,7 +435,7 @@ _ROUTES_SQL = f"""
     tt AS (
       SELECT s.addr_hash AS o, c.addr_hash AS d, actual,
         CAST(date_diff('second', planned, actual) AS DOUBLE) / 60 AS err, CAST(date_diff('second', pick, actual) AS DOUBLE) / 60 AS trav
-      FROM lineitem JOIN arr ON l_orderkey = k JOIN addr s ON s.side = 's' AND s.key = l_suppkey JOIN addr c ON c.side = 'c' AND c.key = o_custkey),
+      FROM (SELECT DISTINCT l_suppkey, l_orderkey, l_linenumber FROM lineitem) JOIN arr ON l_orderkey = k JOIN addr s ON s.side = 's' AND s.key = l_suppkey JOIN addr c ON c.side = 'c' AND c.key = o_custkey),
     agg AS (
       SELECT o, d, count(*) AS total_trips, {rnd_ratio("avg(trav)", 2)} AS avg_actual_travel_time_min, {rnd_ratio("quantile_disc(trav, 0.5)", 2)} AS median_actual_travel_time_min,
         {rnd_ratio("avg(err)", 2)} AS avg_eta_error_min, {rnd_ratio("avg(abs(err))", 2)} AS avg_abs_eta_error_min,
@@ -446,12 +467,76 @@ def routes_summary(t: Tables) -> DataFrame:
     return lane_summary(t).withColumn("last_trip_at", ntz("last_trip_at"))
 
 
+_UNMAPPED_SQL = f"""
+    u AS (
+      SELECT CASE WHEN l_suppkey % 5 = 0 THEN 'ewm:WH' || lpad(CAST(l_suppkey AS VARCHAR), 6, '0') ELSE s.addr_hash END AS o, c.addr_hash AS d, l_suppkey
+      FROM (SELECT DISTINCT l_suppkey, l_orderkey, l_linenumber FROM lineitem) JOIN orders ON l_orderkey = o_orderkey
+      JOIN addr s ON s.side = 's' AND s.key = l_suppkey JOIN addr c ON c.side = 'c' AND c.key = o_custkey),
+    routes AS (
+      SELECT u.o AS origin_location_id, u.d AS dest_location_id, count(*) AS total_trips,
+        CASE WHEN u.o LIKE 'ewm:%' THEN max(CASE WHEN l_suppkey % 10 = 0 THEN CAST(l_suppkey AS DOUBLE) END) ELSE {rnd("max(km)", 3)} END AS avg_distance_km
+      FROM u LEFT JOIN dist ON dist.o = u.o AND dist.d = u.d GROUP BY u.o, u.d)
+"""
+_UNMAPPED = f"WITH {SQL_PLACES}, {SQL_LANES}, {_UNMAPPED_SQL}"
+
+
+def _unmapped_routes(t: Tables) -> DataFrame:
+    """Every fifth warehouse has no place; half of these have lanes under their bare code."""
+    number = F.substring("warehouse_id", 3, 6).cast("int")
+    orders = t.orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
+    dest = a.customer_places(t).select(F.col("key").alias("o_custkey"), F.col("addr_hash").alias("dest_location_id"))
+    bare = t.lineitem.filter("l_suppkey % 10 = 0").join(orders, "l_orderkey").select("l_suppkey", "o_custkey").distinct()
+    bare = bare.join(dest, "o_custkey").select(
+        a.warehouse_code(F.col("l_suppkey")).alias("origin_location_id"),
+        "dest_location_id",
+        F.col("l_suppkey").cast("double").alias("distance_km"),
+        (F.col("l_suppkey") * 2.0).alias("network_duration_min"),
+        F.lit("network").alias("source"),
+    )
+    return facts.routes_summary(
+        a.warehouse_task(t), a.delivery_item(t), a.delivery_address(t), a.locations(t), a.delivery_header(t),
+        a.lanes(t).unionByName(bare), F.lit("2024-01-01"), a.warehouse_locations(t).filter(number % 5 != 0),
+    )
+
+
+@query("routes_unmapped_warehouses", f"{_UNMAPPED} SELECT * FROM routes")
+def routes_unmapped_warehouses(t: Tables) -> DataFrame:
+    """Default origins of unmapped warehouses, and lanes found without their prefix."""
+    return _unmapped_routes(t).select("origin_location_id", "dest_location_id", "total_trips", "avg_distance_km")
+
+
 @query(
     "routes_dq_summary",
-    f"{_ROUTES} SELECT '2024-01-01' AS run_ts, count(*) AS routes_total, count(avg_distance_km) AS routes_with_distance FROM routes",
+    f"{_UNMAPPED} SELECT '2024-01-01' AS run_ts, count(*) AS routes_total, count(avg_distance_km) AS routes_with_distance FROM routes",
 )
 def routes_dq_summary(t: Tables) -> DataFrame:
-    return facts.routes_dq(lane_summary(t), F.lit("2024-01-01"))
+    return facts.routes_dq(_unmapped_routes(t), F.lit("2024-01-01"))
+
+
+@query(
+    "routes_item_destinations",
+    f"""
+    WITH {SQL_PLACES},
+    i AS (
+      SELECT l_orderkey, l_linenumber, min(CASE WHEN l_linenumber % 2 = 0 THEN c.addr_hash ELSE s.addr_hash END) AS d
+      FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN addr s ON s.side = 's' AND s.key = l_suppkey JOIN addr c ON c.side = 'c' AND c.key = o_custkey GROUP BY ALL)
+    SELECT d AS dest_location_id, count(*) AS tasks FROM (SELECT DISTINCT l_suppkey, l_orderkey, l_linenumber FROM lineitem) JOIN i USING (l_orderkey, l_linenumber) GROUP BY 1
+    """,
+)
+def routes_item_destinations(t: Tables) -> DataFrame:
+    """Addresses per delivery item: even items go to the customer, odd ones back to the supplier."""
+    fields = ("StreetName", "HouseNumber", "CityName", "PostalCode", "Country")
+    lines = t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey")).select("l_orderkey", "l_linenumber", "l_suppkey", "o_custkey")
+    to_customer = lines.filter("l_linenumber % 2 = 0").join(a.customer_places(t), F.col("o_custkey") == F.col("key"))
+    to_supplier = lines.filter("l_linenumber % 2 = 1").join(a.supplier_places(t), F.col("l_suppkey") == F.col("key"))
+    address = to_customer.unionByName(to_supplier).select(
+        a.padded(F.col("l_orderkey"), 10).alias("DeliveryDocument"),
+        a.padded(F.col("l_linenumber"), 6).alias("DeliveryDocumentItem"),
+        F.lit("SH").alias("PartnerFunction"),
+        *fields,
+    )
+    trips = facts.task_trips(a.warehouse_task(t), a.delivery_item(t), address, a.locations(t), None, None)
+    return trips.groupBy("dest_location_id").agg(F.count(F.lit(1)).alias("tasks"))
 
 
 @query(

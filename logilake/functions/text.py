@@ -14,22 +14,45 @@ LETTER_SPELLINGS = {
     "đ": "d", "ð": "d", "ø": "o", "ł": "l", "ħ": "h", "ı": "i", "ŧ": "t", "ĸ": "k",
 }
 
+# Lower-case Greek and Cyrillic letters in ASCII. A letter with an accent is spelled like its base.
+GREEK = dict(zip("αβγδεζηικλμνξοπρσςτυφω", "abgdeziiklmnxoprsstyfo", strict=True)) | {"θ": "th", "χ": "ch", "ψ": "ps"}
+CYRILLIC = dict(zip("абвгдезийклмнопрстуфыэієґў", "abvgdeziyklmnoprstufyeiegu", strict=True)) | {
+    "ж": "zh", "х": "kh", "ц": "ts", "ч": "ch", "ш": "sh", "щ": "shch", "ю": "yu", "я": "ya", "ъ": "", "ь": "",
+    "ђ": "dj", "љ": "lj", "њ": "nj", "џ": "dz",
+}
+
 # Latin-1 Supplement, Latin Extended-A and -B, and Latin Extended Additional (Vietnamese).
 _LATIN_BLOCKS = (range(0x00C0, 0x0250), range(0x1E00, 0x1F00))
+# Greek with its extended block, and Cyrillic.
+_OTHER_BLOCKS = (range(0x0370, 0x0530), range(0x1F00, 0x2000))
 
 
 @cache
 def _single_letter_map() -> tuple[str, str]:
     """Lower-case accented letter -> base letter, where Unicode decomposes it to one ASCII letter."""
-    pairs = {k: v for k, v in LETTER_SPELLINGS.items() if len(v) == 1}
+    pairs = {k: v for k, v in _spellings().items() if len(v) == 1}
     for block in _LATIN_BLOCKS:
         for letter in map(chr, block):
-            base = "".join(c for c in unicodedata.normalize("NFKD", letter) if not unicodedata.combining(c))
+            base = _bare(letter)
             if letter.islower() and len(base) == 1 and base.isascii() and base.isalpha():
                 pairs[letter] = base
+    for block in _OTHER_BLOCKS:
+        for letter in map(chr, block):
+            base = _bare(letter)
+            if letter not in pairs and letter != base and base in pairs:
+                pairs[letter] = pairs[base]
     return "".join(pairs), "".join(pairs.values())
 
 
+def _spellings() -> dict[str, str]:
+    return LETTER_SPELLINGS | GREEK | CYRILLIC
+
+
+def _bare(letter: str) -> str:
+    """The letter without its accents."""
+    return "".join(c for c in unicodedata.normalize("NFKD", letter) if not unicodedata.combining(c))
+
+
 def or_blank(value: Column) -> Column:
     return F.coalesce(value, F.lit(""))
 
@@ -53,28 +76,40 @@ def join_words(*parts: Column) -> Column:
 
 
 def to_ascii(lowered: Column) -> Column:
-    """Lower-case Latin text in ASCII letters; combining marks are dropped, other characters stay.
+    """Lower-case Latin, Greek and Cyrillic text in ASCII letters; combining marks are dropped, others stay.
 
-    Text that is plain ASCII, the common case, only pays for the test.
+    Text that is plain ASCII, the common case, only pays for the test, and each further script for its own.
     """
-    out = F.regexp_replace(lowered, r"\p{M}+", "")
-    for letter, spelling in LETTER_SPELLINGS.items():
-        if len(spelling) > 1:
-            out = F.replace(out, F.lit(letter), F.lit(spelling))
+    # Combining marks of these scripts only: in others a mark can be part of the letter.
+    out = F.regexp_replace(lowered, r"[\u0300-\u036F]+", "")
+    for pattern, letters in ((r"[ßæœþŋ]", LETTER_SPELLINGS), (r"[\u0370-\u03FF]", GREEK), (r"[\u0400-\u052F]", CYRILLIC)):
+        spelled = out
+        for letter, spelling in letters.items():
+            if len(spelling) != 1:
+                spelled = F.replace(spelled, F.lit(letter), F.lit(spelling))
+        out = F.when(lowered.rlike(pattern), spelled).otherwise(out)
     source, target = _single_letter_map()
     return F.when(lowered.rlike(r"[^\x00-\x7F]"), F.translate(out, source, target)).otherwise(lowered)
 
 
 def normalise_address(value: Column, keep_punctuation: bool = True, transliterate: bool = True) -> Column:
-    """Canonical address text: ASCII, lower case, single blanks; empty becomes null.
+    """Canonical address text: lower case, single blanks, ASCII where a letter has an ASCII spelling; letters and
+    digits of other scripts stay, so that different places keep different forms. Empty becomes null.
 
     ``keep_punctuation`` keeps hyphens and commas. Without ``transliterate`` accented letters turn into blanks.
-    Runs of blanks and of dropped characters become one blank in a single pass.
     """
     lowered = F.lower(value)
-    text = to_ascii(lowered) if transliterate else lowered
-    dropped = r"[^a-z0-9\-,]+" if keep_punctuation else r"[^a-z0-9]+"
-    return blank_to_null(F.trim(F.regexp_replace(text, dropped, " ")))
+    return normalise_ascii(to_ascii(lowered), keep_punctuation) if transliterate else _cleaned(lowered, "a-z0-9", keep_punctuation)
+
+
+def normalise_ascii(ascii_text: Column, keep_punctuation: bool = True) -> Column:
+    """The rest of the normal form, for text that ``to_ascii`` has spelled out already."""
+    return _cleaned(ascii_text, r"\p{L}\p{M}\p{N}", keep_punctuation)
+
+
+def _cleaned(text: Column, kept: str, keep_punctuation: bool) -> Column:
+    """Runs of blanks and of dropped characters become one blank in a single pass."""
+    return blank_to_null(F.trim(F.regexp_replace(text, rf"[^{kept}{'\\-,' if keep_punctuation else ''}]+", " ")))
 
 
 def address_hash(normalised: Column) -> Column:
@@ -88,9 +123,9 @@ def to_integer(value: Column, dtype: str = "bigint") -> Column:
     return F.when(value.rlike(r"^\s*[+-]?[0-9]+\s*$"), value).try_cast(dtype)
 
 
-def last_digits(document: Column, digits: int = 8) -> Column:
-    """Right-most digits of a document number as a long; blank or non-numeric gives null."""
-    return to_integer(F.when(F.length(document) > digits, F.right(document, F.lit(digits))).otherwise(document))
+def document_number(document: Column) -> Column:
+    """A document's whole number as text, without blanks and leading zeros; blank gives null."""
+    return blank_to_null(F.regexp_replace(lower_trim(document), "^0+(?=.)", ""))
 
 
 def item_number(item: Column) -> Column:
@@ -98,4 +133,4 @@ def item_number(item: Column) -> Column:
 
 
 def strip_prefix(value: Column, prefix: str) -> Column:
-    return F.regexp_replace(value, f"^{prefix}", "")
+    return F.when(F.startswith(value, F.lit(prefix)), F.substring(value, len(prefix) + 1, 2**31 - 1)).otherwise(value)

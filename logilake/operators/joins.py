@@ -54,67 +54,48 @@ def cascade_lookup(
     )
 
 
-def _composite_equal(a, b, lnames: list[str], rnames: list[str]) -> Column:
-    """Leading part equal and not null; further parts null-safe, so that an absent item matches an absent item."""
-    out = a[lnames[0]] == b[rnames[0]]
-    for left_name, right_name in zip(lnames[1:], rnames[1:]):
-        out = out & a[left_name].eqNullSafe(b[right_name])
-    return out
-
-
-def match_ratio(left: DataFrame, right: DataFrame, keys: list[tuple[Column, Column]]) -> tuple[int, int]:
-    """(matched left rows, left rows) of an equi-join. Both sides are reduced to counted keys before the join."""
-    names = [f"_k{i}" for i in range(len(keys))]
-    counted = left.select(*[k.alias(n) for n, (k, _) in zip(names, keys)]).groupBy(*names).agg(
-        F.count(F.lit(1)).alias("_cnt")
-    )
-    present = right.select(*[k.alias(f"{n}_r") for n, (_, k) in zip(names, keys)]).distinct()
-    present = present.withColumn("_hit", F.lit(True))
-    condition = _composite_equal(counted, present, names, [f"{n}_r" for n in names])
-    row = (
-        counted.join(present, condition, "left")
-        .agg(F.sum(F.when(F.col("_hit"), F.col("_cnt"))).alias("m"), F.sum("_cnt").alias("t"))
-        .first()
-    )
-    return row["m"] or 0, row["t"] or 0
+def _stage_key(parts: list[Column]) -> Column:
+    """A composite key as text: null where its first part is null; an absent further part equals an absent one."""
+    rest = [F.coalesce(p.cast("string"), F.lit("\0")) for p in parts[1:]]
+    return F.when(parts[0].isNotNull(), F.concat_ws("\x01", parts[0].cast("string"), *rest))
 
 
-def best_key_pair(
-    left: DataFrame, right: DataFrame, candidates: list[list[tuple[Column, Column]]], min_ratio: float = 0.2
-) -> int:
-    """Index of the composite key to join on.
-
-    The first candidate that matches at least ``min_ratio`` of the left rows wins at once; else the one with the
-    most matches, the earlier on a tie.
-    """
-    best, best_matched = 0, -1
-    for index, keys in enumerate(candidates):
-        matched, total = match_ratio(left, right, keys)
-        if matched > best_matched:
-            best, best_matched = index, matched
-        if matched and matched >= min_ratio * total:
-            break
-    return best
-
-
-def best_coverage_join(
+def first_match_join(
     left: DataFrame,
     right: DataFrame,
     candidates: list[list[tuple[Column, Column]]],
     how: str = "inner",
-    min_ratio: float = 0.2,
     right_prefix: str = "right",
 ) -> DataFrame:
-    """Join on the best of several composite keys, chosen by ``best_key_pair``."""
-    chosen = candidates[best_key_pair(left, right, candidates, min_ratio)]
-    lefts = left.withColumns({f"_l{i}": k for i, (k, _) in enumerate(chosen)})
-    rights = right.withColumns({f"_r{i}": k for i, (_, k) in enumerate(chosen)})
+    """Join each row on the first of several composite keys that has a match; ``how`` is inner or left_semi.
 
-    lnames, rnames = [f"_l{i}" for i in range(len(chosen))], [f"_r{i}" for i in range(len(chosen))]
+    The choice is made row by row, so rows that only another key form can match are not lost. The distinct keys of
+    the left side meet those of the right in one join on (stage, key), and nothing runs while the plan is built.
+    """
+    if how not in ("inner", "left_semi"):
+        raise ValueError("first_match_join supports inner and left_semi")
+    names = [f"_l{i}" for i in range(len(candidates))]
+    lefts = left.withColumns({n: _stage_key([k for k, _ in keys]) for n, keys in zip(names, candidates)})
+
+    def staged(keys: list[Column]) -> Column:
+        return F.explode(F.array(*[F.struct(F.lit(i).alias("_stage"), k.alias("_key")) for i, k in enumerate(keys)]))
+
+    right_keys = [_stage_key([k for _, k in keys]) for keys in candidates]
+    rights = right.select(*right.columns, staged(right_keys).alias("_p")).filter("_p._key IS NOT NULL")
+    known = rights.select("_p._stage", "_p._key").distinct()
+    probes = lefts.select(*names).distinct()
+    found = probes.select(*names, staged([F.col(n) for n in names]).alias("_p")).select(*names, "_p._stage", "_p._key")
+    hits = found.join(known, ["_stage", "_key"]).groupBy(*names).agg(F.min(F.struct("_stage", "_key")).alias("_hit"))
+    hits = hits.withColumnsRenamed({n: f"{n}_h" for n in names})
+    same = reduce(lambda x, y: x & y, [lefts[n].eqNullSafe(hits[f"{n}_h"]) for n in names])
+    if how == "left_semi":
+        return lefts.join(hits, same, "left_semi").drop(*names)
+    chosen = lefts.join(hits, same).select(*left.columns, F.col("_hit._stage").alias("_ls"), F.col("_hit._key").alias("_lk"))
+    keyed = rights.select(*right.columns, F.col("_p._stage").alias("_rs"), F.col("_p._key").alias("_rk"))
     joined = join_disambiguated(
-        lefts, rights, lambda a, b: _composite_equal(a, b, lnames, rnames), how, right_prefix
+        chosen, keyed, lambda x, y: (x["_ls"] == y["_rs"]) & (x["_lk"] == y["_rk"]), "inner", right_prefix
     )
-    return joined.drop(*lnames, *rnames)
+    return joined.drop("_ls", "_lk", "_rs", "_rk")
 
 
 def _matching_points(lefts: DataFrame, rights: DataFrame, dims: int, tol: float) -> DataFrame:

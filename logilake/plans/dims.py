@@ -98,9 +98,6 @@ def dim_product(order_item: DataFrame, delivery_item: DataFrame) -> DataFrame:
 
 # ---- time -----------------------------------------------------------------------------------------------------
 
-MAX_CALENDAR_DAYS = 3650
-
-
 def date_range_of(frames: list[tuple[DataFrame, list[str]]]) -> DataFrame:
     """One row (min_date, max_date) over the named columns of several frames; implausible years are left out.
 
@@ -118,14 +115,13 @@ def date_range_of(frames: list[tuple[DataFrame, list[str]]]) -> DataFrame:
     return united.agg(F.to_date(F.min("lo")).alias("min_date"), F.to_date(F.max("hi")).alias("max_date"))
 
 
-def calendar_over(date_range: DataFrame, today: Column, max_days: int = MAX_CALENDAR_DAYS) -> DataFrame:
-    """Daily calendar of a (min_date, max_date) row, cut to the last ``max_days`` days.
+def calendar_over(date_range: DataFrame, today: Column) -> DataFrame:
+    """Daily calendar of a (min_date, max_date) row. Plausible years bound it.
 
     Without any date it runs from three years before ``today`` to 31 days after.
     """
     last = F.coalesce(F.col("max_date"), F.date_add(today, 31))
     first = F.coalesce(F.col("min_date"), F.date_sub(today, 365 * 3))
-    first = F.greatest(first, F.date_sub(last, max_days))
     days = date_range.select(F.explode(F.sequence(first, last, F.expr("interval 1 day"))).alias("date"))
     day = F.col("date")
     return days.select(
@@ -143,12 +139,6 @@ def calendar_over(date_range: DataFrame, today: Column, max_days: int = MAX_CALE
     )
 
 
-def calendar(spark: SparkSession, start: Column, end: Column) -> DataFrame:
-    """Daily calendar between two dates, both included, without a cut."""
-    span = spark.range(1).select(F.to_date(start).alias("min_date"), F.to_date(end).alias("max_date"))
-    return calendar_over(span, F.to_date(end), max_days=1_000_000)
-
-
 # ---- location and distance ------------------------------------------------------------------------------------
 
 # Column spellings of an address, in the order of the assembled text.
@@ -177,8 +167,8 @@ def with_address(df: DataFrame) -> DataFrame:
     return with_address_hash(with_address_raw(df))
 
 
-def dim_location(addresses: DataFrame, gazetteer: DataFrame, published_at: Column, top_n: int | None = 5000) -> DataFrame:
-    """The ``top_n`` most frequent addresses that the gazetteer locates; ``None`` takes all of them.
+def dim_location(addresses: DataFrame, gazetteer: DataFrame, published_at: Column, top_n: int | None = None) -> DataFrame:
+    """All addresses that the gazetteer locates; ``top_n`` makes it a report on the most frequent ones.
 
     Spellings with one normal form are one location, shown by its most frequent spelling.
     """
@@ -226,49 +216,26 @@ def locate_addresses(df: DataFrame, location: DataFrame, out: str) -> DataFrame:
     return joins.cascade_lookup(df, location, ["address_raw"], stages, "location_id", out)
 
 
-MAX_MATRIX_LOCATIONS = 5000
-_MATRIX_CHUNK = 50
-
-
-def all_lanes(locations: DataFrame, top_n: int = 300) -> DataFrame:
-    """All ordered pairs of the first ``top_n`` locations, self-pairs included.
-
-    The result has top_n squared rows, so ``top_n`` is checked against a fixed bound. Origins are cut into chunks of
-    about 50 and every destination is sent to each chunk, so the pairs are made by an equi-join over many tasks.
-    """
-    if not 0 < top_n <= MAX_MATRIX_LOCATIONS:
-        raise ValueError(f"top_n must be between 1 and {MAX_MATRIX_LOCATIONS}; for more, pass the lanes in use")
-    chunks = -(-top_n // _MATRIX_CHUNK)
-    ids = locations.filter(F.col("lat").isNotNull() & F.col("lon").isNotNull()).select("location_id")
-    ids = ids.orderBy("location_id").limit(top_n)
-    origins = ids.select(
-        F.col("location_id").alias("origin_location_id"), F.pmod(F.xxhash64("location_id"), F.lit(chunks)).cast("int").alias("_chunk")
-    )
-    every_chunk = F.sequence(F.lit(0), F.lit(chunks - 1))
-    dests = ids.select(F.col("location_id").alias("dest_location_id"), F.explode(every_chunk).alias("_chunk"))
-    return origins.join(dests, "_chunk").drop("_chunk")
-
-
 def distance_matrix(
     locations: DataFrame,
-    lanes: DataFrame | None = None,
+    lanes: DataFrame,
     network: DataFrame | None = None,
     speed_kph: float = 50.0,
-    top_n: int = 300,
+    retrieved_at: Column | None = None,
 ) -> DataFrame:
-    """Kilometres and minutes per (origin, destination).
+    """Kilometres and minutes per (origin, destination) of the lanes in use.
 
-    ``lanes`` names the pairs wanted, usually those that trips use; it needs no size bound. Without it all pairs of
-    the first ``top_n`` locations are built. ``network`` holds measured ``distance_m`` and ``duration_s`` per pair
-    and wins over the great-circle estimate; ``source`` says which one a row has.
+    ``network`` holds measured ``distance_m`` and ``duration_s`` per pair and wins over the great-circle estimate;
+    ``source`` says which one a row has. A lane with an end that has no place stays, without figures, so that the
+    coverage counters show it.
     """
-    pairs = all_lanes(locations, top_n) if lanes is None else lanes.select("origin_location_id", "dest_location_id").distinct()
+    pairs = lanes.select("origin_location_id", "dest_location_id").distinct()
     places = locations.groupBy("location_id").agg(F.min(F.struct("lat", "lon")).alias("p"))
     origin = places.select(F.col("location_id").alias("origin_location_id"), F.col("p").alias("o"))
     dest = places.select(F.col("location_id").alias("dest_location_id"), F.col("p").alias("d"))
-    located = pairs.join(origin, "origin_location_id").join(dest, "dest_location_id")
+    located = pairs.join(origin, "origin_location_id", "left").join(dest, "dest_location_id", "left")
     km = geo.haversine_km(F.col("o.lat"), F.col("o.lon"), F.col("d.lat"), F.col("d.lon"))
-    located = located.withColumn("_km", km).filter(F.col("_km").isNotNull())
+    located = located.withColumn("_km", km)
     keys = ["origin_location_id", "dest_location_id"]
     if network is None:
         measured, net_km, net_min = located, null_of("double"), null_of("double")
@@ -276,11 +243,13 @@ def distance_matrix(
         best = network.groupBy(*keys).agg(F.min(F.struct("duration_s", "distance_m")).alias("n"))
         measured = located.join(best, keys, "left")
         net_km, net_min = geo.metres_to_km(F.col("n.distance_m")), geo.seconds_to_minutes(F.col("n.duration_s"))
+    of_network = net_km.isNotNull() & net_min.isNotNull()
     return measured.select(
         *keys,
         F.coalesce(net_km, F.col("_km")).cast("double").alias("distance_km"),
         F.coalesce(net_min, geo.travel_minutes(F.col("_km"), speed_kph)).cast("double").alias("network_duration_min"),
-        F.when(net_km.isNotNull() & net_min.isNotNull(), "network").otherwise("great_circle").alias("source"),
+        F.when(of_network, "network").when(F.col("_km").isNotNull(), "great_circle").alias("source"),
+        *([retrieved_at.alias("retrieved_at")] if retrieved_at is not None else []),
     )
 
 
@@ -292,6 +261,8 @@ def matrix_summary(matrix: DataFrame, run_ts: Column) -> DataFrame:
 
 # Task states that count as completed.
 DONE_STATES = ("C", "COMPLETED", "Done", "done", "completed")
+# Column spellings of a task's state. The spellings of other columns below are fixed values too.
+STATUS_COLUMNS = ("warehousetaskstatus", "warehousetask_status", "status")
 
 
 def _order_kpis(orders: DataFrame) -> DataFrame:
@@ -337,8 +308,8 @@ def _task_rows(tasks: DataFrame) -> DataFrame:
         column_or(t, null_of("double"), "whsetasknetweight", "weight", "task_weight").try_cast("double").alias("weight"),
         column_or(t, null_of("double"), "whsetasknetvolume", "volume", "task_volume").try_cast("double").alias("volume"),
         column_or(t, null_of("double"), "ewmwarehousetaskpriority").try_cast("double").alias("priority"),
-        column_or(t, null_of("string"), "warehousetaskstatus", "status").cast("string").alias("status"),
-        F.lit(resolve(t, "warehousetaskstatus", "status") is not None).alias("_has_status"),
+        column_or(t, null_of("string"), *STATUS_COLUMNS).cast("string").alias("status"),
+        F.lit(resolve(t, *STATUS_COLUMNS) is not None).alias("_has_status"),
         column_or(t, null_of("string"), "activityarea", "warehouseorderactivityarea", "activity_area").cast("string").alias("area"),
         column_or(t, null_of("string"), "product", "material", "sku").cast("string").alias("product"),
     ).filter("warehouse_id IS NOT NULL")

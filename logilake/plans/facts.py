@@ -80,23 +80,13 @@ def with_eta(trips: DataFrame, threshold_min: float) -> DataFrame:
     return trips.withColumn("on_time_flag", F.col("abs_eta_error_min") <= F.lit(float(threshold_min)))
 
 
-def fact_trip(
-    header: DataFrame,
-    address: DataFrame,
-    location: DataFrame,
-    lanes: DataFrame,
-    warehouse: DataFrame | None = None,
-    threshold_min: float = 15.0,
-    lane_mode: str = "origin_dest",
-    as_of: Column | None = None,
+def located_trips(
+    header: DataFrame, address: DataFrame, location: DataFrame, warehouse: DataFrame | None, to_warehouse: bool = True
 ) -> DataFrame:
-    """One row per delivery with an origin and a destination.
+    """One row per delivery with the places of its warehouse (``_wh_place``) and its address (``_place``).
 
-    ``origin_dest`` takes the warehouse's location as origin and the address's as destination. ``origin_fanout``
-    takes the address's location as origin and gives a row for every destination that has a lane from there.
+    With ``to_warehouse`` only deliveries with both, which are then the origin and the destination.
     """
-    if lane_mode not in ("origin_dest", "origin_fanout"):
-        raise ValueError(f"unknown lane_mode: {lane_mode}")
     document = column_or(header, null_of("string"), "DeliveryDocument").cast("string")
     pick_day = _timestamp(header, "PickingDate")
     delivery_day = _timestamp(header, "DeliveryDate", "ProofOfDeliveryDate")
@@ -108,6 +98,8 @@ def fact_trip(
         _at_time(pick_day, column_or(header, blank, "PickingTime")).alias("picking_datetime_full"),
         _at_time(delivery_day, column_or(header, blank, "DeliveryTime", "ProofOfDeliveryTime")).alias("delivery_datetime_full"),
     )
+    newest = [F.desc_nulls_last(c) for c in ("delivery_datetime_full", "picking_datetime_full", "_wh", "deliverydocument_raw")]
+    trips = dedupe.latest_by(trips, ["deliverydocument"], newest)
     trips = trips.join(best_address(address), "deliverydocument", "left")
     places = location.select(F.col("location_id").alias("addr_hash"), F.col("location_id").alias("_place")).distinct()
     trips = trips.join(places, "addr_hash", "left")
@@ -118,11 +110,32 @@ def fact_trip(
             warehouse, text.lower_trim(F.col(resolve(warehouse, "warehouse_id", "ewmwarehouse"))), "location_id", "_wh", "_wh_place"
         )
         trips = trips.join(by_code, "_wh", "left")
+    if not to_warehouse:
+        return trips
+    trips = trips.withColumns({"origin_location_id": F.col("_wh_place"), "dest_location_id": F.col("_place")})
+    return trips.filter(text.non_blank(F.col("origin_location_id")) & F.col("dest_location_id").isNotNull())
+
+
+def fact_trip(
+    header: DataFrame,
+    address: DataFrame,
+    location: DataFrame,
+    lanes: DataFrame,
+    warehouse: DataFrame | None = None,
+    threshold_min: float = 15.0,
+    lane_mode: str = "origin_dest",
+    as_of: Column | None = None,
+) -> DataFrame:
+    """One row per delivery with an origin and a destination; of a header that came several times, the last.
 
+    ``origin_dest`` takes the warehouse's location as origin and the address's as destination. ``origin_fanout``
+    takes the address's location as origin and gives a row for every destination that has a lane from there.
+    """
+    if lane_mode not in ("origin_dest", "origin_fanout"):
+        raise ValueError(f"unknown lane_mode: {lane_mode}")
+    trips = located_trips(header, address, location, warehouse, lane_mode == "origin_dest")
     best = shortest_lanes(lanes)
     if lane_mode == "origin_dest":
-        trips = trips.withColumns({"origin_location_id": F.col("_wh_place"), "dest_location_id": F.col("_place")})
-        trips = trips.filter(text.non_blank(F.col("origin_location_id")) & F.col("dest_location_id").isNotNull())
         trips = trips.join(best, LANE_KEYS, "left")
     else:
         fan = best.filter(F.col("dest_location_id").isNotNull() & text.non_blank(F.col("origin_location_id")))
@@ -137,7 +150,8 @@ def fact_trip(
     )
 
 
-# Header columns that can say when a delivery was due and when it arrived, best first.
+# Header columns that can say when a delivery was due and when it arrived, best first, and the
+# spellings of documents, items and tasks. The spellings inside the functions of this module are fixed values too.
 PLANNED_COLUMNS = (
     "plannedgoodsissuedate", "plannedgoodsissuedatetime", "planned_delivery_date", "planned_delivery_datetime",
     "planned_delivery_date_time", "planned_delivery",
@@ -146,6 +160,7 @@ ACTUAL_COLUMNS = (
     "proofofdeliverydate", "actualgoodsmovementdate", "actualgoodsmovementdatetime", "deliverydate", "delivery_date",
     "goodsissuedate", "goods_issue_date",
 )
+TASK_COLUMNS = ("warehousetask", "warehouse_task", "taskid", "task_id")
 DOCUMENT_COLUMNS = ("deliverydocument", "delivery_document", "document", "deliveryid")
 ITEM_COLUMNS = ("deliverydocumentitem", "delivery_document_item", "deliveryitem", "item", "deliveryitemid")
 
@@ -157,7 +172,7 @@ def _destinations(address: DataFrame, location: DataFrame) -> DataFrame:
     rank = dedupe.code_rank(column_or(a, F.lit(""), "partnerfunction"), PARTNER_RANKS, OTHER_PARTNER)
     item = resolve(a, *ITEM_COLUMNS)
     rows = a.select(
-        text.last_digits(column_or(a, null_of("string"), *DOCUMENT_COLUMNS).cast("string")).alias("doc"),
+        text.document_number(column_or(a, null_of("string"), *DOCUMENT_COLUMNS).cast("string")).alias("doc"),
         *([text.item_number(a[item]).alias("item")] if item else []),
         rank.alias("_rank"),
         "address_raw",
@@ -172,7 +187,7 @@ def _arrivals(header: DataFrame) -> DataFrame:
     """Planned and actual arrival and the picking time per document; which column counts depends on the schema."""
     h = lower_columns(header)
     rows = h.select(
-        text.last_digits(column_or(h, null_of("string"), *DOCUMENT_COLUMNS).cast("string")).alias("doc"),
+        text.document_number(column_or(h, null_of("string"), *DOCUMENT_COLUMNS).cast("string")).alias("doc"),
         _timestamp(h, *PLANNED_COLUMNS).alias("planned_arrival_ts"),
         _timestamp(h, *ACTUAL_COLUMNS).alias("actual_arrival_ts"),
         _at_time(_timestamp(h, "pickingdate"), column_or(h, null_of("string"), "pickingtime")).alias("picked_ts"),
@@ -188,34 +203,32 @@ def task_trips(
     location: DataFrame,
     header: DataFrame | None,
     warehouse: DataFrame | None,
-    min_ratio: float = 0.2,
 ) -> DataFrame:
-    """One row per warehouse task that belongs to a delivery item and whose destination is known.
+    """One row per warehouse task, however often it was delivered, that belongs to a delivery item and whose destination is known.
 
     Document data is gathered once per document before it meets the tasks. Items only decide whether a task counts,
     so they join as a semi-join and never multiply tasks.
     """
     t = lower_columns(task)
     tasks = t.select(
-        text.last_digits(column_or(t, null_of("string"), "ewmdelivery", "ewm_delivery", *DOCUMENT_COLUMNS[:2]).cast("string")).alias("doc"),
+        text.document_number(column_or(t, null_of("string"), "ewmdelivery", "ewm_delivery", *DOCUMENT_COLUMNS[:2]).cast("string")).alias("doc"),
         text.item_number(column_or(t, null_of("string"), "ewmdeliveryitem", "ewm_delivery_item", "deliveryitem", "delivery_item")).alias("item"),
         column_or(t, null_of("string"), "ewmwarehouse", "warehouse", "warehouse_id").cast("string").alias("wh"),
+        column_or(t, null_of("string"), *TASK_COLUMNS).cast("string").alias("task"),
     ).filter("doc IS NOT NULL")
+    if resolve(t, *TASK_COLUMNS):
+        tasks = dedupe.latest_by(tasks, ["wh", "task"], [F.asc("doc"), F.asc_nulls_last("item")])
+    tasks = tasks.drop("task")
     i = lower_columns(item)
-    raw_doc = column_or(i, null_of("string"), *DOCUMENT_COLUMNS).cast("string")
     raw_item = column_or(i, null_of("string"), *ITEM_COLUMNS).cast("string")
     items = i.select(
-        text.to_integer(raw_doc).alias("idoc"),
+        text.document_number(column_or(i, null_of("string"), *DOCUMENT_COLUMNS).cast("string")).alias("idoc"),
         text.item_number(raw_item).alias("iitem"),
-        text.lower_trim(raw_doc).alias("idoc_s"),
         text.lower_trim(raw_item).alias("iitem_s"),
     ).distinct()
     numeric = [(F.col("doc"), F.col("idoc")), (F.col("item"), F.col("iitem"))]
-    as_text = [
-        (F.col("doc").cast("string"), text.blank_to_null(F.col("idoc_s"))),
-        (text.or_blank(F.col("item").cast("string")), F.col("iitem_s")),
-    ]
-    matched = joins.best_coverage_join(tasks, items, [numeric, as_text], "left_semi", min_ratio)
+    as_text = [(F.col("doc"), F.col("idoc")), (text.or_blank(F.col("item").cast("string")), F.col("iitem_s"))]
+    matched = joins.first_match_join(tasks, items, [numeric, as_text], "left_semi")
 
     dests = _destinations(address, location)
     if header is None:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logilake.operators import quality, state
+from logilake.operators.dedupe import latest_by
 from logilake.session import Staged, discard, stage
 from logilake.sources import readers, sinks
 from logilake.sources.entities import Entity
@@ -48,14 +49,60 @@ def stage_records(records: DataFrame, entity: Entity) -> tuple[quality.Split, St
     return quality.Split(quality.parsed_columns(good, entity.rules), rejects), staged
 
 
-def next_state(current: DataFrame | None, valid: DataFrame, entity: Entity, as_of: Column) -> DataFrame:
+def next_state(
+    current: DataFrame | None, valid: DataFrame, entity: Entity, as_of: Column, order: list[Column] | None = None, late: str = "fail"
+) -> DataFrame:
     """New state of a versioned entity."""
-    return state.scd2_apply(current, valid, entity.keys, as_of, entity.compare or None)
+    return state.scd2_apply(current, valid, entity.keys, as_of, entity.compare or None, order, late)
 
 
-def _batch_log(spark: SparkSession, counts: dict, batch_id: str, job: str, status: str, as_of: Column) -> DataFrame:
+def newest_per_key(facts: DataFrame, entity: Entity) -> DataFrame:
+    """One row per key of the entity: the last that was ingested, then the last by file and content."""
+    if not entity.keys:
+        return facts
+    first = [c for c in ("ingest_timestamp", sinks.BATCH, readers.SOURCE_FILE) if c in facts.columns]
+    rest = [c for c in facts.columns if c not in first and c not in entity.keys]
+    return latest_by(facts, entity.keys, [F.col(c).desc_nulls_last() for c in [*first, *rest]])
+
+
+def write_entity(
+    staged: Staged,
+    split: quality.Split,
+    entity: Entity,
+    paths: SilverPaths,
+    batch_id: str,
+    as_of: Column,
+    previous_batch: str | None = None,
+    first_run: bool = False,
+    order: list[Column] | None = None,
+    late: str = "fail",
+) -> dict:
+    """Write a staged batch: table or new state, rejects, and the log row last. Gives the counters.
+
+    Every part has a folder of the batch's name, so a repeated batch replaces its own rows.
+    """
+    spark = staged.rows.sparkSession
+    valid = state.with_ingest_meta(split.valid, batch_id, entity.name, as_of)
+    if entity.kind == "fact":
+        facts = newest_per_key(valid, entity)
+        sinks.append_facts(facts, paths.table(entity), batch_id, entity.partition_date, entity.partition_unit)
+    else:
+        current = sinks.previous_snapshot(spark, paths.table(entity), batch_id, previous_batch, first_run)
+        new = next_state(current, valid, entity, as_of, order, late)
+        sinks.publish_snapshot(new, paths.table(entity), batch_id)
+    rejects = quality.with_reject_meta(split.reject, batch_id, entity.name, as_of)
+    sinks.append_batch(rejects, f"{paths.rejects}/{entity.name}", batch_id)
+    counts = staged.rows.agg(*quality.batch_counts(staged.rows)).first().asDict()
+    write_log(spark, counts, entity, paths, batch_id, "success", as_of)
+    return counts
+
+
+def write_log(
+    spark: SparkSession, counts: dict, entity: Entity, paths: SilverPaths, batch_id: str, status: str, as_of: Column
+) -> None:
     row = spark.range(1).select(*[F.lit(counts.get(c, 0)).alias(c) for c in ("records_processed", "records_rejected")])
-    return quality.batch_log_row(row, batch_id, job, status, as_of)
+    log = quality.batch_log_row(row, batch_id, entity.name, status, as_of)
+    sinks.append_batch(log, f"{paths.log}/{entity.name}", batch_id)
 
 
 def run_entity(
@@ -67,30 +114,49 @@ def run_entity(
     as_of: Column,
     previous_batch: str | None = None,
     table: str | None = None,
+    first_run: bool = False,
+    late: str = "fail",
 ) -> dict:
     """Run one batch and return its counters.
 
-    The documents are parsed once, into the staged table; the counters read only its reason column.
+    A versioned entity builds on ``previous_batch``, or on its last committed state; its very first batch needs
+    ``first_run``. The documents are parsed once, into the staged table; the counters read only its reason column.
     """
+    staged = None
     try:
         records = readers.flatten_documents(readers.read_documents(spark, raw_path, entity), entity)
-        (valid, rejects), staged = stage_records(records, entity)
-        counts = staged.rows.agg(*quality.batch_counts(staged.rows)).first().asDict()
-        if entity.kind == "fact":
-            facts = state.with_ingest_meta(valid, batch_id, entity.name, as_of)
-            sinks.append_facts(facts, paths.table(entity), batch_id, entity.partition_date, entity.partition_unit)
-            target = paths.table(entity)
-        else:
-            current = sinks.read_snapshot(spark, paths.table(entity), previous_batch)
-            incoming = state.with_ingest_meta(valid, batch_id, entity.name, as_of)
-            sinks.publish_snapshot(next_state(current, incoming, entity, as_of), paths.table(entity), batch_id)
-            target = sinks.snapshot_path(paths.table(entity), batch_id)
+        split, staged = stage_records(records, entity)
+        counts = write_entity(staged, split, entity, paths, batch_id, as_of, previous_batch, first_run, None, late)
         if table:
-            sinks.register_table(spark, table, target)
-        sinks.write_rejects(quality.with_reject_meta(rejects, batch_id, entity.name, as_of), f"{paths.rejects}/{entity.name}")
-        sinks.append(_batch_log(spark, counts, batch_id, entity.name, "success", as_of), paths.log)
-        discard(spark, staged)
+            fact = entity.kind == "fact"
+            sinks.register_table(spark, table, paths.table(entity) if fact else sinks.snapshot_path(paths.table(entity), batch_id))
         return counts
     except Exception:
-        sinks.append(_batch_log(spark, {}, batch_id, entity.name, "failed", as_of), paths.log)
+        write_log(spark, {}, entity, paths, batch_id, "failed", as_of)
         raise
+    finally:
+        if staged is not None:
+            discard(spark, staged)
+
+
+def read_log(spark: SparkSession, paths: SilverPaths, entity: Entity) -> DataFrame | None:
+    return readers.read_table_or_none(spark, f"{paths.log}/{entity.name}")
+
+
+def read_rejects(spark: SparkSession, paths: SilverPaths, entity: Entity) -> DataFrame | None:
+    return readers.read_table_or_none(spark, f"{paths.rejects}/{entity.name}")
+
+
+def read_entity(spark: SparkSession, paths: SilverPaths, entity: Entity) -> DataFrame | None:
+    """What an entity says now: facts once per key, current rows of a versioned entity; ``None`` before any batch."""
+    if entity.kind == "fact":
+        facts = readers.table_or_path(spark, None, paths.table(entity))
+        return None if facts is None else newest_per_key(facts.drop(sinks.FOLDER), entity)
+    versions = sinks.last_snapshot(spark, paths.table(entity))
+    return None if versions is None else versions.filter("is_current")
+
+
+def load(spark: SparkSession, paths: SilverPaths, entities: list[Entity]) -> dict[str, DataFrame]:
+    """The tables that the gold job reads, by entity; those without any batch are left out."""
+    found = {e.name: read_entity(spark, paths, e) for e in entities}
+    return {name: df for name, df in found.items() if df is not None}

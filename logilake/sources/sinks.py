@@ -1,4 +1,4 @@
-"""Sinks: appends, reject and log tables, and snapshots that replace a table as a whole."""
+"""Sinks: batches, reject and log tables, and snapshots that replace a table as a whole."""
 
 from __future__ import annotations
 
@@ -6,11 +6,6 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-
-def append(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
-    df.write.mode("append").partitionBy(*(partition_by or [])).parquet(path)
-
-
 def append_facts(df: DataFrame, path: str, batch_id: str, source: str | None, unit: str = "day") -> None:
     """Append a batch of facts, partitioned by the day of a timestamp column if one is named."""
     if source is None:
@@ -19,10 +14,18 @@ def append_facts(df: DataFrame, path: str, batch_id: str, source: str | None, un
         append_batch(with_partition_day(df, source, unit), path, batch_id, [PARTITION_DAY])
 
 
+BATCH, FOLDER = "ingest_batch_id", "batch_folder"
+
+
 def append_batch(df: DataFrame, path: str, batch_id: str, partition_by: list[str] | None = None) -> None:
-    """Append one batch under its own folder, so that writing the same batch again replaces it."""
-    target = f"{path.rstrip('/')}/ingest_batch_id={batch_id}"
-    df.drop("ingest_batch_id").write.mode("overwrite").partitionBy(*(partition_by or [])).parquet(target)
+    """Append one batch under its own folder, so that writing the same batch again replaces it.
+
+    The batch's name stays in the rows as text. The folder's name starts with a letter, so that ``007`` is not read
+    back as a number.
+    """
+    target = f"{path.rstrip('/')}/{FOLDER}=b-{batch_id}"
+    named = df.withColumn(BATCH, F.lit(batch_id))
+    named.write.mode("overwrite").partitionBy(*(partition_by or [])).parquet(target)
 
 
 PARTITION_DAY = "partition_day"
@@ -37,16 +40,6 @@ def with_partition_day(df: DataFrame, source: str, unit: str = "day") -> DataFra
     return df.withColumn(PARTITION_DAY, day).hint("rebalance", PARTITION_DAY)
 
 
-def write_rejects(rejects: DataFrame, path: str) -> None:
-    """Rejects already carry their metadata columns. Writing an empty frame adds no rows."""
-    rejects.write.mode("append").partitionBy("reject_job_name", "reject_date").parquet(path)
-
-
-def overwrite(df: DataFrame, path: str) -> None:
-    """Replace rows and schema. Never give a path that ``df`` itself reads; use ``publish_snapshot`` then."""
-    df.write.mode("overwrite").parquet(path)
-
-
 def register_table(spark: SparkSession, table: str, path: str) -> None:
     """Create the table over a path, or point an existing one at it and drop what was cached of it."""
     if "." in table:
@@ -64,26 +57,72 @@ def snapshot_path(base: str, batch_id: str) -> str:
     return f"{base.rstrip('/')}/snapshot={batch_id}"
 
 
-def publish_snapshot(df: DataFrame, base: str, batch_id: str, table: str | None = None) -> DataFrame:
+def publish_snapshot(
+    df: DataFrame, base: str, batch_id: str, table: str | None = None, partition_by: list[str] | None = None
+) -> DataFrame:
     """Write a new table state beside the old one, then switch the table to it.
 
     ``df`` may be computed from the previous snapshot, since that is left alone. Readers see the old state or the
-    new one, and repeating the batch rewrites the same folder.
+    new one, and repeating the batch rewrites the same folder. The commit is written last.
     """
     path = snapshot_path(base, batch_id)
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").partitionBy(*(partition_by or [])).parquet(path)
+    _commit(df.sparkSession, base, batch_id)
     if table:
         register_table(df.sparkSession, table, path)
     return df.sparkSession.read.parquet(path)
 
 
-def read_snapshot(spark: SparkSession, base: str, batch_id: str | None) -> DataFrame | None:
-    if batch_id is None:
+def read_snapshot(spark: SparkSession, base: str, batch_id: str) -> DataFrame:
+    """The state after a batch; a batch that was never committed fails."""
+    if batch_id not in _sequence(spark, base):
+        raise ValueError(f"no snapshot of batch {batch_id} was committed below {base}")
+    return spark.read.parquet(snapshot_path(base, batch_id))
+
+
+def previous_snapshot(
+    spark: SparkSession, base: str, batch_id: str, named: str | None = None, first_run: bool = False
+) -> DataFrame | None:
+    """The state that a batch builds on: the named one, else the last that was committed before this batch.
+
+    ``None`` only if nothing was committed before and ``first_run`` allows it, so that a wrong path or name can
+    never stand for an empty table.
+    """
+    if named is not None:
+        return read_snapshot(spark, base, named)
+    done = _sequence(spark, base)
+    before = {b: n for b, n in done.items() if n < done.get(batch_id, len(done) + 1)}
+    if before:
+        return read_snapshot(spark, base, max(before, key=before.get))
+    if first_run:
         return None
+    raise ValueError(f"nothing was committed below {base}; say so with first_run if this is its first batch")
+
+
+def last_snapshot(spark: SparkSession, base: str) -> DataFrame | None:
+    """The latest committed state, ``None`` if there is none."""
+    done = _sequence(spark, base)
+    return read_snapshot(spark, base, max(done, key=done.get)) if done else None
+
+
+def _commits_path(base: str) -> str:
+    return f"{base.rstrip('/')}_commits"
+
+
+def _sequence(spark: SparkSession, base: str) -> dict[str, int]:
+    """Committed batches and their order; one short row for each batch."""
     try:
-        return spark.read.parquet(snapshot_path(base, batch_id))
+        rows = spark.read.parquet(_commits_path(base)).select(BATCH, "sequence").collect()
     except AnalysisException:
-        return None
+        return {}
+    return {r[0]: r[1] for r in rows}
+
+
+def _commit(spark: SparkSession, base: str, batch_id: str) -> None:
+    done = _sequence(spark, base)
+    if batch_id not in done:
+        row = spark.range(1).select(F.lit(max(done.values(), default=0) + 1).cast("long").alias("sequence"))
+        append_batch(row.coalesce(1), _commits_path(base), batch_id)
 
 
 def register_view(df: DataFrame, name: str) -> None:

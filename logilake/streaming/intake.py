@@ -8,31 +8,26 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from logilake.operators import quality, state
 from logilake.plans import silver
 from logilake.session import configure, discard
 from logilake.sources import readers, sinks
 from logilake.sources.entities import Entity
 
 
-def batch_name(epoch: int) -> str:
-    return f"stream_{epoch:010d}"
+def batch_name(epoch: int, run: str) -> str:
+    """``run`` is the checkpoint's own id: a new checkpoint counts its epochs from 0 again."""
+    return f"stream_{run}_{epoch:010d}"
 
 
-def committed_batches(spark: SparkSession, paths: silver.SilverPaths, entity: Entity) -> DataFrame | None:
-    """Batches of the entity that are complete: their log row is written last."""
-    log = readers.read_table_or_none(spark, f"{paths.log}/{entity.name}")
-    return None if log is None else log.select(F.col("ingest_batch_id").alias("batch"))
-
-
-def last_commit_before(spark: SparkSession, paths: silver.SilverPaths, entity: Entity, batch: str) -> str | None:
-    done = committed_batches(spark, paths, entity)
-    return None if done is None else done.filter(F.col("batch") < batch).agg(F.max("batch")).first()[0]
+def run_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that the query keeps in its checkpoint."""
+    return spark.read.json(f"{checkpoint.rstrip('/')}/metadata").first()["id"]
 
 
 def is_committed(spark: SparkSession, paths: silver.SilverPaths, entity: Entity, batch: str) -> bool:
-    done = committed_batches(spark, paths, entity)
-    return done is not None and not done.filter(F.col("batch") == batch).isEmpty()
+    """Whether the batch is complete: its log row is written last."""
+    log = silver.read_log(spark, paths, entity)
+    return log is not None and not log.filter((F.col("batch_id") == batch) & (F.col("status") == "success")).isEmpty()
 
 
 def process_batch(
@@ -42,28 +37,20 @@ def process_batch(
     paths: silver.SilverPaths,
     as_of: Column,
     order: list[Column] | None = None,
+    run: str = "manual",
+    late: str = "fail",
 ) -> None:
     """Apply one micro-batch. Repeating it has no effect: a logged batch is skipped, and one that failed half-way
-    rewrites its own folders, starting again from the last logged state."""
+    rewrites its own folders, starting again from the last committed state."""
     spark = configure(docs.sparkSession)
-    batch = batch_name(epoch)
+    batch = batch_name(epoch, run)
     if is_committed(spark, paths, entity, batch):
         return
-    (good, bad), staged = silver.stage_records(readers.flatten_documents(docs, entity), entity)
-    valid = state.with_ingest_meta(good, batch, entity.name, as_of)
-    table = paths.table(entity)
-    if entity.kind == "fact":
-        sinks.append_facts(valid, table, batch, entity.partition_date, entity.partition_unit)
-    else:
-        current = sinks.read_snapshot(spark, table, last_commit_before(spark, paths, entity, batch))
-        new = state.scd2_apply(current, valid, entity.keys, as_of, entity.compare or None, order)
-        sinks.publish_snapshot(new, table, batch)
-    rejects = quality.with_reject_meta(bad, batch, entity.name, as_of)
-    sinks.append_batch(rejects, f"{paths.rejects}/{entity.name}", batch)
-    counts = staged.rows.agg(*quality.batch_counts(staged.rows))
-    log = quality.batch_log_row(counts, batch, entity.name, "success", as_of)
-    sinks.append_batch(log, f"{paths.log}/{entity.name}", batch)
-    discard(spark, staged)
+    split, staged = silver.stage_records(readers.flatten_documents(docs, entity), entity)
+    try:
+        silver.write_entity(staged, split, entity, paths, batch, as_of, first_run=True, order=order, late=late)
+    finally:
+        discard(spark, staged)
 
 
 def start_intake(
@@ -75,6 +62,7 @@ def start_intake(
     as_of: Callable[[int], Column] = lambda epoch: F.current_timestamp(),
     order: list[Column] | None = None,
     max_files: int | None = None,
+    late: str = "fail",
 ) -> StreamingQuery:
     """Process the files that are new since the last run, then stop. The checkpoint remembers the files seen."""
     reader = spark.readStream.schema(readers.document_schema(entity)).option(
@@ -83,10 +71,14 @@ def start_intake(
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     docs = reader.json(raw_path).withColumn(readers.SOURCE_FILE, F.col("_metadata.file_path"))
+
+    def apply(df: DataFrame, epoch: int) -> None:
+        process_batch(df, epoch, entity, paths, as_of(epoch), order, run_id(df.sparkSession, checkpoint), late)
+
     return (
         docs.writeStream.trigger(availableNow=True)
         .option("checkpointLocation", checkpoint)
-        .foreachBatch(lambda df, epoch: process_batch(df, epoch, entity, paths, as_of(epoch), order))
+        .foreachBatch(apply)
         .start()
     )
 
@@ -96,9 +88,9 @@ def run_intake(*args, **kwargs) -> None:
 
 
 def read_facts(spark: SparkSession, paths: silver.SilverPaths, entity: Entity) -> DataFrame:
-    return spark.read.parquet(paths.table(entity))
+    return silver.read_entity(spark, paths, entity)
 
 
 def read_state(spark: SparkSession, paths: silver.SilverPaths, entity: Entity) -> DataFrame | None:
-    """The dimension as of its last complete batch."""
-    return sinks.read_snapshot(spark, paths.table(entity), last_commit_before(spark, paths, entity, "stream_~"))
+    """The dimension, with its history, as of its last complete batch."""
+    return sinks.last_snapshot(spark, paths.table(entity))

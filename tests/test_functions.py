@@ -55,7 +55,13 @@ def test_weeks_and_weekdays(spark):
         ("Hộ Chí Minh", "ho chi minh"),
         ("Łódź Ærø", "lodz aero"),
         ("a_b#c", "a b c"),
-        ("東京 1", "1"),
+        ("東京 1", "東京 1"),
+        ("上海 12", "上海 12"),
+        ("Москва, 5", "moskva, 5"),
+        ("Київ", "kiiv"),
+        ("Щёлково", "shchelkovo"),
+        ("Αθήνα Ψυχικό", "athina psychiko"),
+        ("दिल्ली", "दिल्ली"),
         ("  ", None),
         ("", None),
         (None, None),
@@ -71,10 +77,15 @@ def test_normalise_address_without_punctuation(spark):
 
 @pytest.mark.parametrize(
     "raw, number",
-    [("0080000123", 80000123), ("123", 123), ("", None), ("abc", None), (None, None), ("99999999999", 99999999)],
+    [("0080000123", "80000123"), (" 123 ", "123"), ("", None), ("00", "0"), ("AB-1", "ab-1"), (None, None), ("0180000001", "180000001")],
 )
-def test_last_digits(spark, raw, number):
-    assert value(spark, text.last_digits(F.col("x")), [(raw,)], "x string") == number
+def test_document_number(spark, raw, number):
+    assert value(spark, text.document_number(F.col("x")), [(raw,)], "x string") == number
+
+
+def test_prefix_is_taken_literally(spark):
+    assert value(spark, text.strip_prefix(F.col("x"), "e.m:"), [("ewm:1",)], "x string") == "ewm:1"
+    assert value(spark, text.strip_prefix(F.col("x"), "ewm:"), [("ewm:1",)], "x string") == "1"
 
 
 @pytest.mark.parametrize("raw, number", [("000010", 10), ("", None), ("x", None), ("99999999999", None)])
@@ -87,5 +98,7 @@ def test_haversine(spark):
         spark, geo.haversine_km(F.col("a"), F.col("b"), F.col("c"), F.col("d")), [(0.0, 0.0, 0.0, 180.0)],
         "a double, b double, c double, d double",
     )
+    none = value(spark, geo.haversine_km(F.col("a"), F.col("a"), F.col("a"), F.col("a")), [(None,)], "a double")
+    assert none is None
     assert km == pytest.approx(3.141592653589793 * 6371.0)
     assert value(spark, geo.travel_minutes(F.col("a")), [(25.0,)], "a double") == 30.0

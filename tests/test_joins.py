@@ -59,21 +59,25 @@ def test_cascade_takes_the_first_stage_and_keeps_the_row_count(spark, rows):
     assert rows(got) == [(1, "A", "v1", 1), (2, "b", "w", 2), (3, "zz", None, None), (4, None, None, None), (5, "A", "v1", 1)]
 
 
-def test_best_coverage_chooses_by_share_then_by_count(spark):
-    left = spark.createDataFrame([("01", 1), ("02", 2), ("03", 3), ("x", None)], "t string, n int")
-    right = spark.createDataFrame([("1", 1), ("02", 2), ("3", 3)], "t string, n int")
+def test_first_match_is_chosen_row_by_row(spark, rows):
+    left = spark.createDataFrame([("01", 1), ("02", 2), ("03", 3), ("x", None), ("02", 2), (None, 9)], "t string, n int")
+    right = spark.createDataFrame([("1", 1), ("02", 20), ("3", 3), ("y", 2), (None, 9)], "t string, n int")
     as_text, numeric = [(F.col("t"), F.col("t"))], [(F.col("n"), F.col("n"))]
-    assert joins.best_key_pair(left, right, [as_text, numeric], min_ratio=0.2) == 0  # 1 of 4 is enough
-    assert joins.best_key_pair(left, right, [as_text, numeric], min_ratio=0.5) == 1
-    assert joins.best_key_pair(left, right, [numeric, numeric], min_ratio=0.99) == 0  # tie: the earlier
-    assert joins.best_coverage_join(left, right, [as_text, numeric], min_ratio=0.5).count() == 3
+    both = joins.first_match_join(left, right, [as_text, numeric])
+    assert rows(both, "t", "right_n") == [("01", 1), ("02", 20), ("02", 20), ("03", 3), (None, 9)]
+    assert rows(joins.first_match_join(left, right, [numeric, as_text]), "t", "right_t") == [
+        ("01", "1"), ("02", "y"), ("02", "y"), ("03", "3"), (None, None),
+    ]
+    assert joins.first_match_join(left, right, [as_text, numeric], "left_semi").count() == 5
+    many = joins.first_match_join(left, right.union(right), [as_text])
+    assert many.count() == 4 and many.columns == ["t", "n", "right_t", "right_n"]
 
 
 def test_composite_key_is_null_safe_after_its_first_part(spark, rows):
     left = spark.createDataFrame([(1, None), (1, 5), (None, 5)], "doc int, item int")
     right = spark.createDataFrame([(1, None), (None, 5)], "doc int, item int")
     keys = [(F.col("doc"), F.col("doc")), (F.col("item"), F.col("item"))]
-    assert rows(joins.best_coverage_join(left, right, [keys], "left_semi")) == [(1, None)]
+    assert rows(joins.first_match_join(left, right, [keys], "left_semi")) == [(1, None)]
 
 
 def test_disambiguated_join_keeps_both_columns(spark):

@@ -53,7 +53,7 @@ def test_documents_keep_their_file_and_bad_ones_are_set_apart(spark, tmp_path, r
     entity = ENTITIES["warehouse_order"]
     docs = readers.read_documents(spark, readers.raw_glob(str(tmp_path), entity.name), entity)
     flat = readers.flatten_documents(docs, entity)
-    (valid, reject), _ = silver.stage_records(flat, entity)
+    (valid, reject), staged = silver.stage_records(flat, entity)
     assert valid.count() == 1 and valid.first().source_file.endswith("_b1.json.gz")
     assert str(valid.first().WarehouseOrderPlannedDuration) == "2.500"
     assert rows(reject, "_corrupt_record", "reject_reason") == [("{broken", "corrupt_document")]
@@ -69,16 +69,67 @@ def test_silver_run_writes_table_rejects_and_log(spark, tmp_path, rows):
     assert counts == {"records_processed": 1, "records_rejected": 2}
     fact = spark.read.parquet(paths.table(entity))
     assert rows(fact, "SalesOrder", "TotalNetAmount", "job_name") == [("1", 10.5, "sales_order")]
-    rejects = spark.read.parquet(f"{paths.rejects}/{entity.name}").distinct()
-    assert rows(rejects, "SalesOrder", "TotalNetAmount", "reject_reason") == [
+    assert rows(silver.read_rejects(spark, paths, entity), "SalesOrder", "TotalNetAmount", "reject_reason") == [
         ("2", "abc", "dq_TotalNetAmount_numeric"), (None, "3", "missing_required"),
     ]
-    log = spark.read.parquet(paths.log)
-    assert rows(log.distinct(), "batch_id", "records_processed", "records_rejected", "status") == [("b1", 1, 2, "success")]
+    log = silver.read_log(spark, paths, entity)
+    assert rows(log, "batch_id", "records_processed", "records_rejected", "status") == [("b1", 1, 2, "success")]
     assert spark.table("sales_order_t").count() == 1
     with pytest.raises(Exception):
         silver.run_entity(spark, entity, str(tmp_path / "nowhere"), paths, "b2", at("2024-01-02"))
-    assert rows(spark.read.parquet(paths.log).filter("batch_id = 'b2'"), "status") == [("failed",)]
+    assert rows(silver.read_log(spark, paths, entity).filter("batch_id = 'b2'"), "status") == [("failed",)]
+
+
+def test_facts_once_per_key_and_batch_names_as_they_are(spark, tmp_path, rows):
+    entity = ENTITIES["sales_order"]
+    paths = silver.SilverPaths(str(tmp_path / "silver"))
+    raw = readers.raw_glob(str(tmp_path / "raw"), entity.name)
+    drop(tmp_path / "raw", entity.name, "f1", ORDERS)
+    drop(tmp_path / "raw", entity.name, "f2", ORDERS[:1])
+    silver.run_entity(spark, entity, raw, paths, "007", at("2024-01-01"))
+    drop(tmp_path / "raw", entity.name, "f3", [{**ORDERS[0], "TotalNetAmount": "11"}])
+    silver.run_entity(spark, entity, readers.raw_glob(str(tmp_path / "raw"), entity.name).replace("_*", "_f3*"), paths, "8", at("2024-01-02"))
+    assert rows(spark.read.parquet(paths.table(entity)), "ingest_batch_id") == [("007",), ("8",)]
+    loaded = silver.load(spark, paths, [entity, ENTITIES["warehouse_task"]])
+    assert set(loaded) == {"sales_order"} and rows(loaded["sales_order"], "SalesOrder", "TotalNetAmount") == [("1", 11.0)]
+
+
+def test_a_state_cannot_be_lost(spark, tmp_path, rows):
+    entity = ENTITIES["outbound_delivery_partner"]
+    paths = silver.SilverPaths(str(tmp_path / "s"))
+    only = []
+    for i in range(3):
+        drop(tmp_path / f"only{i}", entity.name, "w", [{**PARTNER, "AddressID": str(i)}])
+        only.append(readers.raw_glob(str(tmp_path / f"only{i}"), entity.name))
+    with pytest.raises(ValueError, match="first_run"):
+        silver.run_entity(spark, entity, only[0], paths, "b0", at("2024-02-01"))
+    silver.run_entity(spark, entity, only[0], paths, "b0", at("2024-02-01"), first_run=True)
+    with pytest.raises(ValueError, match="no snapshot"):
+        silver.run_entity(spark, entity, only[1], paths, "b1", at("2024-02-02"), previous_batch="b00")
+    for _ in range(2):  # a repeated batch builds on the state before it
+        silver.run_entity(spark, entity, only[1], paths, "b1", at("2024-02-02"))
+    with pytest.raises(Exception, match="older than a stored version"):
+        silver.run_entity(spark, entity, only[2], paths, "b2", at("2024-01-15"))
+    silver.run_entity(spark, entity, only[2], paths, "b2", at("2024-01-15"), late="insert")
+    assert rows(sinks.last_snapshot(spark, paths.table(entity)), "AddressID", "start_date", "end_date", "is_current") == [
+        ("0", dt.date(2024, 2, 1), dt.date(2024, 2, 1), False),
+        ("1", dt.date(2024, 2, 2), None, True),
+        ("2", dt.date(2024, 1, 15), dt.date(2024, 1, 31), False),
+    ]
+    assert rows(silver.read_entity(spark, paths, entity), "AddressID") == [("1",)]
+
+
+def test_batch_and_stream_share_paths_and_new_checkpoints_read_new_files(spark, tmp_path, rows):
+    entity = ENTITIES["sales_order"]
+    paths = silver.SilverPaths(str(tmp_path / "s"))
+    glob = readers.raw_glob(str(tmp_path / "raw"), entity.name)
+    for i, checkpoint in enumerate(("cp1", "cp2")):
+        drop(tmp_path / "raw", entity.name, f"f{i}", [{**ORDERS[0], "SalesOrder": str(i)}])
+        intake.run_intake(spark, entity, glob, paths, str(tmp_path / checkpoint), lambda e: at("2024-01-01"))
+    silver.run_entity(spark, entity, glob, paths, "batch", at("2024-01-02"))
+    assert rows(intake.read_facts(spark, paths, entity), "SalesOrder") == [("0",), ("1",)]
+    assert silver.read_log(spark, paths, entity).count() == 3
+    assert silver.read_rejects(spark, paths, entity).count() == 0
 
 
 PARTNER = {"SDDocument": "D1", "PartnerFunction": "SH", "Customer": "C1"}
@@ -93,7 +144,7 @@ def test_silver_dimension_and_stream_give_the_same_versions(spark, tmp_path, row
         drop(tmp_path / "raw", entity.name, f"w{i}", wave)
         drop(tmp_path / f"only{i}", entity.name, f"w{i}", wave)
         only = readers.raw_glob(str(tmp_path / f"only{i}"), entity.name)
-        silver.run_entity(spark, entity, only, batch, f"b{i}", at(f"2024-01-0{i + 1}"), f"b{i - 1}" if i else None)
+        silver.run_entity(spark, entity, only, batch, f"b{i}", at(f"2024-01-0{i + 1}"), f"b{i - 1}" if i else None, first_run=i == 0)
         for _ in range(2):  # the second run finds nothing new
             intake.run_intake(spark, entity, glob, stream, str(tmp_path / "cp"), lambda e: at(f"2024-01-0{e + 1}"))
     columns = ("SDDocument", "AddressID", "start_date", "end_date", "is_current")
@@ -137,7 +188,7 @@ def test_readers_tolerate_what_is_missing(spark, tmp_path, rows):
 def test_snapshots_switch_a_table(spark, tmp_path, rows):
     base = str(tmp_path / "dim")
     first = spark.createDataFrame([(1, "a", 1)], "k int, v string, created int")
-    gold.publish_merged(spark, first, base, ["k"], "b1", table="dim_t")
+    gold.publish_merged(spark, first, base, ["k"], "b1", table="dim_t", first_run=True)
     second = spark.createDataFrame([(1, "b", 2), (2, "c", 2)], "k int, v string, created int")
     gold.publish_merged(spark, second, base, ["k"], "b2", "b1", ("created",), table="dim_t")
     assert rows(spark.table("dim_t")) == [(1, "b", 1), (2, "c", 2)]
@@ -151,18 +202,20 @@ def test_calendar_without_dates_and_with_a_long_range(spark):
     none = spark.createDataFrame([(None, None)], "min_date date, max_date date")
     days = dims.calendar_over(none, F.lit("2024-01-01").cast("date")).agg(F.min("date"), F.max("date")).first()
     assert days[:] == (dt.date(2021, 1, 1), dt.date(2024, 2, 1))
-    assert dims.calendar(spark, F.lit("2000-01-01"), F.lit("2024-01-01")).count() == 8767
+    long = spark.createDataFrame([(dt.date(2000, 1, 1), dt.date(2024, 1, 1))], "min_date date, max_date date")
+    assert dims.calendar_over(long, F.current_date()).count() == 8767
     odd = spark.createDataFrame([(dt.date(1, 1, 1),), (dt.date(2024, 1, 1),)], "d date")
     assert dims.date_range_of([(odd, ["d"])]).first()[:] == (dt.date(2024, 1, 1),) * 2
 
 
-def test_all_pairs_are_symmetric_with_zero_diagonal(spark):
-    places = spark.range(60).select(F.concat(F.lit("L"), "id").alias("location_id"), (F.col("id") * 1.0).alias("lat"), (F.col("id") * 2.0).alias("lon"))
-    m = {(r[0], r[1]): r[2] for r in dims.distance_matrix(places, top_n=60).collect()}
-    assert len(m) == 3600 and all(m[a, b] == pytest.approx(m[b, a]) for a, b in m)
-    assert all(m[a, a] == 0 for a, _ in m)
-    with pytest.raises(ValueError, match="lanes in use"):
-        dims.distance_matrix(places, top_n=10**6)
+def test_more_than_three_hundred_locations_all_get_distances(spark):
+    places = spark.range(400).select(F.concat(F.lit("L"), "id").alias("location_id"), (F.col("id") / 10.0).alias("lat"), (F.col("id") / 5.0).alias("lon"))
+    ids = places.select(F.col("location_id").alias("origin_location_id"), F.concat(F.lit("L"), F.pmod(F.hash("location_id"), F.lit(401)).cast("string")).alias("dest_location_id"))
+    m = dims.distance_matrix(places, ids, retrieved_at=F.lit("now"))
+    assert m.count() == 400 and m.columns[-1] == "retrieved_at"
+    unlocated = m.filter("dest_location_id = 'L400'")
+    assert m.filter("distance_km IS NULL").count() == unlocated.count()
+    assert unlocated.filter("source IS NOT NULL OR network_duration_min IS NOT NULL").count() == 0
 
 
 def test_warehouse_without_tasks_or_map(spark):
@@ -249,22 +302,32 @@ def test_gold_run_end_to_end(spark, tmp_path, rows):
         "outbound_delivery_address": address, "outbound_delivery_header": header, "warehouse_task": task,
         "sales_order_partner": parts, "outbound_delivery_partner": parts, "sales_order_item": items, "outbound_delivery_item": items,
     }
-    for batch, previous in (("b1", None), ("b2", "b1"), ("b2", "b1")):
+    for batch, previous in (("b1", None), ("b2", "b1"), ("b2", None)):
         day = at("2024-02-01" if batch == "b1" else "2024-02-02")
-        job = gold.GoldJob(spark, silver_tables, str(tmp_path), batch, day, previous, "gold_db")
-        gold.build_dimensions(job, gazetteer, wh_map)
+        job = gold.GoldJob(spark, silver_tables, str(tmp_path), batch, day, previous, "gold_db", first_run=batch == "b1")
+        # What an earlier batch geocoded stays known.
+        gold.build_dimensions(job, gazetteer if batch == "b1" else gazetteer.limit(0), wh_map)
         gold.build_distances(job)
         gold.build_facts(job)
     assert rows(spark.table("gold_db.dim_location"), "address_raw") == [("Elsewhere",), ("Main St",)]
     assert rows(spark.table("gold_db.dim_customer"), "customer_id", "is_current") == [("c1", True)]
     made = spark.table("gold_db.dim_warehouse").select("warehouse_name", F.to_date("created_at"), F.to_date("last_updated_at")).first()
     assert made[:] == ("First", dt.date(2024, 2, 1), dt.date(2024, 2, 2))
-    assert spark.table("gold_db.dim_time").count() == 1 and spark.table("gold_db.dim_distance_matrix").count() == 4
-    assert rows(gold.read_trips(job), "deliverydocument", "distance_km", "ingest_batch_id") == [("0080000001", 0.0, "b1"), ("0080000001", 0.0, "b2")]
+    assert spark.table("gold_db.dim_time").count() == 1 and spark.table("gold_db.dim_distance_matrix").count() == 1
+    assert rows(gold.read_trips(job), "deliverydocument", "distance_km", "ingest_batch_id") == [("0080000001", 0.0, "b2")]
     assert rows(spark.table("gold_db.routes_summary"), "total_trips", "avg_distance_km") == [(1, 0.0)]
     assert rows(spark.read.parquet(job.path("routes_summary_dq")), "routes_total", "routes_with_distance") == [(1, 1), (1, 1)]
 
 
+def test_documents_with_the_same_last_digits_stay_apart(spark, rows):
+    header, address, location, lanes, warehouse, dest = lane_inputs(spark)
+    twin = dims.with_address(spark.createDataFrame([("0180000001", "SH", "T", "Elsewhere")], "DeliveryDocument string, PartnerFunction string, AddressID string, StreetName string"))
+    task = spark.createDataFrame([("W1", "80000001", "10", "T1"), ("W1", "180000001", "10", "T2"), ("W1", "0180000001", "10", "T2")], "EWMWarehouse string, EWMDelivery string, EWMDeliveryItem string, WarehouseTask string")
+    item = spark.createDataFrame([("0080000001", "10"), ("0180000001", "10")], "DeliveryDocument string, DeliveryDocumentItem string")
+    trips = facts.task_trips(task, item, address.unionByName(twin), location, header, warehouse)
+    assert trips.count() == 2 and trips.select("dest_location_id").distinct().count() == 2
+
+
 def test_year_over_year_is_null_without_a_base(spark):
     trips = spark.createDataFrame([("r", "2023-01-05"), ("r", "2024-01-01"), ("r", "2024-01-31"), ("r", "2024-02-01")], "region string, day string")
     trips = trips.withColumn("ts", F.col("day").cast("timestamp"))

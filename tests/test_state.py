@@ -84,5 +84,45 @@ def test_retention_parts_cover_all_rows(spark):
     as_of = F.timestamp_seconds(F.lit(119 * 86400))
     parts = state.retention_split(days, "ts", as_of)
     assert [p.count() for p in parts] == [9, 83, 29]
-    labels = days.groupBy(state.retention_class(F.col("ts"), as_of).alias("c")).count().collect()
-    assert {r.c: r["count"] for r in labels} == {"active": 9, "archive": 83, "purge": 29}
+
+
+def test_scd2_late_batch(spark, rows):
+    one = state.scd2_apply(None, frame(spark, ("a", "2"), ("b", "1")), ["k"], at("2024-02-01"))
+    with pytest.raises(Exception, match="older than a stored version"):
+        state.scd2_apply(one, frame(spark, ("a", "1")), ["k"], at("2024-01-01")).collect()
+    assert rows(state.scd2_apply(one, frame(spark, ("b", "1")), ["k"], at("2024-01-01"))) == rows(one)
+    late = state.scd2_apply(one, frame(spark, ("a", "1"), ("c", "9")), ["k"], at("2024-01-01"), late="insert")
+    assert view(rows, late) == [
+        ("a", "1", D(2024, 1, 1), D(2024, 1, 31), False), ("a", "2", D(2024, 2, 1), None, True),
+        ("b", "1", D(2024, 2, 1), None, True), ("c", "9", D(2024, 1, 1), None, True),
+    ]
+    between = state.scd2_apply(late, frame(spark, ("a", "x")), ["k"], at("2024-01-10"), late="insert")
+    assert [r[1:4] for r in view(rows, between) if r[0] == "a"] == [
+        ("1", D(2024, 1, 1), D(2024, 1, 9)), ("2", D(2024, 2, 1), None), ("x", D(2024, 1, 10), D(2024, 1, 31)),
+    ]
+    same = state.scd2_apply(between, frame(spark, ("a", "x")), ["k"], at("2024-01-20"), late="insert")
+    assert view(rows, same) == view(rows, between)
+    replaced = state.scd2_apply(between, frame(spark, ("a", "y")), ["k"], at("2024-01-10"), late="insert")
+    assert [r[1] for r in view(rows, replaced) if r[0] == "a"] == ["1", "2", "y"]
+
+
+def test_scd2_keeps_the_columns_of_both_sides(spark, rows):
+    one = state.scd2_apply(None, spark.createDataFrame([("a", "1", "old")], "k string, v string, gone string"), ["k"], at("2024-01-01"))
+    two = state.scd2_apply(one, spark.createDataFrame([("a", "2", 5)], "k string, v string, fresh int"), ["k"], at("2024-01-02"))
+    assert rows(two, "v", "gone", "fresh", "is_current") == [("1", "old", None, False), ("2", "old", 5, True)]
+    ins = state.scd2_apply(one, spark.createDataFrame([("a", "2", 5)], "k string, v string, fresh int"), ["k"], at("2024-01-02"), late="insert")
+    assert rows(ins, "v", "gone", "fresh", "is_current") == [("1", "old", None, False), ("2", "old", 5, True)]
+
+
+def test_key_only_dimension(spark, rows):
+    one = state.scd2_apply(None, spark.createDataFrame([("a",)], "k string"), ["k"], at("2024-01-01"))
+    two = state.scd2_apply(one, spark.createDataFrame([("a",), ("b",)], "k string"), ["k"], at("2024-01-02"))
+    assert rows(two, "k", "start_date", "is_current") == [("a", D(2024, 1, 1), True), ("b", D(2024, 1, 2), True)]
+
+
+def test_merge_adds_new_columns_and_keys_alone(spark, rows):
+    target = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
+    source = spark.createDataFrame([(1, "x", True), (3, "y", False)], "k int, v string, more boolean")
+    assert rows(state.merge_upsert(target, source, ["k"])) == [(1, "x", True), (2, "b", None), (3, "y", False)]
+    keys = spark.createDataFrame([(2,), (9,)], "k int")
+    assert rows(state.merge_upsert(target, keys, ["k"])) == [(1, "a"), (2, "b"), (9, None)]
