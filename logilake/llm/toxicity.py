@@ -3,7 +3,7 @@
 Features are words and word beginnings of 4 to 6 letters, lower-cased, hashed into ``BUCKETS`` places; a text has a
 feature or has it not. Of the places, the ``SELECTED`` with the largest chi-square between toxic and other labelled
 texts are used. Severity has ``GRADES`` grades: 0 for texts that are not labelled toxic; labelled toxic texts are
-graded by their different insults, at the terciles of the number of distinct words that have a selected feature.
+graded by their different insults, at the terciles of the number of selected features that they have.
 One weight vector is shared by all thresholds: P(grade > k) = logistic(w x - t_k) with t_0 <= t_1 <= ... Results are the expected severity (0 to GRADES - 1), the most likely grade, and ``score``, P(grade > 0).
 
 The model is fitted on the driver, on at most ``LABELLED`` labelled rows (all of them, if there are fewer), drawn by
@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logilake.llm.common import bounded_sample, fold, query, table
+from logilake.llm.common import bounded_sample, fold, query, staged, table
 
 BUCKETS = 1 << 18
 SELECTED = 4096
@@ -86,16 +86,12 @@ def _constant(rate: float) -> Ordinal:
     return Ordinal(np.empty(0, np.int64), np.empty(0), np.full(GRADES - 1, -base))
 
 
-def fit(texts: list[str], toxic: np.ndarray) -> Ordinal:
-    if not len(texts) or toxic.all() or not toxic.any():
-        return _constant(float(toxic.mean()) if len(texts) else 0.0)
-    features = Features()
-    rows, places = _sparse([features(t) for t in texts])
-    n1, n0 = int(toxic.sum()), int((~toxic).sum())
-    in_toxic = np.bincount(places[toxic[rows]], minlength=BUCKETS).astype(float)
-    in_other = np.bincount(places[~toxic[rows]], minlength=BUCKETS).astype(float)
-    # Likelihood ratio of "toxic texts have it more often", for the places that they do have more often: signs of the
-    # contrary would let a long text outweigh its insults. Chance alone seldom passes the bound at so many places.
+def choose(places: np.ndarray, in_toxic: np.ndarray, in_other: np.ndarray, n1: int, n0: int) -> np.ndarray:
+    """Places that toxic texts have more often than others beyond chance, from the numbers of texts that have them.
+
+    By the likelihood ratio, against a bound that chance alone seldom passes at so many places. Signs of the contrary
+    are not used: they would let a long text outweigh its insults.
+    """
     both, rate = in_toxic + in_other, n1 / (n1 + n0)
     with np.errstate(divide="ignore", invalid="ignore"):
         gain = 2 * (
@@ -103,16 +99,18 @@ def fit(texts: list[str], toxic: np.ndarray) -> Ordinal:
             + np.where(in_other > 0, in_other * np.log(in_other / (both * (1 - rate))), 0)
         )
     gain[(in_toxic + 0.5) / n1 <= TYPICAL * (in_other + 0.5) / n0] = 0
-    chosen = np.flatnonzero(gain >= 2 * np.log((both > 0).sum()))
-    chosen = np.sort(chosen[np.argsort(-gain[chosen], kind="stable")[:SELECTED]])
-    selected = Features(chosen)
-    grades = np.zeros(len(texts), int)
-    insults = np.zeros(len(texts))
-    for i in np.flatnonzero(toxic):
-        insults[i] = sum(bool(selected.of_word(w)) for w in set(selected.words(texts[i])))
+    good = np.flatnonzero(gain >= 2 * np.log(max(2, len(places))))
+    return np.sort(places[good[np.lexsort((places[good], -gain[good]))][:SELECTED]])
+
+
+def fit(chosen: np.ndarray, features: list[list[int]], toxic: np.ndarray) -> Ordinal:
+    """From the chosen places, the numbers of those that each text has, and whether it is toxic."""
+    if not len(features) or toxic.all() or not toxic.any():
+        return _constant(float(toxic.mean()) if len(features) else 0.0)
+    insults = np.array([len(f) for f in features])
     cuts = np.quantile(insults[toxic], np.arange(1, GRADES - 1) / (GRADES - 1))
-    grades[toxic] = 1 + np.searchsorted(cuts, insults[toxic], side="left")
-    return _descend(chosen, [selected(t) for t in texts], grades)
+    grades = np.where(toxic, 1 + np.searchsorted(cuts, insults, side="left"), 0)
+    return _descend(chosen, features, grades)
 
 
 def _descend(chosen: np.ndarray, features: list[list[int]], grades: np.ndarray) -> Ordinal:
@@ -154,12 +152,37 @@ def _descend(chosen: np.ndarray, features: list[list[int]], grades: np.ndarray)
 
 
 def learn(docs: DataFrame, labels: DataFrame) -> Ordinal:
+    """The features of the sampled texts are found and counted by Spark. The driver gets one count for each place, and
+    of each text only the chosen features that it has."""
     known = labels.select("doc_id", F.col("toxic").cast("int").alias("toxic")).where("toxic IN (0, 1)")
     sample = bounded_sample(known.where(fold("doc_id", FOLDS) != HELD_OUT), "doc_id", LABELLED)
-    # At most LABELLED narrow rows, so the documents need not be shuffled.
-    rows = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").collect()
-    rows.sort(key=lambda r: (r.doc_id, r.text or ""))
-    return fit([r.text for r in rows], np.array([r.toxic == 1 for r in rows], bool))
+
+    def run(batches):
+        features = Features()
+        for batch in batches:
+            found = [features(t) for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.int32()))], ["toxic", "places"])
+
+    # At most LABELLED narrow rows are broadcast, so the documents need not be shuffled.
+    rows = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("toxic", "text")
+    rows = staged(rows.mapInArrow(run, "toxic int, places array<int>"), "toxicity-sample")
+    size = rows.agg(F.count_if(F.col("toxic") == 1).alias("toxic"), F.count_if(F.col("toxic") == 0).alias("other")).first()
+    if not size.toxic or not size.other:
+        return _constant(size.toxic / max(1, size.toxic + size.other))
+    counts = (
+        rows.select("toxic", F.explode("places").alias("place"))
+        .groupBy("place")
+        .agg(F.count_if(F.col("toxic") == 1).alias("toxic"), F.count_if(F.col("toxic") == 0).alias("other"))
+        .toArrow()
+    )
+    place, in_toxic, in_other = (counts.column(c).to_numpy() for c in ("place", "toxic", "other"))
+    chosen = choose(place, in_toxic.astype(float), in_other.astype(float), size.toxic, size.other)
+    number = {int(p): i for i, p in enumerate(chosen)}
+    picked = F.array_intersect("places", F.lit(chosen.tolist()) if len(chosen) else F.array().cast("array<int>"))
+    texts = rows.select("toxic", picked.alias("picked")).toArrow()
+    features = [sorted(number[p] for p in own) for own in texts.column("picked").to_pylist()]
+    order = sorted(range(len(features)), key=lambda i: features[i])
+    return fit(chosen, [features[i] for i in order], texts.column("toxic").to_numpy()[order] == 1)
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:

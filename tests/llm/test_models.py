@@ -74,7 +74,12 @@ def test_toxicity_of_held_out_documents(spark):
 def test_ordinal_regression_shares_weights_and_orders_grades():
     words = ["vile", "crude", "nasty", "awful"]
     texts = [f"plain text {' '.join(words[: i % 5])} number {i}" for i in range(400)]
-    model = toxicity.fit(texts, np.array([i % 5 > 0 for i in range(400)]))
+    toxic = np.array([i % 5 > 0 for i in range(400)])
+    found = [toxicity.Features()(t) for t in texts]
+    places = np.unique(np.concatenate(found))
+    counts = [np.array([sum(p in f for f in np.array(found, object)[side]) for p in places], float) for side in (toxic, ~toxic)]
+    chosen = toxicity.choose(places, *counts, int(toxic.sum()), int((~toxic).sum()))
+    model = toxicity.fit(chosen, [toxicity.Features(chosen)(t) for t in texts], toxic)
     assert (np.diff(model.thresholds) > 0).all()
     features = toxicity.Features(model.places)
     rows, places = toxicity._sparse([features(" ".join(["other", *words[:k]])) for k in range(5)])
