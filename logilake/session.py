@@ -72,7 +72,12 @@ def stage(df: DataFrame, purpose: str, partition_by: tuple[str, ...] = ()) -> St
     return Staged(df.sparkSession.read.parquet(path), path)
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a folder in whatever file system it is."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def discard(spark: SparkSession, staged: Staged) -> None:
     """Delete a staged table once every sink has been written."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(staged.path)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    delete(spark, staged.path)

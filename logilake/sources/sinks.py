@@ -6,6 +6,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from logilake.session import delete
+
 def append_facts(df: DataFrame, path: str, batch_id: str, source: str | None, unit: str = "day") -> None:
     """Append a batch of facts, partitioned by the day of a timestamp column if one is named."""
     if source is None:
@@ -91,7 +93,8 @@ def previous_snapshot(
     if named is not None:
         return read_snapshot(spark, base, named)
     done = _sequence(spark, base)
-    before = {b: n for b, n in done.items() if n < done.get(batch_id, len(done) + 1)}
+    own = done.get(batch_id, max(done.values(), default=0) + 1)
+    before = {b: n for b, n in done.items() if n < own}
     if before:
         return read_snapshot(spark, base, max(before, key=before.get))
     if first_run:
@@ -105,6 +108,21 @@ def last_snapshot(spark: SparkSession, base: str) -> DataFrame | None:
     return read_snapshot(spark, base, max(done, key=done.get)) if done else None
 
 
+def expire_snapshots(spark: SparkSession, base: str, keep: int = 2) -> list[str]:
+    """Delete all but the last ``keep`` committed states of a table, and give their batches.
+
+    The commit goes first, so that no batch can build on a state that is half deleted.
+    """
+    if keep < 1:
+        raise ValueError("the last state must stay")
+    done = _sequence(spark, base)
+    expired = sorted(done, key=done.get)[:-keep]
+    for batch_id in expired:
+        delete(spark, f"{_commits_path(base)}/{FOLDER}=b-{batch_id}")
+        delete(spark, snapshot_path(base, batch_id))
+    return expired
+
+
 def _commits_path(base: str) -> str:
     return f"{base.rstrip('/')}_commits"
 

@@ -193,6 +193,13 @@ def test_snapshots_switch_a_table(spark, tmp_path, rows):
     gold.publish_merged(spark, second, base, ["k"], "b2", "b1", ("created",), table="dim_t")
     assert rows(spark.table("dim_t")) == [(1, "b", 1), (2, "c", 2)]
     assert rows(sinks.read_snapshot(spark, base, "b1")) == [(1, "a", 1)]
+    for i in (3, 4):
+        gold.publish_merged(spark, second, base, ["k"], f"b{i}", table="dim_t")
+    assert sinks.expire_snapshots(spark, base) == ["b1", "b2"]
+    with pytest.raises(ValueError, match="no snapshot"):
+        sinks.read_snapshot(spark, base, "b1")
+    gold.publish_merged(spark, first, base, ["k"], "b5", table="dim_t")
+    assert rows(spark.table("dim_t")) == [(1, "a", 1), (2, "c", 2)]
 
 
 # ---- gold builders ----------------------------------------------------------------------------------------------
