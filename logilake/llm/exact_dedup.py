@@ -8,10 +8,11 @@
 Equality is always that of the full text; the digest only serves to find the place. Documents find their winner by
 digest alone where a digest has a single text, and by digest and full text where it has several.
 
-Defined cases: a null text equals the empty text. A null ``doc_id`` never stays while its group has another; if all
-ids of a group are null, ``keep_id`` is null and no row is kept. Rows that repeat both id and text are one document
-and are flagged alike. An empty table gives an empty result. Only ``doc_id`` and ``text`` are read, so further
-columns may have any name.
+Defined cases: a null text equals the empty text. A null ``doc_id`` never stays while its group has another. Flags
+speak of ids: if all ids of a group are null, ``keep_id`` is null and no row is flagged, and rows that repeat both id
+and text are flagged alike. ``drop_copies`` speaks of rows: one row of every text stays, also if its ids are all null
+or repeat, and which one of rows that repeat both id and text is open. An empty table
+gives an empty result. Only ``doc_id`` and ``text`` decide, so further columns may have any name.
 """
 
 from __future__ import annotations
@@ -69,9 +70,27 @@ def flag_copies(docs: DataFrame, salts: int = SALTS) -> DataFrame:
 
 
 def drop_copies(docs: DataFrame, salts: int = SALTS) -> DataFrame:
-    """The documents that stay, all their columns as they were."""
-    kept = winners(_rows(docs), salts).select(F.col("keep_id").alias("doc_id"))
-    return docs.join(kept, "doc_id", "left_semi").select(*docs.columns)
+    """Exactly one row of each full text, all its columns as they were: that of the largest id, null ids last.
+
+    The winning row travels with its text, so nothing is matched by id afterwards.
+    """
+    text = whole_text()
+    others = [c for c in docs.columns if c != "text"]
+    row = F.struct(F.col("text").isNull().alias("none"), *(F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(others)))
+    rank = F.struct(F.col("doc_id").isNotNull().alias("known"), F.col("doc_id").alias("id"))
+    best = [F.max_by("row", "rank").alias("row"), F.max("rank").alias("rank")]
+    won = (
+        docs.select(
+            text.alias("text"), F.sha2(text.cast("binary"), 256).alias("digest"),
+            F.pmod(F.spark_partition_id(), F.lit(salts)).alias("salt"), row.alias("row"), rank.alias("rank"),
+        )
+        .groupBy("digest", "salt", "text").agg(*best)
+        .repartition("digest")
+        .groupBy("digest", "text").agg(*best)
+    )
+    own = {c: F.col(f"row.c{i}") for i, c in enumerate(others)}
+    own["text"] = F.when(~F.col("row.none"), F.col("text"))
+    return won.select(*(own[c].alias(c) for c in docs.columns))
 
 
 SQL = """

@@ -14,7 +14,9 @@
 
 Defined cases: a null or blank text has no shingles and is linked with nothing. A text of fewer words than a shingle
 has one shingle, the whole sequence. A null ``doc_id`` is linked with nothing, has no component and is kept. Rows
-that repeat an id with another text are documents of their own that share a component. An empty table gives an empty result. Only ``doc_id`` and ``text`` are read.
+that repeat an id with another text are documents of their own that share a component; the filter judges each such row
+by its own text, and keeps one of rows that repeat both id and text. An empty table gives an empty result. Only
+``doc_id`` and ``text`` are read.
 """
 
 from __future__ import annotations
@@ -335,9 +337,26 @@ def near_components(docs: DataFrame, rule: Rule) -> DataFrame:
 
 
 def drop_near_copies(docs: DataFrame, rule: Rule) -> DataFrame:
-    """One document of each group, all columns as they were."""
-    dropped = near_components(docs, rule).where("NOT kept").select("doc_id")
-    return docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
+    """Documents of the smallest id of each group, all columns as they were."""
+    again = docs.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1")
+    if again.isEmpty():
+        dropped = near_components(docs, rule).where("NOT kept").select("doc_id")
+        return docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
+    # Ids do not tell rows apart: a key does, in the order of the ids.
+    key = "row_key"
+    while key in docs.columns:
+        key += "_"
+    once = docs.where("doc_id IS NOT NULL").dropDuplicates(["doc_id", "text"]).unionByName(docs.where("doc_id IS NULL"))
+    ordered = once.orderBy(F.asc_nulls_last("doc_id"), F.xxhash64("text"))
+    rows = staged(ordered.withColumn(key, F.monotonically_increasing_id()), "keyed-rows")
+    known = F.when(F.col("doc_id").isNotNull(), F.col(key))
+    lost = near_components(rows.select(known.alias("doc_id"), "text"), rule).where("NOT kept")
+    lost = lost.select(F.col("doc_id").alias("lost"), "component_id")
+    # Rows with the winner's own id stay, as that id's other documents.
+    ids = rows.select(F.col(key).alias("lost"), F.col("doc_id").alias("id"))
+    winners = rows.select(F.col(key).alias("component_id"), F.col("doc_id").alias("winner"))
+    dropped = lost.join(ids, "lost").join(winners, "component_id").where("id <> winner").select(F.col("lost").alias(key))
+    return rows.join(dropped, key, "left_anti").select(*docs.columns)
 
 
 OP1 = Rule(words=3, percent=85)

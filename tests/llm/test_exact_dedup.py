@@ -52,3 +52,12 @@ def test_texts_that_share_a_digest_stay_apart(documents, monkeypatch):
 def test_empty_table(documents):
     assert exact_dedup.flag_copies(documents()).count() == 0
     assert exact_dedup.drop_copies(documents()).count() == 0
+
+
+def test_one_row_of_each_text_stays(documents):
+    docs = documents((None, "x"), (None, "x"), (None, "y"), (7, "y"), (8, "a"), (8, "b"), (9, "a"), (5, "z"), (5, "z"), (None, None), (3, ""))
+    got = sorted((r.doc_id or 0, r.text) for r in exact_dedup.drop_copies(docs.repartition(4)).collect())
+    assert got == [(0, "x"), (3, ""), (5, "z"), (7, "y"), (8, "b"), (9, "a")]
+    got = exact_dedup.drop_copies(documents((1, ""), (2, None))).collect()
+    assert [(r.doc_id, r.text, r.lang, r.n_chars) for r in got] == [(2, None, "en", None)]
+    assert exact_dedup.drop_copies(docs).schema == docs.schema

@@ -109,3 +109,12 @@ def test_components_of_chains_hubs_and_rings(spark):
     expected = {i: 0 for i in range(61)} | {1000 + i: 1000 for i in range(80)} | {i: 500 for i in (500, 501, 502)}
     assert got == expected
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_filter_judges_rows_not_ids(documents):
+    base = [f"w{i}" for i in range(60)]
+    near, other = " ".join([*base, "end"]), " ".join(f"v{i}" for i in range(60))
+    docs = documents((7, " ".join(base)), (8, near), (8, other), (9, other + " end"), (10, "a b c d"), (10, "a b c d"), (None, near)).withColumn("row_key", F.lit("k"))
+    kept = mh.drop_near_copies(docs, mh.NEAR)
+    assert kept.columns == docs.columns
+    assert sorted((r.doc_id or 0, r.text) for r in kept.collect()) == [(0, near), (7, " ".join(base)), (8, other), (10, "a b c d")]
