@@ -1,7 +1,11 @@
 """Benchmark decontamination: a BM25 inverted index of the test items, searched by block-max WAND.
 
-Every training passage is a query. A passage is a window of words, twice as long as the longest test item, and
-windows overlap by half, so an item that stands in a document lies whole in one of its windows.
+Every training passage is a query. A passage is a window of words, twice as long as the longest test item of a length
+class (up to 64 words, 256, 1024, ...), and windows overlap by half, so an item of the class that stands in a document
+lies whole in one of its windows.
+
+* Numbers of items and words, item frequencies of words and the longest item of a class are those of the whole test set,
+  so what is found of an item does not depend on the part it is in.
 
 * An item's BM25 impacts are divided by their sum, so an item that contains itself scores 1.
 * Items lie in blocks of ``BLOCK_ITEMS``. Per term and block the index holds the largest impact. The sum of these
@@ -15,11 +19,12 @@ windows overlap by half, so an item that stands in a document lies whole in one
 Question and answer: up to the last question mark, and the rest; without one, the sentences nearest to half of the
 words; an item of one sentence is its own question and answer.
 
-The index is sent to executors. It is built from parts of at most ``PART_ITEMS`` items, ``PARTS`` parts at a time, and
-larger test sets are searched in several passes over the documents, so what is sent has a fixed bound.
+The index is sent to executors. It is built from parts of at most ``PART_ITEMS`` items of a class and ``PART_BYTES`` of
+text, or a single longer item. Larger test sets are searched in rounds, one pass over the documents each, of about
+``PARTS`` such parts in number of items and bytes; items are dealt to rounds by hash.
 
-Defined cases: null and empty texts hold nothing, and items without words are found nowhere. Repeated items are
-separate hits, repeated documents are separate rows. Case and ASCII punctuation do not matter. Documents are read
+Defined cases: null and empty texts hold nothing, and items without words are found nowhere. Items without an id are
+searched like others and give hits with a null id. Repeated items are separate hits, repeated documents are separate rows. Case and ASCII punctuation do not matter. Documents are read
 whole. Only ``doc_id`` and ``text`` are needed; the filter keeps all columns.
 """
 
@@ -28,6 +33,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
+from collections.abc import Iterator
 from itertools import repeat
 from typing import NamedTuple
 
@@ -36,14 +42,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logilake.llm.common import query, table
+from logilake.llm.common import query, staged, table
 
 THRESHOLD = 0.6
 OVERLAP = 0.5
 K1, B = 1.2, 0.75
 BLOCK_ITEMS = 8
 PART_ITEMS = 1024
+PART_BYTES = 512 << 10
 PARTS = 16
+SHORT, LONGER = 64, 4  # words of the items of the first length class, and how many times more the next has
 CHUNK = 50_000  # hits whose bounds are computed at once
 
 _FOLD = bytes(c if c >= 128 or 48 <= c <= 57 or 97 <= c <= 122 else 32 for c in range(256))
@@ -74,28 +82,46 @@ def _grams(words: list[bytes], n: int) -> set[tuple[bytes, ...]]:
     return set(zip(*(words[i:] for i in range(n)), strict=False))
 
 
+def length_class(words: int) -> int:
+    found, most = 0, SHORT
+    while words > most:
+        found, most = found + 1, most * LONGER
+    return found
+
+
+class Statistics(NamedTuple):
+    """Of the whole test set."""
+
+    items: int
+    words: int
+    longest: int  # words of the longest item of the part's length class
+    frequency: dict[bytes, int]  # items that have a word; at least for the part's words
+
+
 class Hit(NamedTuple):
-    item_id: int
+    item_id: int | None
     score: float
     question_overlap: float
     answer_overlap: float
 
 
 class Index:
-    """Of one part of the items, given as (item_id, text)."""
+    """Of one part of the items, given as (item_id, text), which is all of them without ``whole``."""
 
-    def __init__(self, items: list[tuple[int, str]]):
+    def __init__(self, items: list[tuple[int | None, str]], whole: Statistics | None = None):
         items = [(i, t, w) for i, t in items if (w := words_of(t))]
         self.ids = [i for i, _, _ in items]
         self.parts = [question_and_answer(t) for _, t, _ in items]
         counts = [Counter(w) for _, _, w in items]
         lengths = [len(w) for _, _, w in items]
-        self.longest = max(lengths, default=1)
-        mean = sum(lengths) / max(1, len(items))
-        frequency = Counter(t for c in counts for t in c)
-        self.terms = {t: k for k, t in enumerate(frequency)}
+        own = Counter(t for c in counts for t in c)
+        whole = whole or Statistics(len(items), sum(lengths), max(lengths, default=1), own)
+        self.longest = whole.longest
+        mean = whole.words / max(1, whole.items)
+        self.terms = {t: k for k, t in enumerate(own)}
         self.term_of = self.terms.get
-        idf = {t: math.log(1 + (len(items) - n + 0.5) / (n + 0.5)) for t, n in frequency.items()}
+        frequency = {t: whole.frequency[t] for t in own}
+        idf = {t: math.log(1 + (whole.items - n + 0.5) / (n + 0.5)) for t, n in frequency.items()}
         # Postings of a term: (item, impact), in item order.
         self.postings: list[list[tuple[int, float]]] = [[] for _ in self.terms]
         for item, (c, length) in enumerate(zip(counts, lengths, strict=True)):
@@ -205,14 +231,66 @@ class Index:
         return [list(h.values()) for h in hits]
 
 
-def _rounds(benchmark: DataFrame) -> list[list[list[tuple[int, str]]]]:
-    """Items in rounds of at most PARTS parts of about PART_ITEMS items; each part is one bounded collect."""
-    items = benchmark.select("item_id", "text").where("item_id IS NOT NULL AND text IS NOT NULL")
-    rounds = max(1, -(-items.count() // (PARTS * PART_ITEMS)))
+class Part(NamedTuple):
+    items: list[tuple[int | None, str]]
+    whole: Statistics
+
+    def index(self) -> Index:
+        return Index(*self)
+
+
+def _counted(benchmark: DataFrame) -> DataFrame:
+    """item_id, text, words, bytes and distinct terms of every item that has words."""
+
+    def run(batches):
+        for batch in batches:
+            words = [words_of(t) for t in batch.column(1).to_pylist()]
+            terms = [sorted(set(w)) for w in words]
+            sizes = [pa.array(map(len, words), pa.int64()), pa.array((sum(map(len, w)) for w in words), pa.int64())]
+            classes = pa.array([length_class(len(w)) for w in words], pa.int32())
+            found = pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), *sizes, classes, pa.array(terms, pa.list_(pa.binary()))],
+                ["item_id", "text", "words", "bytes", "kind", "terms"],
+            )
+            yield found.filter(pa.array([bool(w) for w in words], pa.bool_()))
+
+    rows = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text")
+    return rows.mapInArrow(run, "item_id long, text string, words long, bytes long, kind int, terms array<binary>")
+
+
+def _rounds(benchmark: DataFrame) -> Iterator[list[Part]]:
+    """Parts of the items by round, with the whole test set's statistics of their words; two collects each."""
+    items = staged(_counted(benchmark).withColumn("number", F.monotonically_increasing_id()), "test-items")
+    by_kind = items.groupBy("kind").agg(
+        F.count(F.lit(1)).alias("items"), F.sum("words").alias("words"), F.sum("bytes").alias("bytes"), F.max("words").alias("longest")
+    )
+    kinds = {r.kind: r for r in by_kind.collect()}
+    count, words, size = (sum(r[c] for r in kinds.values()) for c in ("items", "words", "bytes"))
+    if not count:
+        yield []
+        return
+    rounds = max(-(-count // (PARTS * PART_ITEMS)), -(-size // (PARTS * PART_BYTES)))
+    items = items.withColumn("round", F.pmod(F.xxhash64("number"), F.lit(rounds)))
+    terms = items.select("round", F.explode("terms").alias("term"))
+    # The whole set's counts; a round fetches those of its own words.
+    frequency = staged(terms.groupBy("term").agg(F.count(F.lit(1)).alias("n")), "test-words")
     for k in range(rounds):
-        rows = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(rounds)) == k).collect()
-        found = sorted((r.item_id, r.text) for r in rows)
-        yield [found[i : i + PART_ITEMS] for i in range(0, len(found), PART_ITEMS)] or [[]]
+        rows = items.where(F.col("round") == k).select("kind", "item_id", "text", "bytes").collect()
+        own = terms.where(F.col("round") == k).select("term").distinct()
+        n = {bytes(r.term): r.n for r in own.join(frequency, "term").collect()}
+        parts: list[list] = []
+        for row in sorted(rows, key=lambda r: (r.kind, r.item_id is None, r.item_id or 0, r.text)):
+            if not parts or parts[-1][0].kind != row.kind or len(parts[-1]) >= PART_ITEMS or room < row.bytes:
+                parts.append([])
+                room = PART_BYTES
+            parts[-1].append(row)
+            room -= row.bytes
+        found = []
+        for part in parts:
+            texts = [(r.item_id, r.text) for r in part]
+            used = {t for _, text in texts for t in words_of(text)}
+            found.append(Part(texts, Statistics(count, words, kinds[part[0].kind].longest, {t: n[t] for t in used})))
+        yield found
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -220,7 +298,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     def searched(parts):
         def run(batches):
-            indexes = [Index(p) for p in parts]
+            indexes = [p.index() for p in parts]
             for batch in batches:
                 texts = [words_of(t) for t in batch.column(1).to_pylist()]
                 for index in indexes:
@@ -254,7 +332,7 @@ def drop_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     def without(parts):
         def run(batches):
-            indexes = [Index(p) for p in parts]
+            indexes = [p.index() for p in parts]
             for batch in batches:
                 texts = [words_of(t) for t in batch.column(text_at).to_pylist()]
                 found = [index.search(texts) for index in indexes]

@@ -88,3 +88,47 @@ def test_defined_cases(spark, documents, monkeypatch):
     kept = dc.drop_leaks(docs, bench)
     assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == [1, 2]
     assert dc.find_leaks(docs, bench.limit(0)).count() == 0 and dc.drop_leaks(documents(), bench).count() == 0
+
+
+def test_parts_share_the_statistics_of_all_items(spark, documents, monkeypatch):
+    known = items(n=40)
+    partial = [(i, " ".join(t.split()[: len(t.split()) * 3 // 4])) for i, t in known]
+    docs = documents(*partial)
+    bench = spark.createDataFrame(known, "item_id long, text string")
+
+    def found():
+        return {(r.doc_id, r.item_id, round(r.score, 4)) for r in dc.find_leaks(docs, bench).collect()}
+
+    whole = found()
+    assert 5 < len(whole)
+    monkeypatch.setattr(dc, "PART_ITEMS", 3)
+    assert found() == whole
+    monkeypatch.setattr(dc, "PARTS", 4)
+    assert found() == whole
+    monkeypatch.setattr(dc, "PART_BYTES", 300)
+    parts = [p for r in dc._rounds(bench) for p in r]
+    assert all(len(p.items) == 1 or sum(len(t) for _, t in p.items) < 450 for p in parts)
+    assert found() == whole
+
+
+def test_long_item_does_not_widen_the_passages_of_others(spark, documents):
+    known = items(n=20)
+    long = (99, " ".join(f"long{i}" for i in range(5000)))
+    # Each item's words in pieces of four, far apart: no passage of a short item's length holds it.
+    texts = []
+    for i, t in known:
+        words = t.split()
+        texts.append((i, (" filler" * 200 + " ").join(" ".join(words[k : k + 4]) for k in range(0, len(words), 4))))
+    clean = [(i, t) for (i, t), (_, own) in zip(texts, known, strict=True) if len(own.split()) > 12]
+    bench = spark.createDataFrame([*known, long], "item_id long, text string")
+    assert {p.whole.longest for r in dc._rounds(bench) for p in r} == {max(len(dc.words_of(t)) for _, t in known), 5000}
+    assert dc.drop_leaks(documents(*clean), bench).count() == len(clean) > 5
+    assert dc.drop_leaks(documents((1, "x " * 7000 + long[1])), bench).count() == 0
+
+
+def test_item_without_id_is_searched(spark, documents):
+    text = "alpha beta gamma delta epsilon zeta eta theta. One two three four five six."
+    bench = spark.createDataFrame([(None, text), (None, text)], "item_id long, text string")
+    docs = documents((1, text), (2, "nothing of it"))
+    assert [(r.doc_id, r.item_id) for r in dc.find_leaks(docs, bench).collect()] == [(1, None)] * 2
+    assert [r.doc_id for r in dc.drop_leaks(docs, bench).collect()] == [2]
