@@ -17,7 +17,7 @@ from __future__ import annotations
 
 import math
 import zlib
-from bisect import bisect_left, bisect_right
+from collections import Counter
 from typing import NamedTuple
 
 import numpy as np
@@ -59,18 +59,12 @@ def statistics(text: str | None) -> list[float]:
     size = len(raw)
     words = raw.split()
     n = len(words)
-    distinct = len(set(words))
+    times = Counter(words)
 
     def count(kinds: bytes) -> int:
         return size - len(raw.translate(None, kinds))
 
     letters = count(_LETTERS)
-    most = 0
-    if n:
-        # The most common word lies at one of the words that fill the sorted list at even steps, if it is common.
-        step = max(1, n // 16)
-        ordered = sorted(words)
-        most = max(_run(ordered, i) for i in range(0, n, step))
     repeated = sum(map(bytes.__eq__, words, words[1:]))
     marked = sum(1 for w in words if w[-1] in _SYMBOLS) if count(_SYMBOLS) else 0
     return [
@@ -83,8 +77,8 @@ def statistics(text: str | None) -> list[float]:
         _share(count(_SYMBOLS), size, 0.002, BYTES),
         _share(count(b".?"), size, 0.02, BYTES),
         _share(count(b",;:"), size, 0.01, BYTES),
-        _share(distinct, n, 0.7, WORDS),
-        _share(most, n, 0.05, WORDS),
+        _share(len(times), n, 0.7, WORDS),
+        _share(max(times.values(), default=0), n, 0.05, WORDS),
         _share(repeated, n, 0.005, WORDS),
         _share(marked, n, 0.005, WORDS),
         _share(raw.count(b"\n"), n, 0.01, WORDS),
@@ -92,11 +86,6 @@ def statistics(text: str | None) -> list[float]:
     ]
 
 
-def _run(ordered: list[bytes], at: int) -> int:
-    """How often the word at a place of the sorted list occurs."""
-    return bisect_right(ordered, ordered[at]) - bisect_left(ordered, ordered[at])
-
-
 def vectors(docs: DataFrame) -> DataFrame:
     """doc_id and the vector of its text, as float32 bytes."""
 

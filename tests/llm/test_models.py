@@ -56,6 +56,15 @@ def test_quality_defined_cases(spark, documents):
     assert quality_qda.scored(documents(), few).count() == 0 and quality_qda.keep_good(documents(), few).count() == 0
 
 
+def test_most_common_word_is_counted_over_all_words():
+    words = [f"{c}{i}" for c in "am" for i in range(9500)] + ["hot"] * 1000
+    at = quality_qda.FEATURES.index("most_common_word")
+    for prefix in range(0, 1200, 100):  # moves the word against any even steps
+        n = len(words) + prefix
+        got = quality_qda.statistics(" ".join([*(f"a0{i}" for i in range(prefix)), *words]))[at]
+        assert got == pytest.approx(quality_qda._share(1000, n, 0.05, quality_qda.WORDS))
+
+
 def test_no_input_but_the_text(spark, documents):
     docs = documents(*((i, "Good plain words stand here.") for i in range(30)))
     known = labels(spark, *((i, i % 2, 0) for i in range(30)))
