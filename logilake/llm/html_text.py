@@ -51,8 +51,8 @@ BOILERPLATE_WORDS = set(
     "comment comments commentlist disqus reply replies respond reviews share sharing social newsletter subscribe "
     "signup login search form pagination pager complementary contentinfo navigation tags byline copyright".split()
 )
-# Beside these, such a word only tells how the page is laid out ("has-sidebar", "no-ads").
-LAYOUT_WORDS = set("has no with without free wrap wrapper container layout page left right grid columns".split())
+# After these, such a word only tells how the page is laid out ("has-sidebar", "no-ads").
+LAYOUT_WORDS = set("has no with without".split())
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
@@ -61,9 +61,9 @@ _TOKEN = re.compile(
     r"|<[!?][^>]*>",
     re.DOTALL | re.IGNORECASE,
 )
-_HINT = re.compile(r"\b(?:class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.IGNORECASE)
 _WORD = re.compile(r"[a-z]+")
-_HIDDEN = re.compile(r"\bhidden\b|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.IGNORECASE)
+_ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?")
+_NOT_SHOWN = re.compile(r"display\s*:\s*none")
 
 
 class Line(NamedTuple):
@@ -85,16 +85,27 @@ def _marks_boilerplate(name: str, attributes: str) -> bool:
         return True
     if not attributes or name in ("body", "html") or name in ARTICLE_ELEMENTS and "comment" not in attributes.lower():
         return False
-    if _HIDDEN.search(attributes):
-        return True
-    for hint in _HINT.findall(attributes):
-        for value in hint.lower().split():
-            words = set(_WORD.findall(value))
-            if words & BOILERPLATE_WORDS and not words & LAYOUT_WORDS:
-                return True
+    for attribute, value in _ATTRIBUTE.findall(attributes.lower()):
+        value = value.strip("\"'")
+        if attribute == "hidden" or attribute == "aria-hidden" and value.strip() == "true":
+            return True
+        if attribute == "style" and _NOT_SHOWN.search(value):
+            return True
+        if attribute in ("class", "id", "role") and any(map(_names_boilerplate, value.split())):
+            return True
     return False
 
 
+def _names_boilerplate(name: str) -> bool:
+    """Whether a class, id or role is "hidden" or has a boilerplate word that no word of layout stands before."""
+    for word in _WORD.findall(name):
+        if word in LAYOUT_WORDS:
+            break
+        if word in BOILERPLATE_WORDS:
+            return True
+    return name == "hidden"
+
+
 def lines_of(html: str) -> list[Line]:
     """The page's lines with their marks, empty ones left out unless they are boilerplate."""
     lines: list[Line] = []

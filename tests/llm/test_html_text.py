@@ -59,3 +59,17 @@ def test_nulls_long_pages_and_clashing_columns(spark):
     got = sorted((r.page_id or 0, r.n_chars) for r in ht.extract(pages).collect())
     assert got == [(0, 1), (1, 0), (3, 0), (3, 1_999_999)]
     assert ht.extract(pages.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("mark", ['class="overflow-hidden"', 'class="hidden-xs"', 'aria-hidden="false"', 'class="no-ads"', 'data-x="hidden"', 'class="page-wrapper"'])
+def test_names_that_hide_nothing(mark):
+    assert ht.main_text(f"<div {mark}><p>The whole text.</p></div>") == "The whole text."
+
+
+@pytest.mark.parametrize(
+    "mark",
+    ["hidden", "HIDDEN=''", "class='a hidden'", "aria-hidden=true", 'style="color:red; display: none"', 'class="sidebar-left"', "id=page-footer"]
+    + [f'class="{name}"' for name in ("nav-wrapper", "footer-container", "comments-wrapper", "ad-right")],
+)
+def test_names_of_boilerplate(mark):
+    assert ht.main_text(f"<div {mark}><p>Not of the article at all.</p></div><p>The text.</p>") == "The text."
