@@ -5,11 +5,14 @@
    says so) gives an empty line for each block: it counts as a gap.
 2. Every line has the length of its text, or 0 if most of the text is links. Lengths are summed over a sliding
    window of ``WINDOW`` lines.
-3. A surge point is a line where the window sum rises from nothing to ``SURGE`` characters or more; the dive point is
-   the next line where the window is empty. The text between them is a candidate. The candidate with most text is
-   the article, and others of at least ``SHARE`` of it belong to it too (an article is often cut in parts).
-4. If the page marks its article (``article`` or ``main``), the lines outside count as gaps, and gaps inside it are
-   taken out before the windows are summed, so that an advert does not cut it.
+3. A candidate is the text up to the next line where the window is empty, the dive point, if it has a surge point: a
+   line where the window sum reaches ``SURGE`` characters. The candidate with most text is the article, and others of
+   at least ``SHARE`` of it belong to it too (an article is often cut in parts). On a page without a surge point,
+   every stretch is a candidate.
+4. If the page marks articles (``article`` or ``main``), candidates end at the marks, and gaps inside are taken out
+   before the windows are summed, so that an advert does not cut them. Marked text is always a candidate and weighs
+   ``ARTICLE_WEIGHT`` times as much, without lines of links; if it weighs most, all of it stays. Text outside must
+   surge to compete with it: so a body in a ``div`` wins over teaser cards that are marked.
 
 Character references are decoded, white space in a line becomes one space, lines are joined by one space.
 
@@ -22,6 +25,7 @@ from __future__ import annotations
 
 import re
 from html import unescape
+from itertools import groupby
 from typing import NamedTuple
 
 import pyarrow as pa
@@ -30,8 +34,9 @@ from pyspark.sql import DataFrame, SparkSession
 from logilake.llm.common import query, table
 
 WINDOW = 3
-SURGE = 1
+SURGE = 80
 SHARE = 0.3
+ARTICLE_WEIGHT = 3
 LINK_SHARE = 0.6
 
 # HTML elements by their role.
@@ -181,35 +186,50 @@ def lines_of(html: str) -> list[Line]:
     return lines
 
 
-def _main_lines(lines: list[Line]) -> list[Line]:
-    """Lines between surge and dive points."""
-    marked = [x for x in lines if x.article and not x.boilerplate]
+class _Region(NamedTuple):
+    mass: float
+    marked: bool
+    surges: bool
+    lines: list[Line]
+
+
+def _regions(run: list[Line]) -> list[_Region]:
+    """Of lines that stand in one article element, or of lines outside of any, between surge and dive points."""
+    marked = bool(run[0].article)
     if marked:
         # Inside the page's own article gaps are no borders.
-        lines = [x if x.article else x._replace(boilerplate=True) for x in lines if not (x.article and x.boilerplate)]
-    lengths = [
-        0 if x.boilerplate or not x.article and x.links > LINK_SHARE * len(x.text) else len(x.text) for x in lines
-    ]
+        run = [x for x in run if not x.boilerplate]
+    # Links in an article belong to its text, but do not speak for it.
+    own = [0 if x.boilerplate or x.links > LINK_SHARE * len(x.text) else len(x.text) for x in run]
+    lengths = [len(x.text) for x in run] if marked else own
     sums = [sum(lengths[i : i + WINDOW]) for i in range(len(lengths))]
-    regions: list[tuple[int, int, int]] = []
+    regions = []
     i = 0
-    while i < len(lines):
-        if sums[i] >= SURGE and (i == 0 or sums[i - 1] == 0 or lengths[i]):
-            end = i
-            while end < len(lines) and sums[end]:
-                end += 1
-            regions.append((sum(lengths[i:end]), i, end))
-            i = end
-        else:
-            i += 1
-    most = max((r[0] for r in regions), default=0)
-    return [
-        lines[k]
-        for mass, start, end in regions
-        if marked or mass >= SHARE * most
-        for k in range(start, end)
-        if lengths[k]
-    ]
+    while i < len(run):
+        end = i
+        while end < len(run) and sums[end]:
+            end += 1
+        if end > i:
+            mass = sum(own[i:end]) * (ARTICLE_WEIGHT if marked else 1)
+            lines = [run[k] for k in range(i, end) if lengths[k]]
+            regions.append(_Region(mass, marked, max(sums[i:end]) >= SURGE, lines))
+        i = max(end, i + 1)
+    return regions
+
+
+def _main_lines(lines: list[Line]) -> list[Line]:
+    """Lines between surge and dive points, of the regions with most text."""
+    regions = [r for _, run in groupby(lines, lambda x: x.article) for r in _regions(list(run))]
+    outside = [r for r in regions if r.surges and not r.marked]
+    marked = [r for r in regions if r.marked]
+    # Where nothing surges the curve tells nothing: the page's own marks decide.
+    if marked or outside:
+        regions = marked + outside
+    most = max((r.mass for r in regions), default=0)
+    own = bool(marked) and max(r.mass for r in marked) >= most
+    kept = [r for r in regions if r.marked and own or r.mass >= SHARE * most]
+    found = {id(x) for r in kept for x in r.lines}
+    return [x for x in lines if id(x) in found]
 
 
 def main_text(html: str | None) -> str:

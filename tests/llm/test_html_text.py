@@ -73,3 +73,12 @@ def test_names_that_hide_nothing(mark):
 )
 def test_names_of_boilerplate(mark):
     assert ht.main_text(f"<div {mark}><p>Not of the article at all.</p></div><p>The text.</p>") == "The text."
+
+
+def test_body_outside_wins_over_marked_teaser_cards():
+    body = [f"Sentence {i} of a long body that stands in a plain element, without any mark." for i in range(60)]
+    cards = "".join(f'<article class="card"><h3>Card {i}</h3><p>Read more of it</p></article>' for i in range(4))
+    page = "<div>" + "".join(f"<p>{t}</p>" for t in body) + f"</div><div>{cards}</div>"
+    assert ht.main_text(page) == " ".join(body)
+    # A marked article stays, though a shorter text that surges stands outside.
+    assert ht.main_text("<main>" + "".join(f"<p>{t}</p>" for t in body) + "</main>" + f"<div><p>{body[0]}</p><p>{body[1]}</p></div>") == " ".join(body)
