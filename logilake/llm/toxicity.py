@@ -1,9 +1,11 @@
 """Toxicity: cumulative-link ordinal regression over sparse text features.
 
 Features are words and word beginnings of 4 to 6 letters, lower-cased, hashed into ``BUCKETS`` places; a text has a
-feature or has it not. Of the places, the ``SELECTED`` with the largest chi-square between toxic and other labelled
-texts are used. Severity has ``GRADES`` grades: 0 for texts that are not labelled toxic; labelled toxic texts are
-graded by their different insults, at the terciles of the number of selected features that they have.
+feature or has it not. Of the places, the ``SELECTED`` with the largest likelihood ratio between toxic and other
+labelled texts are used, whichever of the two has them more often; signed, regularised weights decide what each says.
+Severity has ``GRADES`` grades: 0 for texts that are not labelled toxic; labelled toxic texts are
+graded by their different insults, at the terciles of the number of selected features that they have and that are
+more frequent in toxic texts.
 One weight vector is shared by all thresholds: P(grade > k) = logistic(w x - t_k) with t_0 <= t_1 <= ... Results are the expected severity (0 to GRADES - 1), the most likely grade, and ``score``, P(grade > 0).
 
 The model is fitted on the driver, on at most ``LABELLED`` labelled rows (all of them, if there are fewer), drawn by
@@ -34,7 +36,6 @@ LABELLED = 20_000
 FOLDS, HELD_OUT = 5, 0
 KNOWN_WORDS = 200_000
 L2, ROUNDS, RATE = 1e-5, 600, 0.1
-TYPICAL = 20.0
 
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -87,18 +88,14 @@ def _constant(rate: float) -> Ordinal:
 
 
 def choose(places: np.ndarray, in_toxic: np.ndarray, in_other: np.ndarray, n1: int, n0: int) -> np.ndarray:
-    """Places that toxic texts have more often than others beyond chance, from the numbers of texts that have them.
-
-    By the likelihood ratio, against a bound that chance alone seldom passes at so many places. Signs of the contrary
-    are not used: they would let a long text outweigh its insults.
-    """
+    """Places that toxic texts have more or less often than others beyond chance, from the numbers of texts that have
+    them: by the likelihood ratio, against a bound that chance alone seldom passes at so many places."""
     both, rate = in_toxic + in_other, n1 / (n1 + n0)
     with np.errstate(divide="ignore", invalid="ignore"):
         gain = 2 * (
             np.where(in_toxic > 0, in_toxic * np.log(in_toxic / (both * rate)), 0)
             + np.where(in_other > 0, in_other * np.log(in_other / (both * (1 - rate))), 0)
         )
-    gain[(in_toxic + 0.5) / n1 <= TYPICAL * (in_other + 0.5) / n0] = 0
     good = np.flatnonzero(gain >= 2 * np.log(max(2, len(places))))
     return np.sort(places[good[np.lexsort((places[good], -gain[good]))][:SELECTED]])
 
@@ -107,7 +104,9 @@ def fit(chosen: np.ndarray, features: list[list[int]], toxic: np.ndarray) -> Ord
     """From the chosen places, the numbers of those that each text has, and whether it is toxic."""
     if not len(features) or toxic.all() or not toxic.any():
         return _constant(float(toxic.mean()) if len(features) else 0.0)
-    insults = np.array([len(f) for f in features])
+    rows, own = _sparse(features)
+    share = [np.bincount(own[toxic[rows] == side], minlength=len(chosen)) / (toxic == side).sum() for side in (True, False)]
+    insults = np.bincount(rows[(share[0] > share[1])[own]], minlength=len(features))
     cuts = np.quantile(insults[toxic], np.arange(1, GRADES - 1) / (GRADES - 1))
     grades = np.where(toxic, 1 + np.searchsorted(cuts, insults, side="left"), 0)
     return _descend(chosen, features, grades)

@@ -96,6 +96,20 @@ def test_ordinal_regression_shares_weights_and_orders_grades():
     assert (np.diff(severity) > 0).all() and severity[0] < 0.5 < severity[1]
 
 
+def test_insults_that_clean_texts_use_now_and_then_are_learned(spark, documents):
+    def text(i, toxic):  # one of three words, in 30 % of toxic and 2 % of other texts each
+        words = ["vile", "crude", "nasty"]
+        own = [w for k, w in enumerate(words) if (i + 7 * k) % 50 < (15 if toxic else 1)]
+        return " ".join([f"plain number{i % 11} text{i % 13}", *own])
+
+    rows = [(i, i % 2) for i in range(3000)]
+    docs = documents(*((i, text(i // 2, t)) for i, t in rows))
+    got = toxicity.score_toxicity(docs, labels(spark, *((i, 1, t) for i, t in rows))).collect()
+    caught = [r.predicted for r in got if r.held_out and r.doc_id % 2]
+    false = [r.predicted for r in got if r.held_out and not r.doc_id % 2]
+    assert sum(caught) > 0.5 * len(caught) > 50 and sum(false) < 0.1 * len(false)
+
+
 def test_toxicity_defined_cases(spark, documents):
     docs = documents((1, None), (2, ""), (None, "vile"), (2, ""), (7, "word " * 300_000)).withColumn("grade", F.lit("x"))
     none = labels(spark).limit(0)
