@@ -27,16 +27,16 @@ ENTITY = replace(ENTITIES["sales_order"], partition_unit="year")
     "SELECT count(*) AS records, CAST(3 AS BIGINT) AS files, CAST(0 AS BIGINT) AS without_file FROM orders",
 )
 def document_lineage(t: Tables) -> DataFrame:
-    """Records of documents in three files: each knows its file."""
+    """Records of documents in three folders: each knows its file."""
     raw = work_dir(t.spark, "raw")
     for k in range(3):
         part = Tables(t.spark, t.dir)
         part.orders = t.orders.filter(F.col("o_orderkey") % 3 == k)
-        _documents(a.raw_sales_orders(part), ENTITY.name).coalesce(1).write.mode("append").text(raw)
-    flat = readers.flatten_documents(readers.read_documents(t.spark, raw, ENTITY), ENTITY)
+        _documents(a.raw_sales_orders(part), ENTITY.name).write.text(f"{raw}/third{k}")
+    flat = readers.flatten_documents(readers.read_documents(t.spark, f"{raw}/*", ENTITY), ENTITY)
     return flat.agg(
         F.count(F.lit(1)).alias("records"),
-        F.countDistinct(readers.SOURCE_FILE).alias("files"),
+        F.countDistinct(F.regexp_extract(readers.SOURCE_FILE, "(.*)/", 1)).alias("files"),
         F.count_if(F.col(readers.SOURCE_FILE).isNull()).alias("without_file"),
     )
 
