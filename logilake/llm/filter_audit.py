@@ -198,7 +198,7 @@ WITH texts AS (
   FROM orders, (SELECT unnest([1, 2, 3, 4, 5]) AS step)
 ), replayed AS (
   SELECT part, filter_order, step, f, n, good, toxic, n_fails, fails[f] AS failed,
-         len(list_filter(before, b -> b <> '' AND fails[b])) > 0 AS removed_before
+         len(list_filter(before, lambda b: b <> '' AND fails[b])) > 0 AS removed_before
   FROM counted, steps
 ), summed AS (
   SELECT part, filter_order, step, f,
