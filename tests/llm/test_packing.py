@@ -56,6 +56,7 @@ def test_ids_are_the_librarys():
     with open(packing.default_path(), encoding="utf-8") as file:
         words = packing.Words(file.read())
     batch = [*texts(300, 7), None, "", " ", "a" * 3000, "'" * 50 + "s", "".join(map(chr, range(1, 0x250)))]
+    batch += [f"a{chr(c)}b {chr(c)}{chr(c)}1" for c in range(1, 0x260)]
     for text, ids in zip(batch, words.encode(batch), strict=True):
         assert np.frombuffer(ids, "<u4").tolist() == library_ids(text)[:-1]
     assert all(len(w) <= packing.KNOWN_LENGTH for w in words.known)
