@@ -1,5 +1,6 @@
 import html as entities
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -82,3 +83,60 @@ def test_body_outside_wins_over_marked_teaser_cards():
     assert ht.main_text(page) == " ".join(body)
     # A marked article stays, though a shorter text that surges stands outside.
     assert ht.main_text("<main>" + "".join(f"<p>{t}</p>" for t in body) + "</main>" + f"<div><p>{body[0]}</p><p>{body[1]}</p></div>") == " ".join(body)
+
+
+PROSE = "Some prose of the page that goes on. " * 16
+
+
+@pytest.mark.parametrize(
+    "wrapper",
+    ["div class='elementor-widget-container'", "div class='wrapper sticky-header'", "div class='menu-open'", "div id='page-header-fixed'",
+     "section class='search-results'", "div class='form-page'", "form id='aspnetForm'", "div class='cookie-page'"],
+)
+def test_wrappers_keep_their_prose(wrapper):
+    name = wrapper.split()[0]
+    page = f"<body><nav><a>Home</a></nav><{wrapper}><h1>Title</h1><p>{PROSE}</p><div class='comments'><p>I like it. {PROSE}{PROSE}</p></div></{name}></body>"
+    assert ht.main_text(page) == f"Title {PROSE}".strip()
+    if 'cookie' in wrapper:
+        return  # believed until nothing else surges, so nothing inside stands for itself
+    inside = f"<body><{wrapper}><ul>{'<li>A link of text</li>' * 40}</ul><main><p>{PROSE}</p></main></{name}><p>Text after it.</p></body>"
+    assert ht.main_text(inside) == PROSE.strip()
+
+
+def test_small_named_elements_still_go():
+    page = f"<p>{PROSE}</p><div class='widget'><p>Widget words, forty characters of them.</p></div><form><p>Fill in this form, please, all of it.</p></form>"
+    assert ht.main_text(page) == PROSE.strip()
+
+
+@pytest.mark.parametrize("code", ["<script>var a = 1; <p>x</p>", "<style>p { color: red }", "<script src=x/>f()", "<SCRIPT>if (a < b) f()</scrip"])
+def test_unclosed_code_runs_to_the_end(code):
+    assert ht.main_text(f"<p>word word</p>{code}") == "word word"
+
+
+def test_other_unclosed_raw_elements_end_with_their_parent():
+    assert ht.main_text("<div><select><option>a</div><p>b</p>") == "b"
+
+
+def test_pages_cut_anywhere_are_read_at_once():
+    page = f"""<div data-x='{{"a": "b>c"}}' {" ".join(f'k{i}="v{i}"' for i in range(1000))}><p title="it's">{PROSE}</p></div>"""
+    for whole in (page, PAGE, "<p>x</p>" + "<a " * 5000, '<p title="x ' * 5000, "<select>" * 5000, "<div>" * 5000 + "</b>" * 5000,
+                  "<b>" + "<div>" * 5000 + "</b>" * 5000, "<div class=nav>" * 5000 + "x" + "</div>" * 5000):
+        for cut in range(len(whole), 0, -max(1, len(whole) // 40)):
+            begun = time.process_time()
+            text = ht.main_text(whole[:cut])
+            assert time.process_time() - begun < 1
+            assert "k1=" not in text and "data-x" not in text
+    assert ht.main_text("<p>text</p><div " + page) == "text " + PROSE.strip()
+
+
+def test_every_part_of_the_test_pages(spark, tiny):
+    for row in spark.read.parquet(f"{tiny}/pages.parquet").limit(20).collect():
+        for cut in range(0, len(row.html), 97):
+            begun = time.process_time()
+            assert "function" not in ht.main_text(row.html[:cut])
+            assert time.process_time() - begun < 0.5
+
+
+def test_empty_table(spark, write_tables):
+    empty = spark.createDataFrame([], "page_id long, url string, html string")
+    assert ht.op10(spark, write_tables(pages=empty)).collect() == []

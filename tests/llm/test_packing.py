@@ -9,9 +9,11 @@ from tokenizers import Tokenizer
 from logilake.llm import packing
 
 
+LIBRARY = Tokenizer.from_file(packing.default_path())
+
+
 def library_ids(text):
-    tokenizer = Tokenizer.from_file(packing.default_path())
-    return [*tokenizer.encode(text or "", add_special_tokens=False).ids, packing.END]
+    return [*LIBRARY.encode(text or "", add_special_tokens=False).ids, packing.END]
 
 
 def check(docs, pieces, window, padding=0):
