@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from logilake.operators import quality, state
 from logilake.operators.dedupe import latest_by
 from logilake.session import Staged, discard, stage
-from logilake.sources import readers, sinks
+from logilake.sources import partitions, readers, sinks
 from logilake.sources.entities import Entity
 
 
@@ -87,9 +87,10 @@ def write_entity(
         facts = newest_per_key(valid, entity)
         sinks.append_facts(facts, paths.table(entity), batch_id, entity.partition_date, entity.partition_unit)
     else:
-        current = sinks.previous_snapshot(spark, paths.table(entity), batch_id, previous_batch, first_run)
-        new = next_state(current, valid, entity, as_of, order, late)
-        sinks.publish_snapshot(new, paths.table(entity), batch_id)
+        partitions.version_batch(
+            spark, valid, paths.table(entity), partitions.Layout(tuple(entity.keys)), batch_id, as_of,
+            entity.compare or None, order, late, previous_batch, first_run,
+        )
     rejects = quality.with_reject_meta(split.reject, batch_id, entity.name, as_of)
     sinks.append_batch(rejects, f"{paths.rejects}/{entity.name}", batch_id)
     counts = staged.rows.agg(*quality.batch_counts(staged.rows)).first().asDict()
@@ -128,8 +129,10 @@ def run_entity(
         split, staged = stage_records(records, entity)
         counts = write_entity(staged, split, entity, paths, batch_id, as_of, previous_batch, first_run, None, late)
         if table:
-            fact = entity.kind == "fact"
-            sinks.register_table(spark, table, paths.table(entity) if fact else sinks.snapshot_path(paths.table(entity), batch_id))
+            if entity.kind == "fact":
+                sinks.register_table(spark, table, paths.table(entity))
+            else:
+                partitions.register(spark, table, paths.table(entity), partitions.read_commit(spark, paths.table(entity), batch_id))
         return counts
     except Exception:
         write_log(spark, {}, entity, paths, batch_id, "failed", as_of)
@@ -152,8 +155,7 @@ def read_entity(spark: SparkSession, paths: SilverPaths, entity: Entity) -> Data
     if entity.kind == "fact":
         facts = readers.table_or_path(spark, None, paths.table(entity))
         return None if facts is None else newest_per_key(facts.drop(sinks.FOLDER), entity)
-    versions = sinks.last_snapshot(spark, paths.table(entity))
-    return None if versions is None else versions.filter("is_current")
+    return partitions.read_current(spark, paths.table(entity))
 
 
 def load(spark: SparkSession, paths: SilverPaths, entities: list[Entity]) -> dict[str, DataFrame]:

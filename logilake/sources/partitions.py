@@ -307,7 +307,7 @@ def expire(spark: SparkSession, base: str, keep: int = 2) -> list[str]:
     return expired
 
 
-def register(spark: SparkSession, table: str, state: State) -> None:
+def register(spark: SparkSession, table: str, base: str, state: State) -> None:
     """Make the catalog's table show a state. Partitions that stay are not touched.
 
     The partitions of a table are switched one after the other; who needs exactly one state reads it by its batch.
@@ -324,7 +324,8 @@ def register(spark: SparkSession, table: str, state: State) -> None:
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
     layout = f"({columns}, {KIND} STRING, {PART} BIGINT, {RUN} STRING) USING PARQUET PARTITIONED BY ({KIND}, {PART}, {RUN})"
     if not spark.catalog.tableExists(table):
-        spark.sql(f"CREATE TABLE {table} {layout}")
+        # With a location the table is external: a partition that it drops keeps its files for earlier states.
+        spark.sql(f"CREATE TABLE {table} {layout} LOCATION '{base}'")
     else:
         have = set(spark.table(table).columns)
         added = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema if f.name not in have)

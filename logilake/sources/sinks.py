@@ -7,6 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logilake.session import delete
+from logilake.sources import partitions
+
 
 def append_facts(df: DataFrame, path: str, batch_id: str, source: str | None, unit: str = "day") -> None:
     """Append a batch of facts, partitioned by the day of a timestamp column if one is named."""
@@ -76,7 +78,9 @@ def publish_snapshot(
 
 
 def read_snapshot(spark: SparkSession, base: str, batch_id: str) -> DataFrame:
-    """The state after a batch; a batch that was never committed fails."""
+    """The state after a batch, whole or by partition; a batch that was never committed fails."""
+    if partitions.exists(spark, base):
+        return partitions.read_state(spark, base, batch_id)
     if batch_id not in _sequence(spark, base):
         raise ValueError(f"no snapshot of batch {batch_id} was committed below {base}")
     return spark.read.parquet(snapshot_path(base, batch_id))
@@ -104,6 +108,8 @@ def previous_snapshot(
 
 def last_snapshot(spark: SparkSession, base: str) -> DataFrame | None:
     """The latest committed state, ``None`` if there is none."""
+    if partitions.exists(spark, base):
+        return partitions.read_state(spark, base)
     done = _sequence(spark, base)
     return read_snapshot(spark, base, max(done, key=done.get)) if done else None
 
@@ -115,6 +121,8 @@ def expire_snapshots(spark: SparkSession, base: str, keep: int = 2) -> list[str]
     """
     if keep < 1:
         raise ValueError("the last state must stay")
+    if partitions.exists(spark, base):
+        return partitions.expire(spark, base, keep)
     done = _sequence(spark, base)
     expired = sorted(done, key=done.get)[:-keep]
     for batch_id in expired:

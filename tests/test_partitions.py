@@ -94,9 +94,11 @@ def test_catalog_table_follows_the_state(spark, tmp_path, rows):
     base, layout = str(tmp_path / "t"), ps.Layout(("k",), 4)
     spark.sql("DROP TABLE IF EXISTS logi_parts_test")
     for n, part in enumerate(batches(spark, [(i, "a", 1) for i in range(20)], [(3, "b", 2), (77, "b", 2)])):
-        ps.register(spark, "logi_parts_test", ps.merge_batch(spark, part, base, layout, f"b{n}", first_run=n == 0))
+        ps.register(spark, "logi_parts_test", base, ps.merge_batch(spark, part, base, layout, f"b{n}", first_run=n == 0))
         assert rows(spark.table("logi_parts_test"), "k", "v", "created") == rows(ps.read_state(spark, base))
+    assert ps.read_state(spark, base, "b0").count() == 20
     spark.sql("DROP TABLE logi_parts_test")
+    assert ps.read_state(spark, base).count() == 21
 
 
 DIM = "k string, v string"

@@ -326,6 +326,22 @@ def test_gold_run_end_to_end(spark, tmp_path, rows):
     assert rows(spark.read.parquet(job.path("routes_summary_dq")), "routes_total", "routes_with_distance") == [(1, 1), (1, 1)]
 
 
+def test_trips_of_changed_deliveries_only(spark, tmp_path, rows):
+    header, address, location, lanes, warehouse, _ = lane_inputs(spark)
+    more = header.where("DeliveryDocument = '0080000001'").withColumn("DeliveryDocument", F.lit("0090000007"))
+    header = header.unionByName(more)
+    address = address.unionByName(address.where("AddressID = 'A'").withColumn("DeliveryDocument", F.lit("0090000007")))
+    task = spark.createDataFrame([("W1", "0080000001", "10", "T1")], "EWMWarehouse string, EWMDelivery string, EWMDeliveryItem string, WarehouseTask string")
+    item = spark.createDataFrame([("0080000001", "10")], "DeliveryDocument string, DeliveryDocumentItem string")
+    tables = {"outbound_delivery_header": header, "outbound_delivery_address": address, "warehouse_task": task, "outbound_delivery_item": item}
+    for batch, changed in (("b1", None), ("b2", [header.where("DeliveryDocument = '0090000007'").withColumn("DeliveryDocument", F.lit("90000007"))])):
+        job = gold.GoldJob(spark, tables, str(tmp_path), batch, at("2024-02-01"), first_run=batch == "b1")
+        for name, df in (("dim_location", location), ("dim_distance_matrix", lanes), ("dim_warehouse", warehouse)):
+            job.replace(name, df)
+        gold.build_facts(job, changed=changed)
+    assert rows(gold.read_trips(job), "deliverydocument", "ingest_batch_id") == [("0080000001", "b1"), ("0090000007", "b2")]
+
+
 def test_documents_with_the_same_last_digits_stay_apart(spark, rows):
     header, address, location, lanes, warehouse, dest = lane_inputs(spark)
     twin = dims.with_address(spark.createDataFrame([("0180000001", "SH", "T", "Elsewhere")], "DeliveryDocument string, PartnerFunction string, AddressID string, StreetName string"))
