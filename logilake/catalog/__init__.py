@@ -1,9 +1,9 @@
 """Registered queries. Importing the modules below registers them."""
 
-from logilake.catalog import expressions, joined, storage, tables
+from logilake.catalog import expressions, joined, states, storage, tables
 from logilake.catalog.registry import ORACLE, QUERIES
 
-__all__ = ["all_queries", "all_sql", "expressions", "joined", "storage", "tables"]
+__all__ = ["all_queries", "all_sql", "expressions", "joined", "states", "storage", "tables"]
 
 
 def all_queries():

@@ -41,9 +41,11 @@ def classify_records(records: DataFrame, entity: Entity) -> DataFrame:
 
 def stage_records(records: DataFrame, entity: Entity) -> tuple[quality.Split, Staged]:
     """Classify once into a staged table split by outcome; gives the typed valid rows and the raw rejects, each of
-    which reads its own partition only, and the staged table, which the caller discards."""
+    which reads its own partition only, and the staged table, which the caller discards. The batch's counters are
+    observed while it is written."""
     classified = classify_records(records, entity)
-    staged = stage(classified.withColumn("outcome", quality.outcome()), f"silver-{entity.name}", ("outcome",))
+    classified = classified.withColumn("outcome", quality.outcome())
+    staged = stage(classified, f"silver-{entity.name}", ("outcome",), quality.batch_counts(classified))
     good = staged.rows.filter("outcome = 'valid'").drop("outcome", quality.REJECT_REASON, readers.CORRUPT)
     rejects = staged.rows.filter("outcome = 'reject'").drop("outcome")
     return quality.Split(quality.parsed_columns(good, entity.rules), rejects), staged
@@ -93,7 +95,7 @@ def write_entity(
         )
     rejects = quality.with_reject_meta(split.reject, batch_id, entity.name, as_of)
     sinks.append_batch(rejects, f"{paths.rejects}/{entity.name}", batch_id)
-    counts = staged.rows.agg(*quality.batch_counts(staged.rows)).first().asDict()
+    counts = staged.counts
     write_log(spark, counts, entity, paths, batch_id, "success", as_of)
     return counts
 
@@ -121,7 +123,7 @@ def run_entity(
     """Run one batch and return its counters.
 
     A versioned entity builds on ``previous_batch``, or on its last committed state; its very first batch needs
-    ``first_run``. The documents are parsed once, into the staged table; the counters read only its reason column.
+    ``first_run``. The documents are parsed once, into the staged table, and counted on the way.
     """
     staged = None
     try:

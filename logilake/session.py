@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterable
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 # Data maths is pinned to UTC. The skew settings let AQE split a hot join key over many tasks even when a
 # further shuffle follows; partition counts are left to AQE coalescing.
@@ -60,16 +62,38 @@ def work_dir(spark: SparkSession, purpose: str) -> str:
 class Staged(NamedTuple):
     rows: DataFrame
     path: str
+    counts: dict[str, int] = {}
 
 
-def stage(df: DataFrame, purpose: str, partition_by: tuple[str, ...] = ()) -> Staged:
+def stage(df: DataFrame, purpose: str, partition_by: tuple[str, ...] = (), counted: Iterable[Column] = ()) -> Staged:
     """Write a frame that several sinks will read, and read it back.
 
     Unlike an executor-local cache it survives the loss of executors, and its reads prune columns and partitions.
+    ``counted`` are aggregates that are observed on the way.
     """
     path = work_dir(df.sparkSession, purpose)
+    df, counts = observed(df, counted)
     df.write.mode("errorifexists").partitionBy(*partition_by).parquet(path)
-    return Staged(df.sparkSession.read.parquet(path), path)
+    return Staged(df.sparkSession.read.parquet(path), path, counts())
+
+
+def observed(df: DataFrame, aggregates: Iterable[Column]) -> tuple[DataFrame, Callable[[], dict[str, int]]]:
+    """The frame, and what gives its counters once an action has run over all of it, without an action of its own."""
+    aggregates = list(aggregates)
+    if not aggregates:
+        return df, dict
+    seen = Observation()
+    frame = df.observe(seen, *aggregates)
+    names = df.select(*aggregates).columns
+
+    def counts() -> dict[str, int]:
+        try:
+            found = dict(seen.get)
+        except Py4JJavaError:  # the plan turned out to be empty while it ran, and the observation went with it
+            found = {}
+        return {name: found.get(name, 0) for name in names}
+
+    return frame, counts
 
 
 def delete(spark: SparkSession, path: str) -> None:

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from logilake.operators import state as states
-from logilake.session import delete, discard, stage
+from logilake.session import delete, discard, observed, stage
 
 PART, KIND, RUN = "state_part", "state_kind", "state_run"
 CURRENT, HISTORY = "current", "history"
@@ -61,6 +61,7 @@ class State(NamedTuple):
     batch: str
     folders: Folders
     schemas: dict[str, T.StructType]
+    counts: dict[str, int] = {}  # rows that the batch brought and wrote, known to the batch itself only
 
 
 def _commits(base: str) -> str:
@@ -131,7 +132,7 @@ def state_before(
     raise ValueError(f"nothing was committed below {base}; say so with first_run if this is its first batch")
 
 
-def _commit(spark: SparkSession, base: str, new: State) -> None:
+def commit(spark: SparkSession, base: str, new: State) -> None:
     rows = [(kind, None, schema.json()) for kind, schema in new.schemas.items()]
     rows += [(k, part, folder) for k, parts in new.folders.items() for part, held in parts.items() for folder in held]
     df = spark.createDataFrame(rows, "kind string, part long, value string").coalesce(1)
@@ -148,6 +149,11 @@ def read_parts(spark: SparkSession, state: State | None, kind: str = CURRENT, pa
     return spark.read.schema(schema).parquet(*folders) if folders else spark.createDataFrame([], schema)
 
 
+def with_parts(df: DataFrame) -> DataFrame:
+    """The rows of ``read_parts`` with the partition that each stands in."""
+    return df.withColumn(PART, F.regexp_extract("_metadata.file_path", f"/{PART}=(-?[0-9]+)/", 1).cast("long"))
+
+
 def read_state(spark: SparkSession, base: str, batch: str | None = None) -> DataFrame | None:
     """The whole table, closed versions included, as of a batch or the last one; none before any batch."""
     state = last_state(spark, base) if batch is None else read_commit(spark, base, batch)
@@ -162,10 +168,17 @@ def read_current(spark: SparkSession, base: str) -> DataFrame | None:
     return read_parts(spark, last_state(spark, base))
 
 
-def _write(df: DataFrame, base: str, batch: str) -> dict[int, str]:
+def _rows(name: str) -> list[Column]:
+    return [F.count(F.lit(1)).alias(name)]
+
+
+def write_parts(df: DataFrame, base: str, batch: str, counts: dict[str, int] | None = None, name: str = "") -> dict[int, str]:
     """Write rows by partition into a folder of its own, and give the partitions' folders."""
     run = f"{base.rstrip('/')}/{quote(batch, safe='')}-{uuid.uuid4().hex[:8]}"
+    df, seen = observed(df, _rows(name) if counts is not None else ())
     df.hint("rebalance", PART).write.partitionBy(PART).parquet(run)
+    if counts is not None:
+        counts.update(seen())
     found = [name for name in _children(df.sparkSession, run) if name.startswith(f"{PART}=")]
     return {int(name.partition("=")[2]): f"{run}/{name}" for name in found}
 
@@ -175,7 +188,7 @@ def _touched(rows: DataFrame) -> list[int]:
     return [r[0] for r in rows.select(PART).distinct().collect()]
 
 
-def _schema(df: DataFrame) -> T.StructType:
+def schema_of(df: DataFrame) -> T.StructType:
     return T.StructType([T.StructField(f.name, f.dataType) for f in df.schema if f.name != PART])
 
 
@@ -192,7 +205,8 @@ def merge_batch(
 ) -> State:
     """Keyed merge of a batch into the partitions that hold its keys."""
     before, sequence = state_before(spark, base, batch, previous, first_run)
-    staged = stage(layout.dealt(source), "merge-source")
+    staged = stage(layout.dealt(source), "merge-source", counted=_rows("rows_in"))
+    counts = dict(staged.counts)
     try:
         parts = _touched(staged.rows)
         target = read_parts(spark, before, CURRENT, parts)
@@ -200,10 +214,10 @@ def merge_batch(
             target = layout.dealt(target)
         keys = [PART, *layout.keys]
         merged = states.merge_upsert(target, staged.rows, keys, update, preserve)
-        new = {p: [f] for p, f in _write(merged, base, batch).items()}
+        new = {p: [f] for p, f in write_parts(merged, base, batch, counts, "rows_written").items()}
         folders = {CURRENT: ({} if before is None else before.folders.get(CURRENT, {})) | new}
-        state = State(sequence, batch, folders, {CURRENT: _widened(before, CURRENT, _schema(merged))})
-        _commit(spark, base, state)
+        state = State(sequence, batch, folders, {CURRENT: _widened(before, CURRENT, schema_of(merged))}, counts)
+        commit(spark, base, state)
         return state
     finally:
         discard(spark, staged)
@@ -232,7 +246,8 @@ def version_batch(
 ) -> State:
     """Apply a batch to a versioned table: current rows of its partitions are rewritten, closed versions appended."""
     before, sequence = state_before(spark, base, batch, previous, first_run)
-    source = stage(layout.dealt(incoming), "version-source")
+    source = stage(layout.dealt(incoming), "version-source", counted=_rows("rows_in"))
+    counts = dict(source.counts)
     changed = None
     try:
         parts = _touched(source.rows)
@@ -246,17 +261,17 @@ def version_batch(
                 stored = stored.unionByName(history, allowMissingColumns=True)
         applied = states.scd2_apply(stored, rows, list(layout.keys), as_of, compare, order, late)
         changed = stage(layout.dealt(applied), "versions")
-        current = _write(changed.rows.where("is_current"), base, batch)
-        closed = _write(changed.rows.where("NOT is_current"), base, batch)
+        current = write_parts(changed.rows.where("is_current"), base, batch, counts, "rows_written")
+        closed = write_parts(changed.rows.where("NOT is_current"), base, batch, counts, "rows_closed")
         old = {} if before is None else before.folders
         history_folders = {p: f for p, f in old.get(HISTORY, {}).items() if p not in rewritten}
         folders = {
             CURRENT: old.get(CURRENT, {}) | {p: [f] for p, f in current.items()},
             HISTORY: history_folders | {p: [*history_folders.get(p, ()), f] for p, f in closed.items()},
         }
-        schema = _widened(before, CURRENT, _schema(applied))
-        state = State(sequence, batch, folders, {CURRENT: schema, HISTORY: schema})
-        _commit(spark, base, state)
+        schema = _widened(before, CURRENT, schema_of(applied))
+        state = State(sequence, batch, folders, {CURRENT: schema, HISTORY: schema}, counts)
+        commit(spark, base, state)
         return state
     finally:
         discard(spark, source)
@@ -277,9 +292,9 @@ def compact(spark: SparkSession, base: str, batch: str, most: int = MOST_FOLDERS
     folders = dict(before.folders)
     for part in many:
         rows = read_parts(spark, before, HISTORY, [part]).withColumn(PART, F.lit(part))
-        folders[HISTORY] = folders[HISTORY] | {p: [f] for p, f in _write(rows, base, batch).items()}
+        folders[HISTORY] = folders[HISTORY] | {p: [f] for p, f in write_parts(rows, base, batch).items()}
     state = State(sequence, batch, folders, before.schemas)
-    _commit(spark, base, state)
+    commit(spark, base, state)
     return state
 
 

@@ -6,7 +6,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logilake.session import delete
+from logilake.session import delete, observed
 from logilake.sources import partitions
 
 
@@ -62,15 +62,24 @@ def snapshot_path(base: str, batch_id: str) -> str:
 
 
 def publish_snapshot(
-    df: DataFrame, base: str, batch_id: str, table: str | None = None, partition_by: list[str] | None = None
+    df: DataFrame,
+    base: str,
+    batch_id: str,
+    table: str | None = None,
+    partition_by: list[str] | None = None,
+    counts: dict[str, int] | None = None,
 ) -> DataFrame:
     """Write a new table state beside the old one, then switch the table to it.
 
     ``df`` may be computed from the previous snapshot, since that is left alone. Readers see the old state or the
-    new one, and repeating the batch rewrites the same folder. The commit is written last.
+    new one, and repeating the batch rewrites the same folder. The commit is written last. ``counts`` takes the number
+    of rows written, which is observed on the way.
     """
     path = snapshot_path(base, batch_id)
+    df, seen = observed(df, [F.count(F.lit(1)).alias("rows_written")] if counts is not None else ())
     df.write.mode("overwrite").partitionBy(*(partition_by or [])).parquet(path)
+    if counts is not None:
+        counts.update(seen())
     _commit(df.sparkSession, base, batch_id)
     if table:
         register_table(df.sparkSession, table, path)

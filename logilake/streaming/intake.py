@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from logilake.plans import silver
 from logilake.session import configure, discard
@@ -53,6 +53,33 @@ def process_batch(
         discard(spark, staged)
 
 
+OBSERVED = "intake"
+
+
+class IntakeProgress(StreamingQueryListener):
+    """Documents per micro-batch, as the stream observes them while it reads: no action of their own.
+
+    Add it with ``spark.streams.addListener`` before the intake starts; ``take`` gets one dict per micro-batch.
+    """
+
+    def __init__(self, take: Callable[[dict], None]):
+        self.take = take
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        seen = event.progress.observedMetrics.get(OBSERVED)
+        if seen is not None:
+            self.take({"query": str(event.progress.id), "epoch": event.progress.batchId, **seen.asDict()})
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+
 def start_intake(
     spark: SparkSession,
     entity: Entity,
@@ -71,6 +98,8 @@ def start_intake(
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     docs = reader.json(raw_path).withColumn(readers.SOURCE_FILE, F.col("_metadata.file_path"))
+    broken = F.count_if(F.col(readers.CORRUPT).isNotNull())
+    docs = docs.observe(OBSERVED, F.count(F.lit(1)).alias("documents"), broken.alias("corrupt_documents"))
 
     def apply(df: DataFrame, epoch: int) -> None:
         process_batch(df, epoch, entity, paths, as_of(epoch), order, run_id(df.sparkSession, checkpoint), late)
