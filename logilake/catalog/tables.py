@@ -360,10 +360,17 @@ def fact_trip_redelivered(t: Tables) -> DataFrame:
     return fact.groupBy("deliverydocument").agg(F.count(F.lit(1)).alias("trips"))
 
 
-@query("trips_without_calendar_day", "SELECT CAST(0 AS BIGINT) AS trips")
+@query(
+    "trips_without_calendar_day",
+    f"""{_FACT}, days AS (
+      SELECT CAST(g AS DATE) AS d FROM (SELECT min(CAST(o_orderdate AS DATE)) AS lo, DATE '1998-07-01' AS hi FROM orders), generate_series(CAST(lo AS TIMESTAMP), CAST(hi AS TIMESTAMP), INTERVAL 1 DAY) s(g))
+    SELECT count(*) AS trips FROM fact WHERE record_date IS NULL OR record_date NOT IN (SELECT d FROM days)
+    """,
+)
 def trips_without_calendar_day(t: Tables) -> DataFrame:
-    """Trips whose record date is not in the calendar."""
-    days = dim_time(t).select(F.col("date").alias("record_date"))
+    """Trips whose record date is not in the calendar, which ends at the cut."""
+    span = t.orders.agg(F.to_date(F.min("o_orderdate")).alias("min_date"), F.lit(a.CUT).cast("date").alias("max_date"))
+    days = dims.calendar_over(span, F.lit("2024-01-01").cast("date")).select(F.col("date").alias("record_date"))
     return trip_fact(t).join(days, "record_date", "left_anti").agg(F.count(F.lit(1)).alias("trips"))
 
 

@@ -226,7 +226,8 @@ def distance_matrix(
     """Kilometres and minutes per (origin, destination) of the lanes in use.
 
     ``network`` holds measured ``distance_m`` and ``duration_s`` per pair and wins over the great-circle estimate;
-    ``source`` says which one a row has. A lane with an end that has no place stays, without figures, so that the
+    ``source`` says which one a row has; a network with ``hops``, as ``paths.fill_lanes`` gives it, tells measured lanes
+    (``network``) from ways over several of them (``network_path``). A lane with an end that has no place stays, without figures, so that the
     coverage counters show it.
     """
     pairs = lanes.select("origin_location_id", "dest_location_id").distinct()
@@ -240,15 +241,17 @@ def distance_matrix(
     if network is None:
         measured, net_km, net_min = located, null_of("double"), null_of("double")
     else:
-        best = network.groupBy(*keys).agg(F.min(F.struct("duration_s", "distance_m")).alias("n"))
+        figures = ["duration_s", "distance_m", *(c for c in network.columns if c == "hops")]
+        best = network.groupBy(*keys).agg(F.min(F.struct(*figures)).alias("n"))
         measured = located.join(best, keys, "left")
         net_km, net_min = geo.metres_to_km(F.col("n.distance_m")), geo.seconds_to_minutes(F.col("n.duration_s"))
     of_network = net_km.isNotNull() & net_min.isNotNull()
+    several = F.col("n.hops") > 1 if network is not None and "hops" in network.columns else F.lit(False)
     return measured.select(
         *keys,
         F.coalesce(net_km, F.col("_km")).cast("double").alias("distance_km"),
         F.coalesce(net_min, geo.travel_minutes(F.col("_km"), speed_kph)).cast("double").alias("network_duration_min"),
-        F.when(of_network, "network").when(F.col("_km").isNotNull(), "great_circle").alias("source"),
+        F.when(of_network & several, "network_path").when(of_network, "network").when(F.col("_km").isNotNull(), "great_circle").alias("source"),
         *([retrieved_at.alias("retrieved_at")] if retrieved_at is not None else []),
     )
 

@@ -133,7 +133,15 @@ def fact_trip(
     """
     if lane_mode not in ("origin_dest", "origin_fanout"):
         raise ValueError(f"unknown lane_mode: {lane_mode}")
-    trips = located_trips(header, address, location, warehouse, lane_mode == "origin_dest")
+    return trips_on_lanes(
+        located_trips(header, address, location, warehouse, lane_mode == "origin_dest"), lanes, threshold_min, lane_mode, as_of
+    )
+
+
+def trips_on_lanes(
+    trips: DataFrame, lanes: DataFrame, threshold_min: float = 15.0, lane_mode: str = "origin_dest", as_of: Column | None = None
+) -> DataFrame:
+    """The trip fact from ``located_trips`` and lanes; without a shuffle if both are stored in buckets of the lane."""
     best = shortest_lanes(lanes)
     if lane_mode == "origin_dest":
         trips = trips.join(best, LANE_KEYS, "left")

@@ -50,6 +50,35 @@ def flatten_documents(docs: DataFrame, entity: Entity) -> DataFrame:
     return exploded.filter(kept).select("record.*", *carried)
 
 
+RESCUED = "rescued"
+
+
+def _loose_schema(entity: Entity) -> T.StructType:
+    """The envelope with records of any fields."""
+    schema: T.DataType = T.ArrayType(T.MapType(T.StringType(), T.VariantType()))
+    for part in reversed(entity.envelope.split(".")):
+        schema = T.StructType([T.StructField(part, schema)])
+    return schema
+
+
+def read_rescued(spark: SparkSession, path: str, entity: Entity) -> DataFrame:
+    """Flat records as ``flatten_documents(read_documents(...))`` gives them, and a VARIANT of the fields that the
+    declared schema lacks; null where a record has no other fields, or is none.
+
+    A document is parsed twice, so this is for sources whose schema drifts.
+    """
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    typed = F.from_json("value", document_schema(entity), options)
+    loose = F.from_json("value", _loose_schema(entity))
+    docs = spark.read.text(path).where(F.trim("value") != "").select(typed.alias("t"), loose.alias("l"), F.col("_metadata.file_path").alias(SOURCE_FILE))
+    known = entity.record_schema.names
+    pairs = F.arrays_zip(F.col(f"t.{entity.envelope}").alias("record"), F.col(f"l.{entity.envelope}").alias("fields"))
+    exploded = docs.select(F.explode_outer(pairs).alias("p"), SOURCE_FILE, f"t.{CORRUPT}")
+    others = F.map_filter("p.fields", lambda name, _: ~name.isin(known))
+    kept = exploded.filter(F.col("p.record").isNotNull() | F.col(CORRUPT).isNotNull())
+    return kept.select("p.record.*", SOURCE_FILE, CORRUPT, F.when(F.size(others) > 0, F.to_variant_object(others)).alias(RESCUED))
+
+
 def parse_documents(text: Column, entity: Entity) -> Column:
     """Envelope struct of a JSON text column, for documents that come in a table rather than in files."""
     return F.from_json(text, entity.document_schema)
