@@ -2,18 +2,22 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from logilake.catalog import adapters as a
-from logilake.catalog.adapters import Tables, at, ts
-from logilake.catalog.expressions import _SCD2_SQL, _latest_priority, _merge_sql, _part_halves
+from logilake.catalog.adapters import Tables, at, ntz, ts
+from logilake.catalog.expressions import _SCD2_SQL, _documents, _latest_priority, _merge_sql, _part_halves
 from logilake.catalog.registry import query
 from logilake.functions import dates
 from logilake.operators import maintained as m
-from logilake.plans import gold
+from logilake.plans import gold, silver
 from logilake.session import work_dir
 from logilake.sources import partitions
+from logilake.sources.entities import ENTITIES
+from logilake.streaming import intake
 
 
 @query("merge_partitions", _merge_sql("coalesce(t.lo, s.lo)"))
@@ -133,6 +137,39 @@ def maintained_distinct_customers(t: Tables) -> DataFrame:
     return fine.withColumn("in_bound", F.lit(True)).unionByName(coarse)
 
 
+@query(
+    "stream_keyed_facts",
+    """
+    WITH w AS (SELECT o_orderkey, o_custkey, o_orderdate, o_orderkey % 3 = 0 AS again FROM orders)
+    SELECT lpad(CAST(o_orderkey AS VARCHAR), 10, '0') AS SalesOrder, CASE WHEN again THEN 'new ' ELSE '' END || o_custkey AS SoldToParty,
+      CASE WHEN again THEN o_orderdate + INTERVAL 10 DAY ELSE o_orderdate END AS changed, CAST(again AS INTEGER) AS late_rows FROM w
+    """,
+)
+def stream_keyed_facts(t: Tables) -> DataFrame:
+    """Orders through the streaming intake into a keyed table: all, a third of them changed, and all of the first wave
+    sent again. The replay adds no row, and what it has older than the table is logged as a reject."""
+    entity = replace(
+        ENTITIES["sales_order"], kind="keyed", version="LastChangeDate", rules={"LastChangeDate": ["odata_date"]}, required=["SalesOrder"]
+    )
+    raw, checkpoint = work_dir(t.spark, "raw"), work_dir(t.spark, "checkpoint")
+    paths = silver.SilverPaths(work_dir(t.spark, "stream"))
+    key, day = F.col("o_orderkey"), ts("o_orderdate")
+    first = t.orders.select(
+        a.padded(key, 10).alias("SalesOrder"), F.col("o_custkey").cast("string").alias("SoldToParty"), a.odata(day).alias("LastChangeDate")
+    )
+    second = t.orders.where(key % 3 == 0).select(
+        a.padded(key, 10).alias("SalesOrder"), F.concat(F.lit("new "), F.col("o_custkey").cast("string")).alias("SoldToParty"),
+        a.odata(day + F.expr("INTERVAL 10 DAYS")).alias("LastChangeDate"),
+    )
+    for wave in (first, second, first):
+        _documents(wave, entity.name).write.mode("append").text(raw)
+        intake.run_intake(t.spark, entity, raw, paths, checkpoint, lambda epoch: at(f"2024-01-{epoch + 1:02d}"))
+    late = silver.read_rejects(t.spark, paths, entity).where(F.col("reject_reason") == silver.LATE)
+    late = late.groupBy("SalesOrder").agg(F.count(F.lit(1)).cast("int").alias("late_rows"))
+    rows = silver.read_entity(t.spark, paths, entity).join(late, "SalesOrder", "left")
+    return rows.select("SalesOrder", "SoldToParty", ntz("LastChangeDate").alias("changed"), F.coalesce("late_rows", F.lit(0)).alias("late_rows"))
+
+
 @query(
     "gold_row_counts",
     """

@@ -59,14 +59,32 @@ def next_state(
 
 
 def newest_per_key(facts: DataFrame, entity: Entity) -> DataFrame:
-    """One row per key of the entity: the last that was ingested, then the last by file and content."""
+    """One row per key of the entity: the newest version if it has one, then the last that was ingested, then the last
+    by file and content."""
     if not entity.keys:
         return facts
-    first = [c for c in ("ingest_timestamp", sinks.BATCH, readers.SOURCE_FILE) if c in facts.columns]
+    versions = (entity.version,) if entity.version else ()
+    first = [c for c in (*versions, "ingest_timestamp", sinks.BATCH, readers.SOURCE_FILE) if c in facts.columns]
     rest = [c for c in facts.columns if c not in first and c not in entity.keys]
     return latest_by(facts, entity.keys, [F.col(c).desc_nulls_last() for c in [*first, *rest]])
 
 
+LATE = "older_than_stored"
+
+
+def keyed_layout(entity: Entity) -> partitions.Layout:
+    """Documents are numbered in order of time: one key is dealt by ranges of numbers, several by hash."""
+    return partitions.Layout(tuple(entity.keys), span=1_000_000 if len(entity.keys) == 1 else None)
+
+
+def _as_rejects(late: DataFrame, rejects: DataFrame) -> DataFrame:
+    """Rows that came late, in the columns of the reject table: parsed values as text."""
+    own = {quality.REJECT_REASON: F.lit(LATE)}
+    kinds = dict(rejects.dtypes)
+    columns = [own.get(c, F.col(c) if c in late.columns else F.lit(None)).cast(kinds[c]).alias(c) for c in rejects.columns]
+    return late.select(*columns)
+
+
 def write_entity(
     staged: Staged,
     split: quality.Split,
@@ -85,7 +103,16 @@ def write_entity(
     """
     spark = staged.rows.sparkSession
     valid = state.with_ingest_meta(split.valid, batch_id, entity.name, as_of)
-    if entity.kind == "fact":
+    rejected = split.reject
+    if entity.kind == "keyed":
+        late: list[Staged] = []
+        partitions.merge_batch(
+            spark, newest_per_key(valid, entity), paths.table(entity), keyed_layout(entity), batch_id, previous_batch, first_run,
+            newer=entity.version, take_late=lambda df: late.append(stage(_as_rejects(df, split.reject), f"late-{entity.name}")),
+        )
+        for part in late:
+            rejected = rejected.unionByName(part.rows)
+    elif entity.kind == "fact":
         facts = newest_per_key(valid, entity)
         sinks.append_facts(facts, paths.table(entity), batch_id, entity.partition_date, entity.partition_unit)
     else:
@@ -93,8 +120,10 @@ def write_entity(
             spark, valid, paths.table(entity), partitions.Layout(tuple(entity.keys)), batch_id, as_of,
             entity.compare or None, order, late, previous_batch, first_run,
         )
-    rejects = quality.with_reject_meta(split.reject, batch_id, entity.name, as_of)
+    rejects = quality.with_reject_meta(rejected, batch_id, entity.name, as_of)
     sinks.append_batch(rejects, f"{paths.rejects}/{entity.name}", batch_id)
+    for part in late if entity.kind == "keyed" else ():
+        discard(spark, part)
     counts = staged.counts
     write_log(spark, counts, entity, paths, batch_id, "success", as_of)
     return counts
@@ -153,7 +182,11 @@ def read_rejects(spark: SparkSession, paths: SilverPaths, entity: Entity) -> Dat
 
 
 def read_entity(spark: SparkSession, paths: SilverPaths, entity: Entity) -> DataFrame | None:
-    """What an entity says now: facts once per key, current rows of a versioned entity; ``None`` before any batch."""
+    """What an entity says now: facts once per key, current rows of a versioned entity; ``None`` before any batch.
+
+    Appended facts (kind ``fact``) are deduplicated here, over their whole history. Keyed ones (``keyed``) are merged
+    when they are written, partition by partition, and read by a plain scan.
+    """
     if entity.kind == "fact":
         facts = readers.table_or_path(spark, None, paths.table(entity))
         return None if facts is None else newest_per_key(facts.drop(sinks.FOLDER), entity)

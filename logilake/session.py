@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 from typing import NamedTuple
 
 from py4j.protocol import Py4JJavaError
@@ -45,8 +46,28 @@ def local_session(cores: int | str = "*", memory: str = "8g", app: str = "logila
     return spark
 
 
+_SCRATCH: list[list[str]] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Delete the work folders that are made in this block when it ends.
+
+    Frames are lazy: what they give must have been written or collected inside. Blocks may be nested; a folder belongs
+    to the innermost one that is open in the driver, whatever thread makes it.
+    """
+    made: list[str] = []
+    _SCRATCH.append(made)
+    try:
+        yield
+    finally:
+        _SCRATCH.remove(made)
+        for path in made:
+            delete(spark, path)
+
+
 def work_dir(spark: SparkSession, purpose: str) -> str:
-    """A fresh folder that every executor can see.
+    """A fresh folder that every executor can see. It is deleted by ``discard`` or at the end of a ``scratch`` block.
 
     The cluster names it in ``spark.checkpoint.dir``. Only a local session, where driver and executors are one
     process, may fall back to a temporary folder of its own.
@@ -56,7 +77,10 @@ def work_dir(spark: SparkSession, purpose: str) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         shared = tempfile.mkdtemp(prefix="spark-")
-    return f"{shared.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    path = f"{shared.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    if _SCRATCH:
+        _SCRATCH[-1].append(path)
+    return path
 
 
 class Staged(NamedTuple):

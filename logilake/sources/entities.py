@@ -38,6 +38,8 @@ class Entity:
     compare: list[str] = field(default_factory=list)
     partition_date: str | None = None
     partition_unit: str = "day"
+    # Of a keyed entity: the column that says which row of a key is newer.
+    version: str | None = None
 
     @property
     def record_schema(self) -> T.StructType:

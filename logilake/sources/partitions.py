@@ -17,7 +17,7 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from typing import NamedTuple
 from urllib.parse import quote, unquote
 
@@ -202,8 +202,14 @@ def merge_batch(
     first_run: bool = False,
     update: list[str] | None = None,
     preserve: tuple[str, ...] = (),
+    newer: str | None = None,
+    take_late: Callable[[DataFrame], None] | None = None,
 ) -> State:
-    """Keyed merge of a batch into the partitions that hold its keys."""
+    """Keyed merge of a batch into the partitions that hold its keys.
+
+    With ``newer`` a row whose value of that column is below the stored row's comes late: it changes nothing, and
+    ``take_late`` gets it. A null is below any value.
+    """
     before, sequence = state_before(spark, base, batch, previous, first_run)
     staged = stage(layout.dealt(source), "merge-source", counted=_rows("rows_in"))
     counts = dict(staged.counts)
@@ -213,7 +219,12 @@ def merge_batch(
         if target is not None:
             target = layout.dealt(target)
         keys = [PART, *layout.keys]
-        merged = states.merge_upsert(target, staged.rows, keys, update, preserve)
+        rows = staged.rows
+        if newer is not None and target is not None:
+            rows, late = _split_late(rows, target, keys, newer)
+            if take_late is not None:
+                take_late(late.drop(PART))
+        merged = states.merge_upsert(target, rows, keys, update, preserve)
         new = {p: [f] for p, f in write_parts(merged, base, batch, counts, "rows_written").items()}
         folders = {CURRENT: ({} if before is None else before.folders.get(CURRENT, {})) | new}
         state = State(sequence, batch, folders, {CURRENT: _widened(before, CURRENT, schema_of(merged))}, counts)
@@ -223,6 +234,14 @@ def merge_batch(
         discard(spark, staged)
 
 
+def _split_late(rows: DataFrame, stored: DataFrame, keys: list[str], newer: str) -> tuple[DataFrame, DataFrame]:
+    """Rows that are not older than the stored row of their key, and those that are."""
+    known = stored.groupBy(*keys).agg(F.max(newer).alias("_stored"))
+    told = rows.join(known, keys, "left")
+    late = F.col("_stored").isNotNull() & (F.col(newer).isNull() | (F.col(newer) < F.col("_stored")))
+    return told.where(~late).select(*rows.columns), told.where(late).select(*rows.columns)
+
+
 def _widened(before: State | None, kind: str, new: T.StructType) -> T.StructType:
     """All columns of the old and the new partitions; those that a partition lacks are read as null."""
     if before is None or kind not in before.schemas:
