@@ -3,6 +3,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
+from logilake import session
 from logilake.catalog import network, storage
 from logilake.catalog.adapters import Tables
 from logilake.session import discard, scratch, stage
@@ -52,24 +53,16 @@ def test_rescued_fields_and_broken_documents(spark, tmp_path):
     assert all(r.source_file.endswith("a.json") for r in rows)
 
 
-def test_work_folders_go_with_their_block(spark, tmp_path):
-    before = spark.conf.get("spark.checkpoint.dir", None)
-    spark.conf.set("spark.checkpoint.dir", str(tmp_path))
-    try:
-        kept = stage(spark.range(3), "kept")
+def test_work_folders_go_with_their_block(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(session.tempfile, "mkdtemp", lambda **_: str(tmp_path))
+    kept = stage(spark.range(3), "kept")
+    with scratch(spark):
+        outer = stage(spark.range(4), "outer")
         with scratch(spark):
-            outer = stage(spark.range(4), "outer")
-            with scratch(spark):
-                inner = stage(spark.range(5), "inner")
-                assert inner.rows.count() == 5
-            assert {p.name for p in tmp_path.iterdir()} == {Path(kept.path).name, Path(outer.path).name}
-            discard(spark, outer)
-        with pytest.raises(ZeroDivisionError), scratch(spark):
-            stage(spark.range(6), "failed")
-            raise ZeroDivisionError
-        assert [p.name for p in tmp_path.iterdir()] == [Path(kept.path).name]
-    finally:
-        if before is None:
-            spark.conf.unset("spark.checkpoint.dir")
-        else:
-            spark.conf.set("spark.checkpoint.dir", before)
+            assert stage(spark.range(5), "inner").rows.count() == 5
+        assert {p.name for p in tmp_path.iterdir()} == {Path(kept.path).name, Path(outer.path).name}
+        discard(spark, outer)
+    with pytest.raises(ZeroDivisionError), scratch(spark):
+        stage(spark.range(6), "failed")
+        raise ZeroDivisionError
+    assert [p.name for p in tmp_path.iterdir()] == [Path(kept.path).name]
