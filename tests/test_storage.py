@@ -3,7 +3,6 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from logilake import session
 from logilake.catalog import network, storage
 from logilake.catalog.adapters import Tables
 from logilake.session import discard, scratch, stage
@@ -53,16 +52,22 @@ def test_rescued_fields_and_broken_documents(spark, tmp_path):
     assert all(r.source_file.endswith("a.json") for r in rows)
 
 
-def test_work_folders_go_with_their_block(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(session.tempfile, "mkdtemp", lambda **_: str(tmp_path))
+def test_work_folders_go_with_their_block(spark):
+    def there(staged):
+        return Path(staged.path.removeprefix("file://").removeprefix("file:")).exists()
+
     kept = stage(spark.range(3), "kept")
     with scratch(spark):
-        outer = stage(spark.range(4), "outer")
+        outer, early = stage(spark.range(4), "outer"), stage(spark.range(4), "early")
         with scratch(spark):
-            assert stage(spark.range(5), "inner").rows.count() == 5
-        assert {p.name for p in tmp_path.iterdir()} == {Path(kept.path).name, Path(outer.path).name}
-        discard(spark, outer)
+            inner = stage(spark.range(5), "inner")
+            assert inner.rows.count() == 5
+        assert there(outer) and not there(inner)
+        discard(spark, early)
+        assert not there(early)
     with pytest.raises(ZeroDivisionError), scratch(spark):
-        stage(spark.range(6), "failed")
+        failed = stage(spark.range(6), "failed")
         raise ZeroDivisionError
-    assert [p.name for p in tmp_path.iterdir()] == [Path(kept.path).name]
+    assert there(kept) and not there(outer) and not there(failed)
+    discard(spark, kept)
+    assert not there(kept)
