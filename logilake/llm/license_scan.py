@@ -7,15 +7,20 @@ places all count.
 
 * Base phrases give base labels (``BASE_PHRASES``).
 * Further notice phrases give labels of their own (``NOTICE_PHRASES``).
-* ``SPDX-License-Identifier:`` tags are followed by an expression of ids, ``AND``, ``OR``, ``WITH`` and brackets. Its
-  operands become labels in lower case; an exception becomes ``<licence> with <exception>``. Of an ``OR`` all
-  alternatives are labels, since each is a licence that the text offers. A broken expression gives no labels.
+* ``SPDX-License-Identifier:`` tags are followed by an expression of ids, ``AND``, ``OR``, ``WITH`` and brackets; the
+  operators count in capitals only, words after a complete expression are prose. Its known operands become labels in
+  lower case; an exception becomes ``<licence> with <exception>``. Of an ``OR`` all alternatives are labels, since
+  each is a licence that the text offers. Ids that are not known give no label. A broken expression counts as absent.
+* Each expression is evaluated under a set of licences that a user permits (``PERMITTED``, ``PERMITTED_WITH``): an
+  ``OR`` needs one permitted side, an ``AND`` both, a ``WITH`` the pair or the licence alone. ``permitted`` says
+  whether all the text's expressions hold; null without an expression.
 
 Score, the confidence that the text carries a licence: ``1 - product(1 - weight)`` over the distinct labels, with
-1.0 for a well-formed tag, 0.9 for a base phrase and 0.6 for another notice; 0 without any label.
+1.0 for a tag whose ids are all known, 0.7 for one with others, 0.9 for a base phrase and 0.6 for another notice; 0
+without any label.
 
-Defined cases: a null text is empty: no words, empty labels, null places, score 0. Whole texts are scanned. Rows that
-repeat are answered alike. Only ``doc_id`` and ``text`` are read.
+Defined cases: a null text is empty: no words, empty labels, null places, score 0, permitted null. A null ``doc_id`` is
+kept. Whole texts are scanned. Rows that repeat are answered alike. Only ``doc_id`` and ``text`` are read.
 """
 
 from __future__ import annotations
@@ -60,8 +65,38 @@ NOTICE_PHRASES = {
     "gnu general public license version 2": "gpl-2.0",
     "gnu general public license version 3": "gpl-3.0",
 }
+# Licence ids of the public list that texts use most, in lower case; a "+" may follow, and ids of a
+# text's own start with "licenseref-".
+LICENSE_IDS = frozenset(
+    "0bsd afl-1.1 afl-2.0 afl-2.1 afl-3.0 agpl-1.0-only agpl-1.0-or-later agpl-3.0 agpl-3.0-only agpl-3.0-or-later "
+    "apache-1.0 apache-1.1 apache-2.0 apsl-2.0 artistic-1.0 artistic-1.0-perl artistic-2.0 blueoak-1.0.0 bsd-1-clause "
+    "bsd-2-clause bsd-2-clause-patent bsd-3-clause bsd-3-clause-clear bsd-4-clause bsl-1.0 busl-1.1 bzip2-1.0.6 "
+    "cc-by-1.0 cc-by-2.0 cc-by-2.5 cc-by-3.0 cc-by-4.0 cc-by-nc-2.0 cc-by-nc-3.0 cc-by-nc-4.0 cc-by-nc-nd-3.0 "
+    "cc-by-nc-nd-4.0 cc-by-nc-sa-3.0 cc-by-nc-sa-4.0 cc-by-nd-3.0 cc-by-nd-4.0 cc-by-sa-2.0 cc-by-sa-2.5 cc-by-sa-3.0 "
+    "cc-by-sa-4.0 cc-pddc cc0-1.0 cddl-1.0 cddl-1.1 cecill-2.1 cecill-b cecill-c cpl-1.0 curl ecl-2.0 elastic-2.0 "
+    "epl-1.0 epl-2.0 eupl-1.1 eupl-1.2 fsfap ftl gfdl-1.1-only gfdl-1.2-only gfdl-1.3-only gfdl-1.3-or-later gpl-1.0-only "
+    "gpl-1.0-or-later gpl-2.0 gpl-2.0-only gpl-2.0-or-later gpl-3.0 gpl-3.0-only gpl-3.0-or-later hpnd icu ijg ipl-1.0 "
+    "isc lgpl-2.0 lgpl-2.0-only lgpl-2.0-or-later lgpl-2.1 lgpl-2.1-only lgpl-2.1-or-later lgpl-3.0 lgpl-3.0-only "
+    "lgpl-3.0-or-later libpng libpng-2.0 libtiff lppl-1.3c mit mit-0 mit-cmu mpl-1.0 mpl-1.1 mpl-2.0 "
+    "mpl-2.0-no-copyleft-exception ms-pl ms-rl mulanpsl-2.0 ncsa odbl-1.0 odc-by-1.0 ofl-1.0 ofl-1.1 openssl osl-2.1 osl-3.0 "
+    "pddl-1.0 php-3.01 postgresql psf-2.0 python-2.0 qpl-1.0 ruby sissl sleepycat spl-1.0 sspl-1.0 tcl unicode-3.0 "
+    "unicode-dfs-2016 unlicense upl-1.0 vim w3c wtfpl x11 xfree86-1.1 zlib zlib-acknowledgement zpl-2.0 zpl-2.1".split()
+)
+EXCEPTION_IDS = frozenset(
+    "autoconf-exception-2.0 autoconf-exception-3.0 bison-exception-2.2 bootloader-exception classpath-exception-2.0 "
+    "font-exception-2.0 gcc-exception-2.0 gcc-exception-3.1 libtool-exception linux-syscall-note llvm-exception "
+    "ocaml-lgpl-linking-exception openssl-exception qt-gpl-exception-1.0 swift-exception wxwindows-exception-3.1".split()
+)
+# What a corpus may use without further conditions: licences, and copyleft ones by their exception.
+PERMITTED = frozenset(
+    "0bsd apache-2.0 blueoak-1.0.0 bsd-1-clause bsd-2-clause bsd-3-clause bsl-1.0 cc-by-3.0 cc-by-4.0 cc-pddc cc0-1.0 isc "
+    "mit mit-0 ncsa odc-by-1.0 pddl-1.0 postgresql psf-2.0 unlicense upl-1.0 x11 zlib".split()
+)
+PERMITTED_WITH = frozenset(
+    {("gpl-2.0-only", "classpath-exception-2.0"), ("gpl-2.0-or-later", "classpath-exception-2.0"), ("gpl-3.0-or-later", "gcc-exception-3.1")}
+)
 TAG_WORDS = "spdx license identifier"
-TAG_WEIGHT, BASE_WEIGHT, NOTICE_WEIGHT = 1.0, 0.9, 0.6
+TAG_WEIGHT, PARTLY_WEIGHT, BASE_WEIGHT, NOTICE_WEIGHT = 1.0, 0.7, 0.9, 0.6
 
 # A-Z to a-z, and every other ASCII character that is no letter or digit to a space.
 _FOLD = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or 48 <= c <= 57 or 97 <= c <= 122 else 32 for c in range(256))
@@ -77,13 +112,41 @@ class Expression(NamedTuple):
     left: Expression | None = None
     right: Expression | None = None
 
+    @property
+    def is_id(self) -> bool:
+        return self.left is None or self.right is None
+
+    def known(self) -> bool:
+        """Whether all ids are known."""
+        if self.is_id:
+            return _is_license(self.value)
+        if self.value == "WITH":
+            return self.left.known() and self.right.value.lower() in EXCEPTION_IDS
+        return self.left.known() and self.right.known()
+
     def labels(self) -> set[str]:
-        if self.left is None or self.right is None:
-            return {self.value.lower()}
+        if self.is_id:
+            return {self.value.lower()} if _is_license(self.value) else set()
         if self.value == "WITH":
-            return {f"{x} with {y}" for x in self.left.labels() for y in self.right.labels()}
+            exception = self.right.value.lower()
+            return {f"{x} with {exception}" if exception in EXCEPTION_IDS else x for x in self.left.labels()}
         return self.left.labels() | self.right.labels()
 
+    def permitted(self, licenses: frozenset[str] = PERMITTED, pairs: frozenset[tuple[str, str]] = PERMITTED_WITH) -> bool:
+        """Whether the licences allow it: one side of an OR, both of an AND, the pair or the licence of a WITH."""
+        if self.is_id:
+            return self.value.lower() in licenses
+        left = self.left.permitted(licenses, pairs)
+        if self.value == "WITH":
+            return left or (self.left.value.lower(), self.right.value.lower()) in pairs
+        right = self.right.permitted(licenses, pairs)
+        return left or right if self.value == "OR" else left and right
+
+
+def _is_license(value: str) -> bool:
+    low = value.lower()
+    return low in LICENSE_IDS or low.removesuffix("+") in LICENSE_IDS or low.startswith("licenseref-")
+
 
 def parse_expression(text: str) -> Expression | None:
     """The longest well-formed expression at the start of a line, by shunting yard; None if there is none."""
@@ -102,11 +165,11 @@ def parse_expression(text: str) -> Expression | None:
         token = _OPERAND.match(text, at)
         if token is None:
             break
-        word = token.group()
+        word = token.group().rstrip(".:") or token.group()
         if expect_operand:
             if word == "(":
                 operators.append(word)
-            elif word == ")" or word.upper() in _PRECEDENCE:
+            elif word == ")" or word in _PRECEDENCE:
                 return None
             else:
                 output.append(Expression(word))
@@ -117,11 +180,11 @@ def parse_expression(text: str) -> Expression | None:
             if not operators:
                 return None
             operators.pop()
-        elif word.upper() in _PRECEDENCE:
-            rank = _PRECEDENCE[word.upper()]
+        elif word in _PRECEDENCE:
+            rank = _PRECEDENCE[word]
             while operators and operators[-1] != "(" and _PRECEDENCE[operators[-1]] >= rank:
                 reduce_top()
-            operators.append(word.upper())
+            operators.append(word)
             expect_operand = True
         else:
             break  # prose after a complete expression
@@ -142,13 +205,14 @@ def _valid(node: Expression) -> bool:
     return _valid(node.left) and _valid(node.right)
 
 
+def expressions(text: str) -> list[Expression]:
+    """The well-formed expressions of a text's tags."""
+    nodes = (parse_expression(tag.group(1)) for tag in _TAG.finditer(text))
+    return [node for node in nodes if node is not None and _valid(node)]
+
+
 def tag_labels(text: str) -> set[str]:
-    found: set[str] = set()
-    for tag in _TAG.finditer(text):
-        node = parse_expression(tag.group(1))
-        if node is not None and _valid(node):
-            found |= node.labels()
-    return found
+    return set().union(*(node.labels() for node in expressions(text)))
 
 
 class Scan(NamedTuple):
@@ -159,6 +223,7 @@ class Scan(NamedTuple):
     base_labels: str
     labels: str
     score: float
+    permitted: bool | None
 
 
 class Scanner:
@@ -193,16 +258,22 @@ class Scanner:
                 base.add(label)
             else:
                 notices.add(label)
-        tags = tag_labels(text) if tagged else set()
+        weights = dict.fromkeys(notices, NOTICE_WEIGHT) | dict.fromkeys(base, BASE_WEIGHT)
+        found = expressions(text) if tagged else []
+        for node in found:
+            weight = TAG_WEIGHT if node.known() else PARTLY_WEIGHT
+            for label in node.labels():
+                weights[label] = max(weight, weights.get(label, 0))
         doubt = 1.0
-        for label in base | notices | tags:
-            doubt *= 1 - (TAG_WEIGHT if label in tags else BASE_WEIGHT if label in base else NOTICE_WEIGHT)
-        labels = ",".join(sorted(base | notices | tags))
-        return Scan(len(words), n_base, first, last, ",".join(sorted(base)), labels, 1 - doubt)
+        for weight in weights.values():
+            doubt *= 1 - weight
+        permitted = all(node.permitted() for node in found) if found else None
+        labels = ",".join(sorted(weights))
+        return Scan(len(words), n_base, first, last, ",".join(sorted(base)), labels, 1 - doubt, permitted)
 
 
-SCHEMA = "n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double"
-_TYPES = [pa.int64()] * 4 + [pa.string()] * 2 + [pa.float64()]
+SCHEMA = "n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double, permitted boolean"
+_TYPES = [pa.int64()] * 4 + [pa.string()] * 2 + [pa.float64(), pa.bool_()]
 
 
 def scan_licenses(docs: DataFrame) -> DataFrame:
