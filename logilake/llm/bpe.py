@@ -3,7 +3,7 @@
 A text is cut at the vocabulary's special strings and then into pre-tokens by the byte-level pattern. Each pre-token
 is a doubly linked list of symbols with a priority queue of (rank, place) over neighbouring pairs. A popped entry is
 stale, and skipped, if its symbols have meanwhile become part of others. Pre-tokens repeat, so a task keeps the ids
-of those it has met in a table that is emptied when it reaches ``CACHE_ENTRIES``.
+of those of at most ``CACHE_LENGTH`` characters in a table that is emptied when it reaches ``CACHE_ENTRIES``.
 
 The vocabulary file is read by the driver, from a path that the caller names, and sent to executors as it is
 (1.6 MB); it is never copied elsewhere.
@@ -28,7 +28,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from logilake.llm.common import query, table
 
+# Pre-tokens that a task keeps the ids of, and the characters that one may have; so the table is bounded in bytes.
 CACHE_ENTRIES = 400_000
+CACHE_LENGTH = 64
 
 # Fixed value: the pattern of byte-level pre-tokens.
 PRE_TOKEN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -63,9 +65,11 @@ class _Known(dict):
         self.merge = merge
 
     def __missing__(self, token: str) -> tuple[int, ...]:
-        if len(self) >= CACHE_ENTRIES:
-            self.clear()
-        self[token] = ids = self.merge(token.encode())
+        ids = self.merge(token.encode())
+        if len(token) <= CACHE_LENGTH:
+            if len(self) >= CACHE_ENTRIES:
+                self.clear()
+            self[token] = ids
         return ids
 
 
