@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from logilake import session
 from logilake.llm import bpe, common, decontaminate, exact_dedup, minhash_join, quality_qda
 
 
@@ -55,6 +56,13 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents of ``sf_dir``."""
     docs = common.table(common.configure(spark), sf_dir, "documents")
+    before = None
     for name, stage in STAGES[:-1]:
-        docs = common.staged(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        path = session.work_dir(spark, name.replace(" ", "-"))
+        # What a stage writes for itself goes when its output is there, and so does the output before.
+        with session.scratch(spark):
+            stage(spark, docs, sf_dir).write.parquet(path)
+        if before is not None:
+            session.delete(spark, before)
+        docs, before = spark.read.parquet(path), path
     return STAGES[-1][1](spark, docs, sf_dir)

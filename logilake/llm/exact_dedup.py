@@ -11,7 +11,7 @@ digest alone where a digest has a single text, and by digest and full text where
 Defined cases: a null text equals the empty text. A null ``doc_id`` never stays while its group has another. Flags
 speak of ids: if all ids of a group are null, ``keep_id`` is null and no row is flagged, and rows that repeat both id
 and text are flagged alike. ``drop_copies`` speaks of rows: one row of every text stays, also if its ids are all null
-or repeat, and which one of rows that repeat both id and text is open. An empty table
+or repeat; of rows that repeat both id and text it is the one whose other columns are largest as JSON. An empty table
 gives an empty result. Only ``doc_id`` and ``text`` decide, so further columns may have any name.
 """
 
@@ -77,7 +77,8 @@ def drop_copies(docs: DataFrame, salts: int = SALTS) -> DataFrame:
     text = whole_text()
     others = [c for c in docs.columns if c != "text"]
     row = F.struct(F.col("text").isNull().alias("none"), *(F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(others)))
-    rank = F.struct(F.col("doc_id").isNotNull().alias("known"), F.col("doc_id").alias("id"))
+    # Rows that repeat both id and text are told apart by their other columns, so that the same one always wins.
+    rank = F.struct(F.col("doc_id").isNotNull().alias("known"), F.col("doc_id").alias("id"), F.to_json(row).alias("rest"))
     best = [F.max_by("row", "rank").alias("row"), F.max("rank").alias("rank")]
     won = (
         docs.select(

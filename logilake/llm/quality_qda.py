@@ -4,7 +4,7 @@ Each whole text becomes a short vector of statistics, each transformed (logarith
 normal distribution fits it better. Per class, the count, sums and sums of products of the vectors give mean and
 covariance exactly, over all labelled rows of the training folds, in one distributed aggregation. Covariances are
 shrunk: first toward the pooled one (``TO_POOLED``), then toward its diagonal (``TO_DIAGONAL``), so they can be
-factored even when a statistic does not vary in a class. A score is the logistic function of the difference of the
+factored even when a statistic does not vary in a class. A filter (``keep_good``) is fitted on at most ``LABELLED`` rows. A score is the logistic function of the difference of the
 two classes' log densities and log priors, from Mahalanobis distances by Cholesky factors that are computed once.
 
 Defined cases: a null text is empty and gets a score like any text. Labels other than 0 and 1, null labels and null
@@ -25,12 +25,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logilake.llm.common import fold, query, staged, table
+from logilake.llm.common import bounded_sample, fold, query, staged, table
 
 TO_POOLED = 0.1
 TO_DIAGONAL = 0.1
 FLOOR = 1e-3  # least variance of a statistic
 FOLDS, HELD_OUT = 3, 1
+LABELLED = 20_000  # labelled rows that a filter is fitted on at most; more do not move 15 means and covariances
 WORDS, BYTES = 20.0, 120.0  # weight of ordinary prose in a text's shares
 
 FEATURES = (
@@ -193,12 +194,21 @@ def scored(docs: DataFrame, labels: DataFrame) -> DataFrame:
     )
 
 
+def model_of_sample(docs: DataFrame, labels: DataFrame, bound: int = LABELLED) -> Model:
+    """The model from at most ``bound`` labelled rows outside the held-out fold; other texts are not looked at."""
+    known = labels.select("doc_id", F.col("quality").cast("int").alias("label")).where("doc_id IS NOT NULL AND label IN (0, 1)")
+    sample = bounded_sample(known.where(fold("doc_id", FOLDS) != HELD_OUT), "doc_id", bound)
+    # Both are bounded by the sample's size, some hundred kilobytes.
+    own = docs.join(F.broadcast(sample.select("doc_id").distinct()), "doc_id", "left_semi")
+    return fit(vectors(own).join(F.broadcast(sample), "doc_id"))
+
+
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that the classifier does not reject, all their columns as they were.
 
-    Statistics are computed again where the texts are, which is cheaper than moving the texts to their scores.
+    The model is fitted first, from the statistics of a bounded sample; then each text is scored where it is.
     """
-    _, model = learned(docs, labels)
+    model = model_of_sample(docs, labels)
     text_at = docs.columns.index("text")
 
     def run(batches):

@@ -1,7 +1,9 @@
 import hashlib
+import os
 
 import corpus_pipeline
 from __spark_entry__ import oracle_sql, queries
+from logilake import session
 from logilake.llm import bpe, decontaminate, minhash_join, quality_qda
 from test_minhash_join import exact
 
@@ -40,5 +42,28 @@ def test_empty_documents(spark, tiny):
 
 def test_registration():
     names = set(queries())
-    assert {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{i}" for i in range(1, 14)}
     assert "pipeline" in names and "pipeline" not in oracle_sql() and "op6_exact_dedup" in oracle_sql()
+
+
+def test_null_ids_repeats_and_empty_side_tables(spark, documents, write_tables):
+    long = " ".join(f"word{i}" for i in range(60))
+    docs = documents((1, long), (1, long), (None, "another text of its own"), (None, None), (2, "x"), (3, long + " more"))
+    labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    benchmark = spark.createDataFrame([], "item_id long, text string")
+    folder = write_tables(documents=docs, labels=labels, benchmark=benchmark)
+    got = sorted(((r.doc_id is None, r.doc_id or 0) for r in corpus_pipeline.run(spark, folder).collect()))
+    # Without labels nothing is rejected; one row of each text, and of the near copies the smallest id.
+    assert got == [(False, 1), (False, 2), (True, 0), (True, 0)]
+
+
+def test_only_the_last_output_is_left(spark, tiny, monkeypatch, tmp_path):
+    made = []
+    real = session.work_dir
+    monkeypatch.setattr(session, "work_dir", lambda *a: made.append(real(*a)) or made[-1])
+    with session.scratch(spark):
+        result = corpus_pipeline.run(spark, tiny)
+        assert result.count() > 0
+        there = [p for p in made if os.path.exists(p.removeprefix("file://").removeprefix("file:"))]
+        assert len(made) > 6 and len(there) == 1 and "benchmark-decontamination" in there[0]
+    assert not os.path.exists(there[0].removeprefix("file://").removeprefix("file:"))

@@ -61,3 +61,11 @@ def test_one_row_of_each_text_stays(documents):
     got = exact_dedup.drop_copies(documents((1, ""), (2, None))).collect()
     assert [(r.doc_id, r.text, r.lang, r.n_chars) for r in got] == [(2, None, "en", None)]
     assert exact_dedup.drop_copies(docs).schema == docs.schema
+
+
+def test_ties_are_broken_by_the_other_columns(documents):
+    docs = documents(*[(5, "z")] * 6).withColumn("source", F.concat(F.lit("s"), (F.rand(3) * 1000).cast("int").cast("string")))
+    rows = docs.collect()
+    again = docs.sparkSession.createDataFrame(rows, docs.schema)
+    found = {exact_dedup.drop_copies(again.repartition(n)).first() for n in (1, 3, 7)}
+    assert len(found) == 1 and found.pop().source == max(r.source for r in rows)
