@@ -1,9 +1,9 @@
 """Registered queries. Importing the modules below registers them."""
 
-from logilake.catalog import expressions, joined, network, states, storage, tables
+from logilake.catalog import expressions, joined, network, states, storage, tables, upkeep
 from logilake.catalog.registry import ORACLE, QUERIES
 
-__all__ = ["all_queries", "all_sql", "expressions", "joined", "network", "states", "storage", "tables"]
+__all__ = ["all_queries", "all_sql", "expressions", "joined", "network", "states", "storage", "tables", "upkeep"]
 
 
 def all_queries():

@@ -204,6 +204,30 @@ def _arrivals(header: DataFrame) -> DataFrame:
     return dedupe.latest_by(rows, ["doc"], order)
 
 
+TASK_KEYS = ["trip_task", "trip_warehouse"]
+
+
+def has_task_numbers(task: DataFrame) -> bool:
+    return resolve(lower_columns(task), *TASK_COLUMNS) is not None
+
+
+def _task_columns(t: DataFrame) -> dict[str, Column]:
+    """Delivery item and warehouse of tasks in lower case, and the tasks' keys, which are never null."""
+    wh = column_or(t, null_of("string"), "ewmwarehouse", "warehouse", "warehouse_id").cast("string")
+    doc = column_or(t, null_of("string"), "ewmdelivery", "ewm_delivery", *DOCUMENT_COLUMNS[:2]).cast("string")
+    item = column_or(t, null_of("string"), "ewmdeliveryitem", "ewm_delivery_item", "deliveryitem", "delivery_item")
+    number = column_or(t, null_of("string"), *TASK_COLUMNS).cast("string")
+    keys = dict(zip(TASK_KEYS, (F.coalesce(c, F.lit("")) for c in (number, wh)), strict=True))
+    return {"doc": text.document_number(doc), "item": text.item_number(item), "wh": wh} | keys
+
+
+def with_task_keys(task: DataFrame) -> DataFrame:
+    """The tasks with their keys and ``_doc``, the delivery that they belong to."""
+    t = lower_columns(task)
+    found = _task_columns(t)
+    return t.withColumns({"_doc": found["doc"]} | {k: found[k] for k in TASK_KEYS})
+
+
 def task_trips(
     task: DataFrame,
     item: DataFrame,
@@ -211,22 +235,21 @@ def task_trips(
     location: DataFrame,
     header: DataFrame | None,
     warehouse: DataFrame | None,
+    keyed: bool = False,
 ) -> DataFrame:
     """One row per warehouse task, however often it was delivered, that belongs to a delivery item and whose destination is known.
 
     Document data is gathered once per document before it meets the tasks. Items only decide whether a task counts,
-    so they join as a semi-join and never multiply tasks.
+    so they join as a semi-join and never multiply tasks. With ``keyed`` the rows carry ``TASK_KEYS``, which are unique
+    where tasks have numbers.
     """
+    numbered = has_task_numbers(task)
     t = lower_columns(task)
-    tasks = t.select(
-        text.document_number(column_or(t, null_of("string"), "ewmdelivery", "ewm_delivery", *DOCUMENT_COLUMNS[:2]).cast("string")).alias("doc"),
-        text.item_number(column_or(t, null_of("string"), "ewmdeliveryitem", "ewm_delivery_item", "deliveryitem", "delivery_item")).alias("item"),
-        column_or(t, null_of("string"), "ewmwarehouse", "warehouse", "warehouse_id").cast("string").alias("wh"),
-        column_or(t, null_of("string"), *TASK_COLUMNS).cast("string").alias("task"),
-    ).filter("doc IS NOT NULL")
-    if resolve(t, *TASK_COLUMNS):
-        tasks = dedupe.latest_by(tasks, ["wh", "task"], [F.asc("doc"), F.asc_nulls_last("item")])
-    tasks = tasks.drop("task")
+    tasks = t.select(*[c.alias(name) for name, c in _task_columns(t).items()]).filter("doc IS NOT NULL")
+    if numbered:
+        tasks = dedupe.latest_by(tasks, TASK_KEYS, [F.asc("doc"), F.asc_nulls_last("item")])
+    kept = TASK_KEYS if keyed else []
+    tasks = tasks.drop(*[k for k in TASK_KEYS if k not in kept])
     i = lower_columns(item)
     raw_item = column_or(i, null_of("string"), *ITEM_COLUMNS).cast("string")
     items = i.select(
@@ -258,6 +281,7 @@ def task_trips(
         trips = trips.withColumn("_wh", text.or_blank(F.lower("wh"))).join(origins, "_wh", "left")
     origin = F.coalesce(F.col("_origin"), F.concat(F.lit("ewm:"), text.or_blank(F.col("wh"))))
     return trips.select(
+        *kept,
         origin.alias("origin_location_id"),
         "dest_location_id",
         F.col("doc").alias("deliverydocument_num"),
@@ -297,6 +321,11 @@ def summarise_routes(trips: DataFrame, lanes: DataFrame | None, delay_min: float
         F.round(F.count_if(F.col("eta_error_min") > float(delay_min)) / F.count(F.lit(1)) * 100.0, 2).alias("pct_delayed"),
         F.max("actual_arrival_ts").alias("last_trip_at"),
     )
+    return with_distances(routes, lanes, last_updated)
+
+
+def with_distances(routes: DataFrame, lanes: DataFrame | None, last_updated: Column) -> DataFrame:
+    """Lane figures with distance and duration, in the columns of the lane summary."""
     if lanes is None:
         figures = routes.withColumns({"distance_km": null_of("double"), "network_duration_min": null_of("double")})
     else:

@@ -204,9 +204,11 @@ def merge_batch(
     preserve: tuple[str, ...] = (),
     newer: str | None = None,
     take_late: Callable[[DataFrame], None] | None = None,
+    keep: Column | None = None,
 ) -> State:
     """Keyed merge of a batch into the partitions that hold its keys.
 
+    ``keep`` tells which rows of the merged partitions stay; a batch deletes keys by rows for which it does not hold.
     With ``newer`` a row whose value of that column is below the stored row's comes late: it changes nothing, and
     ``take_late`` gets it. A null is below any value.
     """
@@ -225,8 +227,11 @@ def merge_batch(
             if take_late is not None:
                 take_late(late.drop(PART))
         merged = states.merge_upsert(target, rows, keys, update, preserve)
+        if keep is not None:
+            merged = merged.where(keep)
         new = {p: [f] for p, f in write_parts(merged, base, batch, counts, "rows_written").items()}
-        folders = {CURRENT: ({} if before is None else before.folders.get(CURRENT, {})) | new}
+        old = {} if before is None else before.folders.get(CURRENT, {})
+        folders = {CURRENT: {p: f for p, f in old.items() if p not in parts} | new}
         state = State(sequence, batch, folders, {CURRENT: _widened(before, CURRENT, schema_of(merged))}, counts)
         commit(spark, base, state)
         return state

@@ -156,3 +156,20 @@ def test_expire_deletes_what_no_state_names(spark, tmp_path, rows):
     assert rows(ps.read_state(spark, base)) == kept
     named = {f for held in ps.last_state(spark, base).folders["current"].values() for f in held}
     assert {p.rsplit("/", 1)[0] for p in files(base)} == {f.removeprefix("file:") for f in named}
+
+
+def test_rows_that_are_not_to_stay_go_and_emptied_parts_with_them(spark, tmp_path, rows):
+    base, layout = str(tmp_path / "t"), ps.Layout(("k",), span=10)
+
+    def put(batch, data):
+        df = spark.createDataFrame(data, "k long, v string")
+        return ps.merge_batch(spark, df, base, layout, batch, first_run=batch == "b1", keep=F.col("v").isNotNull())
+
+    put("b1", [(1, "a"), (2, "b"), (11, "c"), (21, None)])
+    assert rows(ps.read_state(spark, base)) == [(1, "a"), (11, "c"), (2, "b")]
+    after = put("b2", [(1, None), (11, None), (12, None)])
+    assert rows(ps.read_state(spark, base)) == [(2, "b")] and set(after.folders[ps.CURRENT]) == {0}
+    put("b3", [(2, None)])
+    assert rows(ps.read_state(spark, base)) == []
+    put("b4", [(5, "z")])
+    assert rows(ps.read_state(spark, base)) == [(5, "z")]
