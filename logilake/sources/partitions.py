@@ -35,6 +35,8 @@ PARTS = 64
 MOST_FOLDERS = 32
 
 Folders = dict[str, dict[int, list[str]]]
+# A commit's rows: a kind's schema without a partition, or one folder of a partition.
+COMMIT = "kind string, part long, value string"
 
 
 class Layout(NamedTuple):
@@ -100,7 +102,7 @@ def read_commit(spark: SparkSession, base: str, batch: str) -> State:
         raise ValueError(f"no snapshot of batch {batch} was committed below {base}")
     folders: Folders = {}
     schemas = {}
-    for row in spark.read.parquet(_commit_path(base, done[batch], batch)).collect():
+    for row in spark.read.schema(COMMIT).parquet(_commit_path(base, done[batch], batch)).collect():
         if row.part is None:
             schemas[row.kind] = T.StructType.fromJson(json.loads(row.value))
         else:
@@ -135,7 +137,7 @@ def state_before(
 def commit(spark: SparkSession, base: str, new: State) -> None:
     rows = [(kind, None, schema.json()) for kind, schema in new.schemas.items()]
     rows += [(k, part, folder) for k, parts in new.folders.items() for part, held in parts.items() for folder in held]
-    df = spark.createDataFrame(rows, "kind string, part long, value string").coalesce(1)
+    df = spark.createDataFrame(rows, COMMIT).coalesce(1)
     df.write.mode("overwrite").parquet(_commit_path(base, new.sequence, new.batch))
 
 
