@@ -78,20 +78,25 @@ def join_words(*parts: Column) -> Column:
 def to_ascii(lowered: Column) -> Column:
     """Lower-case Latin, Greek and Cyrillic text in ASCII letters; combining marks are dropped, others stay.
 
-    Text that is plain ASCII, the common case, only pays for the test, and each further script for its own.
+    Text that is plain ASCII, the common case, only pays for the test, and only text with letters of the other scripts
+    for these. No step is guarded by itself: each guard names its input twice, and the code of nested ones would
+    outgrow what Java compiles.
     """
     # Combining marks of these scripts only: in others a mark can be part of the letter.
-    out = F.regexp_replace(lowered, r"[\u0300-\u036F]+", "")
-    for pattern, letters in ((r"[ßæœþŋ]", LETTER_SPELLINGS), (r"[\u0370-\u03FF]", GREEK), (r"[\u0400-\u052F]", CYRILLIC)):
-        spelled = out
-        for letter, spelling in letters.items():
-            if len(spelling) != 1:
-                spelled = F.replace(spelled, F.lit(letter), F.lit(spelling))
-        out = F.when(lowered.rlike(pattern), spelled).otherwise(out)
+    latin = _spelled(F.regexp_replace(lowered, r"[\u0300-\u036F]+", ""), LETTER_SPELLINGS)
+    out = F.when(lowered.rlike(r"[\u0370-\u052F]"), _spelled(latin, GREEK | CYRILLIC)).otherwise(latin)
     source, target = _single_letter_map()
     return F.when(lowered.rlike(r"[^\x00-\x7F]"), F.translate(out, source, target)).otherwise(lowered)
 
 
+def _spelled(value: Column, letters: dict[str, str]) -> Column:
+    """Letters that are spelled with several, or with none."""
+    for letter, spelling in letters.items():
+        if len(spelling) != 1:
+            value = F.replace(value, F.lit(letter), F.lit(spelling))
+    return value
+
+
 def normalise_address(value: Column, keep_punctuation: bool = True, transliterate: bool = True) -> Column:
     """Canonical address text: lower case, single blanks, ASCII where a letter has an ASCII spelling; letters and
     digits of other scripts stay, so that different places keep different forms. Empty becomes null.
