@@ -50,3 +50,29 @@ def test_empty_table(documents):
 def test_no_python_in_the_plan(spark, tiny):
     plan = hs.op8(spark, tiny)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+@pytest.mark.parametrize("copies", [0, 700])
+def test_splitters_lie_where_the_prefix_sums_say(spark, copies):
+    docs = spark.range(2000).select(
+        F.col("id").alias("doc_id"),
+        F.when(F.col("id") < copies, F.lit("hot " * 9)).otherwise(F.repeat(F.concat(F.lit("w"), F.col("id").cast("string")), (F.col("id") % 13).cast("int"))).alias("text"),
+    )
+    keys = docs.select(hs.text_key().alias("text_key"), hs.id_key().alias("id_key"), hs.size().alias("size")).persist()
+    shards, tolerance = 7, 0.01
+    cuts = hs.splitters(keys, shards, tolerance)
+    rows = sorted(tuple(r) for r in keys.collect())
+    total = sum(size for _, _, size in rows)
+    assert len(cuts) == shards - 1 and cuts == sorted(cuts)
+    for i, cut in enumerate(cuts, 1):
+        target = total * i // shards
+        below = sum(size for text, id_, size in rows if (text, id_) < tuple(cut))
+        # Every boundary between two keys, by running sums over all rows in order.
+        sums, reached = [0], 0
+        for _, _, size in rows:
+            reached += size
+            sums.append(reached)
+        nearest = min(abs(s - target) for s in sums)
+        assert abs(below - target) <= max(tolerance * total / shards, nearest)
+        assert below in sums
+    keys.unpersist()
