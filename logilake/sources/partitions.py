@@ -242,9 +242,13 @@ def merge_batch(
 
 
 def _split_late(rows: DataFrame, stored: DataFrame, keys: list[str], newer: str) -> tuple[DataFrame, DataFrame]:
-    """Rows that are not older than the stored row of their key, and those that are."""
+    """Rows that are not older than the stored row of their key, and those that are.
+
+    Sort-merge joins only: most columns of stored tables are null, so their files say far too little of their rows, and
+    Spark would send all of a batch, or all stored keys, through the driver.
+    """
     known = stored.groupBy(*keys).agg(F.max(newer).alias("_stored"))
-    told = rows.join(known, keys, "left")
+    told = rows.hint("merge").join(known.hint("merge"), keys, "left")
     late = F.col("_stored").isNotNull() & (F.col(newer).isNull() | (F.col(newer) < F.col("_stored")))
     return told.where(~late).select(*rows.columns), told.where(late).select(*rows.columns)
 
@@ -308,7 +312,7 @@ def version_batch(
 def _parts_with_late_rows(stored: DataFrame, incoming: DataFrame, layout: Layout, as_of: Column) -> list[int]:
     """Partitions in which a key of the batch has a version that starts after it."""
     younger = stored.where(F.col("start_date") > F.to_date(as_of)).select(*layout.keys)
-    return _touched(incoming.join(younger, list(layout.keys), "left_semi"))
+    return _touched(incoming.hint("merge").join(younger.hint("merge"), list(layout.keys), "left_semi"))
 
 
 def compact(spark: SparkSession, base: str, batch: str, most: int = MOST_FOLDERS) -> State:

@@ -173,3 +173,16 @@ def test_rows_that_are_not_to_stay_go_and_emptied_parts_with_them(spark, tmp_pat
     assert rows(ps.read_state(spark, base)) == []
     put("b4", [(5, "z")])
     assert rows(ps.read_state(spark, base)) == [(5, "z")]
+
+
+def test_late_rows_are_told_without_a_broadcast(spark, tmp_path, rows):
+    """Files of mostly null columns look small: neither the batch nor the stored keys may go through the driver."""
+    base, layout = str(tmp_path / "t"), ps.Layout(("k",), 4)
+    first, second = batches(spark, [(i, "a", 5) for i in range(50)], [(3, "late", 1), (4, "new", 9), (99, "more", 1)])
+    state = ps.merge_batch(spark, first, base, layout, "b1", first_run=True)
+    stored = layout.dealt(ps.read_parts(spark, state))
+    fresh, late = ps._split_late(layout.dealt(second), stored, [ps.PART, "k"], "created")
+    for df in (fresh, late):
+        assert "Broadcast" not in df._jdf.queryExecution().executedPlan().toString()
+    assert rows(fresh, "k") == [(4,), (99,)]
+    assert rows(late, "k") == [(3,)]
