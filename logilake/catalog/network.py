@@ -99,18 +99,15 @@ def stored_lane_join(t: Tables) -> DataFrame:
     """,
 )
 def origin_fanout_mode(t: Tables) -> DataFrame:
-    """The fan-out mode of the trip fact itself, over the reverse lanes, counted per origin."""
+    """Trips of the fan-out mode over the reverse lanes, counted per origin; they are folded before the fan-out."""
     reverse = a.lane_use(t).select(
         F.col("dest_location_id").alias("origin_location_id"), F.col("origin_location_id").alias("dest_location_id")
     )
-    fan = facts.fact_trip(
-        a.delivery_header(t), a.delivery_address(t), a.locations(t), dims.distance_matrix(a.locations(t), reverse),
-        a.warehouse_locations(t), ON_TIME_MIN, "origin_fanout",
-    )
-    # Folded per lane first, so that distinct destinations need no list.
-    per_lane = fan.groupBy(*facts.LANE_KEYS).agg(F.count(F.lit(1)).alias("trips"), F.max("distance_km").alias("km"))
+    per_lane = facts.fanout_lanes(
+        a.delivery_header(t), a.delivery_address(t), a.locations(t), dims.distance_matrix(a.locations(t), reverse), a.warehouse_locations(t)
+    )
     return per_lane.groupBy("origin_location_id").agg(
-        F.sum("trips").alias("trips"), F.count(F.lit(1)).alias("destinations"), F.round(F.max("km"), 6).alias("farthest_km")
+        F.sum("trips").alias("trips"), F.count(F.lit(1)).alias("destinations"), F.round(F.max("distance_km"), 6).alias("farthest_km")
     )
 
 

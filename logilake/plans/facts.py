@@ -158,6 +158,20 @@ def trips_on_lanes(
     )
 
 
+def fanout_lanes(
+    header: DataFrame, address: DataFrame, location: DataFrame, lanes: DataFrame, warehouse: DataFrame | None = None
+) -> DataFrame:
+    """What ``origin_fanout`` trips come to per lane: their number, distance and duration.
+
+    Deliveries are counted per place before they meet the lanes. The trips themselves are deliveries times lanes of a
+    place, so their number grows with the square of the tables, this one's with the lanes.
+    """
+    trips = located_trips(header, address, location, warehouse, to_warehouse=False)
+    here = trips.groupBy(F.col("_place").alias("origin_location_id")).agg(F.count(F.lit(1)).alias("trips"))
+    fan = shortest_lanes(lanes).filter(F.col("dest_location_id").isNotNull() & text.non_blank(F.col("origin_location_id")))
+    return fan.join(here, "origin_location_id").select(*LANE_KEYS, "trips", "distance_km", "network_duration_min")
+
+
 # Header columns that can say when a delivery was due and when it arrived, best first, and the
 # spellings of documents, items and tasks. The spellings inside the functions of this module are fixed values too.
 PLANNED_COLUMNS = (

@@ -7,6 +7,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from logilake.catalog import adapters
 from logilake.operators.quality import coverage_summary
 from logilake.plans import dims, facts, gold, kpis, silver
 from logilake.sources import readers, sinks
@@ -278,6 +279,21 @@ def test_trip_takes_best_address_shortest_lane_and_eta(spark):
     ]
 
 
+def test_fanout_lanes_are_the_folded_fanout_trips(spark, rows):
+    header, address, location, lanes, warehouse, dest = lane_inputs(spark)
+    fan = facts.fact_trip(header, address, location, lanes, warehouse, lane_mode="origin_fanout")
+    folded = fan.groupBy(*facts.LANE_KEYS).agg(F.count(F.lit(1)).alias("trips"), F.max("distance_km").alias("distance_km"))
+    columns = (*facts.LANE_KEYS, "trips", "distance_km")
+    assert rows(facts.fanout_lanes(header, address, location, lanes, warehouse), *columns) == rows(folded, *columns)
+    assert rows(folded, "trips") == [(2,), (2,)]
+
+
+def test_lanes_are_paired_by_numbers_of_addresses(spark):
+    """Line items and orders meet without the ids of places, each of 64 letters."""
+    plan = adapters.lane_use(adapters.Tables(spark, "/root/testdata/sf0.001"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate [o#" in plan
+
+
 def test_routes_summary_falls_back_and_counts_tasks_once(spark):
     header, address, location, lanes, warehouse, dest = lane_inputs(spark)
     task = spark.createDataFrame(
