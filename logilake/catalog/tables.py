@@ -11,6 +11,7 @@ from logilake.catalog.registry import query
 from logilake.functions import dates
 from logilake.operators.schema import temporal_columns
 from logilake.plans import dims, facts, kpis
+from logilake.plans.facts import LANE_KEYS
 from logilake.sources import sinks
 
 # Minutes of tolerance for "on time": the test tables ship within days, not minutes.
@@ -159,16 +160,10 @@ def distance_matrix(t: Tables) -> DataFrame:
 )
 def distance_matrix_network(t: Tables) -> DataFrame:
     """Measured lanes win over the estimate, pair by pair."""
-    origin = a.supplier_places(t).select(F.col("key").alias("l_suppkey"), F.col("addr_hash").alias("origin_location_id"))
-    dest = a.customer_places(t).select(F.col("key").alias("o_custkey"), F.col("addr_hash").alias("dest_location_id"))
     seconds = F.col("l_quantity").cast("bigint") * 60
-    network = (
-        t.lineitem.filter("l_returnflag = 'A'")
-        .join(t.orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(origin, "l_suppkey")
-        .join(dest, "o_custkey")
-        .select("origin_location_id", "dest_location_id", seconds.alias("duration_s"), (seconds * 10).alias("distance_m"))
-    )
+    best = F.min(F.struct(seconds.alias("duration_s"), (seconds * 10).alias("distance_m")))
+    # Folded per pair of addresses before the ids are attached; the matrix takes the smallest again.
+    network = a.lane_figures(t, t.lineitem.filter("l_returnflag = 'A'"), best=best).select(*LANE_KEYS, "best.*")
     matrix = dims.distance_matrix(a.locations(t), a.lane_use(t), network)
     return matrix.withColumns({c: F.round(c, 6) for c in ("distance_km", "network_duration_min")})
 

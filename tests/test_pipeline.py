@@ -7,7 +7,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from logilake.catalog import adapters
+from logilake.catalog import adapters, all_queries
 from logilake.operators.quality import coverage_summary
 from logilake.plans import dims, facts, gold, kpis, silver
 from logilake.sources import readers, sinks
@@ -292,6 +292,8 @@ def test_lanes_are_paired_by_numbers_of_addresses(spark):
     """Line items and orders meet without the ids of places, each of 64 letters."""
     plan = adapters.lane_use(adapters.Tables(spark, "/root/testdata/sf0.001"))._jdf.queryExecution().optimizedPlan().toString()
     assert "Aggregate [o#" in plan
+    measured = all_queries()["distance_matrix_network"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert measured.count("Aggregate [o#") == 2
 
 
 def test_routes_summary_falls_back_and_counts_tasks_once(spark):
