@@ -71,9 +71,12 @@ def first_match_join(
 
     The choice is made row by row, so rows that only another key form can match are not lost. The distinct keys of
     the left side meet those of the right in one join on (stage, key), and nothing runs while the plan is built.
+    A semi-join needs no choice: the left rows meet the distinct keys of each form in turn.
     """
     if how not in ("inner", "left_semi"):
         raise ValueError("first_match_join supports inner and left_semi")
+    if how == "left_semi":
+        return _any_match(left, right, candidates)
     names = [f"_l{i}" for i in range(len(candidates))]
     lefts = left.withColumns({n: _stage_key([k for k, _ in keys]) for n, keys in zip(names, candidates)})
 
@@ -88,8 +91,6 @@ def first_match_join(
     hits = found.join(known, ["_stage", "_key"]).groupBy(*names).agg(F.min(F.struct("_stage", "_key")).alias("_hit"))
     hits = hits.withColumnsRenamed({n: f"{n}_h" for n in names})
     same = reduce(lambda x, y: x & y, [lefts[n].eqNullSafe(hits[f"{n}_h"]) for n in names])
-    if how == "left_semi":
-        return lefts.join(hits, same, "left_semi").drop(*names)
     chosen = lefts.join(hits, same).select(*left.columns, F.col("_hit._stage").alias("_ls"), F.col("_hit._key").alias("_lk"))
     keyed = rights.select(*right.columns, F.col("_p._stage").alias("_rs"), F.col("_p._key").alias("_rk"))
     joined = join_disambiguated(
@@ -98,6 +99,17 @@ def first_match_join(
     return joined.drop("_ls", "_lk", "_rs", "_rk")
 
 
+def _any_match(left: DataFrame, right: DataFrame, candidates: list[list[tuple[Column, Column]]]) -> DataFrame:
+    """Left rows that match by any of the key forms. Keys are computed where they are compared, so only the columns of
+    the left side travel, once per form."""
+    out = left
+    for i, keys in enumerate(candidates):
+        known = right.select(_stage_key([k for _, k in keys]).alias(f"_k{i}")).filter(f"_k{i} IS NOT NULL").distinct()
+        out = out.join(known, _stage_key([k for k, _ in keys]) == known[f"_k{i}"], "left")
+    matched = reduce(lambda x, y: x | y, [F.col(f"_k{i}").isNotNull() for i in range(len(candidates))])
+    return out.filter(matched).select(*left.columns)
+
+
 def _matching_points(lefts: DataFrame, rights: DataFrame, dims: int, tol: float) -> DataFrame:
     """Distinct point pairs closer than ``tol`` in each dimension, by an equi-join on grid cells.
 

@@ -270,7 +270,7 @@ def task_trips(
         text.document_number(column_or(i, null_of("string"), *DOCUMENT_COLUMNS).cast("string")).alias("idoc"),
         text.item_number(raw_item).alias("iitem"),
         text.lower_trim(raw_item).alias("iitem_s"),
-    ).distinct()
+    )
     numeric = [(F.col("doc"), F.col("idoc")), (F.col("item"), F.col("iitem"))]
     as_text = [(F.col("doc"), F.col("idoc")), (text.or_blank(F.col("item").cast("string")), F.col("iitem_s"))]
     matched = joins.first_match_join(tasks, items, [numeric, as_text], "left_semi")
