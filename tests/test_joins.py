@@ -104,3 +104,18 @@ def test_hot_group_is_cut_before_the_shuffle(spark):
     plan = dedupe.latest_by(df, ["k"], [F.desc("id")])
     assert "WindowGroupLimit" in plan._jdf.queryExecution().executedPlan().toString()
     assert {r.id for r in plan.collect()} == {998, 999}
+
+
+def test_semi_join_on_any_key_form_moves_the_left_side_once_per_form(spark, rows):
+    left = spark.createDataFrame([(1, "7", 7), (2, "x", None), (3, "y", 9), (4, None, None)], "id int, t string, n int")
+    right = spark.createDataFrame([("x", 1), ("x", 1), ("z", 9), (None, 7)], "rt string, rn int")
+    forms = [[(F.col("t"), F.col("rt"))], [(F.col("n"), F.col("rn"))]]
+    out = joins.first_match_join(left, right, forms, "left_semi")
+    assert rows(out, "id") == [(1,), (2,), (3,)]
+    assert out.columns == left.columns
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = out._jdf.queryExecution().sparkPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("Join") == 2
