@@ -4,6 +4,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from logilake.operators import quality
+from logilake.plans import silver
+from logilake.sources import readers
+from logilake.sources.entities import ENTITIES
 
 SCHEMA = "k string, d string, n string, v double"
 DATA = [
@@ -76,3 +79,14 @@ def test_classify_agrees_with_the_two_steps(spark, rows):
     shown = (*shown, "reject_reason")
     assert rows(one.reject, *shown) == rows(first.reject.unionByName(two.reject), *shown)
     assert judged.agg(*quality.batch_counts(judged)).first()[:] == (one.valid.count(), one.reject.count())
+
+
+def test_code_that_java_never_compiles_is_not_run(spark, tmp_path):
+    """The rules of a wide entity come to methods of over 8000 bytes, which Java would interpret row by row."""
+    (tmp_path / "a.json").write_text("")
+    entity = ENTITIES["sales_order"]
+    judged = silver.classify_records(readers.flatten_documents(readers.read_documents(spark, str(tmp_path), entity), entity), entity)
+    debug = getattr(getattr(spark._jvm.org.apache.spark.sql.execution.debug, "package$"), "MODULE$")
+    stages = debug.codegenStringSeq(judged._jdf.queryExecution().executedPlan())
+    largest = max(stages.apply(i)._3().maxMethodCodeSize() for i in range(stages.size()))
+    assert largest > 8000 >= int(spark.conf.get("spark.sql.codegen.hugeMethodLimit"))
