@@ -186,3 +186,22 @@ def test_late_rows_are_told_without_a_broadcast(spark, tmp_path, rows):
         assert "Broadcast" not in df._jdf.queryExecution().executedPlan().toString()
     assert rows(fresh, "k") == [(4,), (99,)]
     assert rows(late, "k") == [(3,)]
+
+
+def test_a_staged_batch_is_read_as_it_is_and_commits_take_one_task(spark, tmp_path, rows, monkeypatch):
+    layout, base = ps.Layout(("k",), 4), str(tmp_path / "t")
+    first, second = batches(spark, [(1, "a", 1), (2, "b", 1)], [(2, "c", 2), (3, "d", 2)])
+    ps.merge_batch(spark, first, base, layout, "b1", first_run=True)
+    staged = ps.stage_batch(second, layout)
+
+    def refused(*_):
+        raise AssertionError("made a second time, or from Python rows")
+
+    with monkeypatch.context() as patched:
+        patched.setattr(ps, "stage", refused)
+        patched.setattr(type(spark), "createDataFrame", refused)
+        assert ps.merge_batch(spark, staged, base, layout, "b2").counts["rows_in"] == 2
+    assert rows(ps.read_state(spark, base), "k", "v") == [(1, "a"), (2, "c"), (3, "d")]
+    # Who staged it still reads it, and discards it.
+    assert staged.rows.count() == 2
+    ps.discard(spark, staged)
