@@ -68,8 +68,14 @@ def lanes_by_shortest_way(t: Tables) -> DataFrame:
     return paths.fill_lanes(use, use.where("n % 7 = 0"))
 
 
-def stored_trips(t: Tables, buckets: int = 8) -> DataFrame:
-    """The trip fact from two tables of the catalog, stored in buckets of the lane."""
+def stored_trips(t: Tables, buckets: int | None = None) -> DataFrame:
+    """The trip fact from two tables of the catalog, stored in buckets of the lane.
+
+    A bucket is written and joined by one task, so their number follows that of the session's shuffles and of the tasks
+    that read the lines, which grows with them.
+    """
+    if buckets is None:
+        buckets = max(int(t.spark.conf.get("spark.sql.shuffle.partitions")), t.lineitem.rdd.getNumPartitions())
     trips = facts.located_trips(a.delivery_header(t), a.delivery_address(t), a.locations(t), a.warehouse_locations(t))
     for name, df in (("logi_located_trips", trips), ("logi_lanes", a.lanes(t))):
         sinks.publish_bucketed(df, name, work_dir(t.spark, name), facts.LANE_KEYS, buckets)

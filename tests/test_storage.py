@@ -36,6 +36,19 @@ def test_stored_tables_meet_without_an_exchange(spark):
             spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
+def test_buckets_follow_the_session(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "20")
+    try:
+        network.stored_trips(Tables(spark, "/root/testdata/sf0.001"))
+        shown = {r[0]: r[1] for r in spark.sql("DESCRIBE EXTENDED logi_located_trips").collect()}
+        assert shown["Num Buckets"] == "20"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        for name in ("logi_located_trips", "logi_lanes"):
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
 def test_rescued_fields_and_broken_documents(spark, tmp_path):
     entity = ENTITIES["sales_order"]
     (tmp_path / "a.json").write_text(
