@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from logilake.catalog import network, storage
 from logilake.catalog.adapters import Tables
-from logilake.session import discard, scratch, stage
+from logilake.session import configure, discard, scratch, stage
 from logilake.sources import readers
 from logilake.sources.entities import ENTITIES
 
@@ -49,6 +49,14 @@ def test_buckets_follow_the_session(spark):
             spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
+def test_what_a_task_reads_is_bounded_unless_the_session_says_otherwise(spark):
+    advisory, split = "spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.files.maxPartitionBytes"
+    other = spark.newSession()
+    other.conf.set(split, "1m")
+    configure(other)
+    assert (other.conf.get(advisory), other.conf.get(split)) == ("16m", "1m")
+
+
 def test_rescued_fields_and_broken_documents(spark, tmp_path):
     entity = ENTITIES["sales_order"]
     (tmp_path / "a.json").write_text(
