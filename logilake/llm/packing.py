@@ -11,8 +11,10 @@ is dealt out by the binary digits of its fill, since a sequence of a power of tw
 padded at all, and only documents in settled windows are cut beyond their full windows.
 
 Ids come from the tokenizers library with the caller's vocabulary file, read by the driver and sent as it is. Texts
-of Latin letters are cut into words here, by the vocabulary's own rules, and each word's ids are asked for once; other
-texts are encoded whole. Both give the library's ids (tested), the first in a third of the time.
+of Latin letters are cut at blanks by Arrow, some ``LOOKUP_BYTES`` of them at a time. What stands between blanks is cut
+into words by the vocabulary's own rules, once for all texts of that lot; a word's ids are asked for when it is first
+seen and kept for later lots and for later tasks of the same worker process. Other texts are encoded whole. Both give
+the library's ids (tested).
 
 Defined cases: a null or empty text is the end id alone. Rows that repeat an id or a text are documents of their own.
 Documents of any length are cut, never shortened. An empty table has no pieces. Only ``doc_id`` and ``text`` are
@@ -29,10 +31,11 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 
-from logilake.llm.bpe import vocabulary
+from logilake.llm.bpe import byte_letters, vocabulary
 from logilake.llm.common import query, table
 
 WINDOW = 4096
@@ -42,6 +45,7 @@ TASK_BITS = 40
 ID_BYTES = 4  # ids are little-endian unsigned 32-bit numbers
 
 KNOWN_WORDS, KNOWN_LENGTH = 500_000, 48
+LOOKUP_BYTES = 8 << 20
 
 # Fixed value: the vocabulary's words for texts whose characters are all below U+0250, after lower-casing (which gives
 # some letters beyond).
@@ -49,59 +53,94 @@ _LETTERS = "A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\u02af\u2c65\u2c66"
 _NUMBERS = "0-9\xb2\xb3\xb9\xbc-\xbe"
 _SPACES = "\t-\r \x85\xa0"
 _WORDS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[{_NUMBERS}]|[^{_SPACES}{_LETTERS}{_NUMBERS}]+").findall
-# What the word rules do not cover: other scripts, the one letter whose lower case is two characters, special strings.
+# What the word rules do not cover: other scripts, the one letter whose lower case is two characters, special strings,
+# and the four characters that Arrow takes for blanks and the vocabulary does not.
 _OTHER = re.compile("[^\x00-\u012f\u0131-\u024f]").search
+_BLANKS = "\x1c\x1d\x1e\x1f"
+# The vocabulary's letter for each byte; those of printable ASCII are its own.
+_LETTER_OF = dict(enumerate(byte_letters()))
 
 
 def _is_other(text: str) -> bool:
-    return "<|" in text or not text.isascii() and _OTHER(text) is not None
+    return "<|" in text or any(c in text for c in _BLANKS) or not text.isascii() and _OTHER(text) is not None
 
 
 def word_vocabulary(path: str) -> str:
     return vocabulary(path)
 
 
+class _Known(dict):
+    """Word -> its ids as bytes, asked for at first sight; a run of several words is put together and not kept. A full
+    table becomes ``older``, from which words that come again are taken back, so frequent words stay."""
+
+    def __init__(self, model):
+        self.model, self.older = model, {}
+
+    def __missing__(self, run: str) -> bytes:
+        ids = self.older.get(run)
+        if ids is None:
+            words = _WORDS(run)
+            if len(words) != 1:
+                return b"".join(map(self.__getitem__, words))
+            letters = run if run.isascii() and run.isprintable() else run.encode().decode("latin-1").translate(_LETTER_OF)
+            ids = _as_bytes([t.id for t in self.model.tokenize(letters)])
+        if len(run) <= KNOWN_LENGTH:
+            self.age()
+            self[run] = ids
+        return ids
+
+    def age(self) -> None:
+        if len(self) >= KNOWN_WORDS:
+            self.older = dict(self)
+            self.clear()
+
+
+def _as_bytes(ids: list[int]) -> bytes:
+    return np.array(ids, "<u4").tobytes()
+
+
 class Words:
     """Ids of texts as bytes, by the library, with a table of known words that is bounded in entries and in bytes."""
 
     def __init__(self, content: str):
-        from tokenizers import Tokenizer, normalizers, pre_tokenizers
+        from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(content)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        # The same vocabulary for words that are lower-cased and cut already.
-        self.of_words = Tokenizer.from_str(content)
-        self.of_words.no_truncation()
-        self.of_words.no_padding()
-        self.of_words.normalizer = normalizers.Sequence([])
-        self.of_words.pre_tokenizer = pre_tokenizers.Sequence(
-            [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
-        )
-        self.known: dict[str, bytes] = {}
-
-    def _learn(self, words: set[str]) -> dict[str, bytes]:
-        """Ids of words, which the library keeps apart when they stand between blanks."""
-        ordered = list(words)
-        found = self.of_words.encode(" ".join(ordered), add_special_tokens=False)
-        ids = np.array(found.ids, "<u4").tobytes()
-        edges = (ID_BYTES * np.searchsorted(np.array(found.word_ids), np.arange(len(ordered) + 1))).tolist()
-        return {w: ids[a:b] for w, a, b in zip(ordered, edges, edges[1:])}
-
-    def encode(self, texts: list[str | None]) -> list[bytes]:
+        self.known = _Known(self.tokenizer.model)
+
+    def encode(self, texts: list[str | None] | pa.Array) -> list[bytes]:
         """Ids of each text, one after the other."""
-        cut = [[] if not t else None if _is_other(t) else _WORDS(t.lower()) for t in texts]
-        if len(self.known) > KNOWN_WORDS:
-            self.known.clear()
-        new = set().union(*filter(None, cut)).difference(self.known)
-        learned = self._learn(new) if new else {}
-        self.known |= {w: i for w, i in learned.items() if len(w) <= KNOWN_LENGTH}
-        long = {w: i for w, i in learned.items() if len(w) > KNOWN_LENGTH}
-        of = self.known.__getitem__ if not long else (self.known | long).__getitem__
-        return [self._whole(t) if words is None else b"".join(map(of, words)) for t, words in zip(texts, cut, strict=True)]
+        texts = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
+        self.known.age()
+        whole = {at: self._whole(t) for at, t in enumerate(texts.to_pylist()) if t and _is_other(t)}
+        if whole:
+            texts = pc.if_else(pa.array([at in whole for at in range(len(texts))]), pa.scalar(None, texts.type), texts)
+        cut = self._cut(texts)
+        return [whole.get(at, ids) for at, ids in enumerate(cut)] if whole else cut
+
+    def _cut(self, texts: pa.Array) -> list[bytes]:
+        """Ids by words. What stands between blanks, where no word reaches across, is looked up once for all texts."""
+        runs = pc.utf8_split_whitespace(pc.utf8_lower(pc.fill_null(texts, "")))
+        distinct = runs.values.dictionary_encode()
+        of_run = list(map(self.known.__getitem__, distinct.dictionary.to_numpy(zero_copy_only=False).tolist()))
+        ids, sizes = np.frombuffer(b"".join(of_run), "<u4"), np.fromiter(map(len, of_run), np.int64, len(of_run)) // ID_BYTES
+        run = distinct.indices.to_numpy()
+        ends = np.concatenate([[0], np.cumsum(sizes[run])])
+        shift = ((np.cumsum(sizes) - sizes)[run] - ends[:-1]).astype(np.int32)  # ids are fewer than an Arrow array's bytes
+        found = ids[np.repeat(shift, sizes[run]) + np.arange(ends[-1], dtype=np.int32)].tobytes()
+        edges = (ID_BYTES * ends[runs.offsets.to_numpy()]).tolist()
+        return [found[a:b] for a, b in zip(edges, edges[1:])]
 
     def _whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        return _as_bytes(self.tokenizer.encode(text, add_special_tokens=False).ids)
+
+
+def _shared_words(shared: dict) -> Words:
+    if "words" not in shared:
+        shared["words"] = Words(shared["vocabulary"])
+    return shared["words"]
 
 
 class Piece(NamedTuple):
@@ -238,20 +277,34 @@ def _offsets(held: list[Piece]) -> Iterator[tuple[Piece, int]]:
         at += piece.size
 
 
+def _together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches joined to some ``LOOKUP_BYTES``, since a run is looked up once in each."""
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.nbytes
+        if size >= LOOKUP_BYTES:
+            yield pa.concat_batches(held)
+            held, size = [], 0
+    if held:
+        yield pa.concat_batches(held)
+
+
 def pack(
     docs: DataFrame, path: str, window: int = WINDOW, end: int = END, with_ids: bool = False, open_windows: int = OPEN
 ) -> DataFrame:
     """One row per piece: its document, place there, digest, sequence and place there, and on demand its ids."""
-    content = docs.sparkSession.sparkContext.broadcast(word_vocabulary(path))
+    # A worker process holds one copy of what is sent, so its tasks share the words that they learn.
+    shared = docs.sparkSession.sparkContext.broadcast({"vocabulary": word_vocabulary(path)})
     end_bytes = end.to_bytes(ID_BYTES, "little")
 
     def run(batches):
-        words, packer = Words(content.value), Packer(window, open_windows)
+        words, packer = _shared_words(shared.value), Packer(window, open_windows)
         sequence = TaskContext.get().partitionId() << TASK_BITS
         kind = None
-        for batch in batches:
+        for batch in _together(batches):
             kind = batch.schema.field(0).type
-            encoded = words.encode(batch.column(1).to_pylist())
+            encoded = words.encode(batch.column(1))
             for doc, ids in zip(batch.column(0).to_pylist(), encoded, strict=True):
                 packer.add(doc, ids + end_bytes)
             if packer.done:

@@ -2,6 +2,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -67,6 +68,50 @@ def test_ids_are_the_librarys():
     assert len(words.known) < 10
 
 
+def test_a_run_is_looked_up_once_for_many_texts():
+    with open(packing.default_path(), encoding="utf-8") as file:
+        words = packing.Words(file.read())
+    asked = []
+
+    class Counted(type(words.known)):
+        def __missing__(self, run):
+            asked.append(run)
+            return super().__missing__(run)
+
+    words.known = Counted(words.known.model)
+    batch = ["One, two", None, "two one, \x1fthree", "one, TWO\x1cthree", "", "two\x85one,\xa0\x00three"] * 50
+    for _ in range(2):
+        for text, ids in zip(batch, words.encode(batch), strict=True):
+            assert np.frombuffer(ids, "<u4").tolist() == library_ids(text)[:-1]
+    # The words of the texts without odd blanks; the runs of several words are put together once per call.
+    assert sorted(asked) == sorted(["", "one,", "\x00three"] * 2 + ["one", ",", "two", "\x00", "three"])
+
+
+def test_frequent_words_outlive_a_full_table(monkeypatch):
+    with open(packing.default_path(), encoding="utf-8") as file:
+        words = packing.Words(file.read())
+    monkeypatch.setattr(packing, "KNOWN_WORDS", 5)
+    words.encode(["a b c d e"])
+    words.known["a"] = words.known.older["a"] = b"kept"
+    assert words.encode(["f a"])[0].endswith(b"kept") and words.encode(["g h i a"])[0].endswith(b"kept")
+    assert len(words.known) <= 5 and len(words.known.older) <= 5
+
+
+def test_lots_keep_rows_and_their_order():
+    batches = [pa.record_batch({"doc_id": [k, k + 1], "text": [None, "x" * size]}) for k, size in ((0, 3), (2, packing.LOOKUP_BYTES), (4, 0))]
+    lots = list(packing._together(iter(batches)))
+    assert [lot.column(0).to_pylist() for lot in lots] == [[0, 1, 2, 3], [4, 5]]
+    assert list(packing._together(iter([]))) == []
+
+
+def test_tasks_of_a_worker_share_what_they_learn():
+    """What a worker process holds of a broadcast stays between its tasks."""
+    shared = {"vocabulary": packing.word_vocabulary(packing.default_path())}
+    first = packing._shared_words(shared)
+    first.encode(["some words"])
+    assert packing._shared_words(shared) is first and {"some", "words"} <= set(first.known)
+
+
 def test_choice_is_the_one_of_the_rule():
     """The level array's choice against sums of squares that are counted anew."""
     rng = random.Random(3)
