@@ -11,7 +11,7 @@ is dealt out by the binary digits of its fill, since a sequence of a power of tw
 padded at all, and only documents in settled windows are cut beyond their full windows.
 
 Ids come from the tokenizers library with the caller's vocabulary file, read by the driver and sent as it is. Texts
-of Latin letters are cut at blanks by Arrow, some ``LOOKUP_BYTES`` of them at a time. What stands between blanks is cut
+of Latin letters are cut at blanks by Arrow, up to ``LOOKUP_BYTES`` of them at a time. What stands between blanks is cut
 into words by the vocabulary's own rules, once for all texts of that lot; a word's ids are asked for when it is first
 seen and kept for later lots and for later tasks of the same worker process. Other texts are encoded whole. Both give
 the library's ids (tested).
@@ -45,7 +45,7 @@ TASK_BITS = 40
 ID_BYTES = 4  # ids are little-endian unsigned 32-bit numbers
 
 KNOWN_WORDS, KNOWN_LENGTH = 500_000, 48
-LOOKUP_BYTES = 8 << 20
+LOOKUP_BYTES = 12 << 20
 
 # Fixed value: the vocabulary's words for texts whose characters are all below U+0250, after lower-casing (which gives
 # some letters beyond).
@@ -278,14 +278,14 @@ def _offsets(held: list[Piece]) -> Iterator[tuple[Piece, int]]:
 
 
 def _together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Batches joined to some ``LOOKUP_BYTES``, since a run is looked up once in each."""
+    """Batches joined to at most ``LOOKUP_BYTES``, since a run is looked up once in each; a larger batch stays as it is."""
     held, size = [], 0
     for batch in batches:
-        held.append(batch)
-        size += batch.nbytes
-        if size >= LOOKUP_BYTES:
+        if held and size + batch.nbytes > LOOKUP_BYTES:
             yield pa.concat_batches(held)
             held, size = [], 0
+        held.append(batch)
+        size += batch.nbytes
     if held:
         yield pa.concat_batches(held)
 

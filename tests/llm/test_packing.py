@@ -98,9 +98,10 @@ def test_frequent_words_outlive_a_full_table(monkeypatch):
 
 
 def test_lots_keep_rows_and_their_order():
-    batches = [pa.record_batch({"doc_id": [k, k + 1], "text": [None, "x" * size]}) for k, size in ((0, 3), (2, packing.LOOKUP_BYTES), (4, 0))]
+    sizes = (3, 4, packing.LOOKUP_BYTES, 0, 5)
+    batches = [pa.record_batch({"doc_id": [2 * k, 2 * k + 1], "text": [None, "x" * size]}) for k, size in enumerate(sizes)]
     lots = list(packing._together(iter(batches)))
-    assert [lot.column(0).to_pylist() for lot in lots] == [[0, 1, 2, 3], [4, 5]]
+    assert [lot.column(0).to_pylist() for lot in lots] == [[0, 1, 2, 3], [4, 5], [6, 7, 8, 9]]
     assert list(packing._together(iter([]))) == []
 
 
