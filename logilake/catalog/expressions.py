@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import replace
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from logilake.catalog import adapters as a
@@ -77,6 +77,11 @@ _NORM_SQL = "trim(regexp_replace(regexp_replace(lower(strip_accents(replace(text
 _LOOSE_SQL = "trim(regexp_replace(regexp_replace(lower(strip_accents(replace(text, 'ß', 'ss'))), '[^a-z0-9\\s]', ' ', 'g'), '\\s+', ' ', 'g'))"
 
 
+def _or_empty(norm: Column, value: Column) -> Column:
+    """The empty normal form of a text without letters or digits; only a missing text has none."""
+    return F.coalesce(norm, F.when(value.isNotNull(), F.lit("")))
+
+
 @query(
     "address_norm_hash",
     f"""
@@ -89,7 +94,7 @@ def address_norm_hash(t: Tables) -> DataFrame:
     # The file has one row group: the rows are spread before the costly part, and both forms share the spelling.
     spelled = t.documents.select("doc_id", "text").repartition("doc_id").select("doc_id", text.to_ascii(F.lower("text")).alias("spelled"))
     norm, loose = text.normalise_ascii(F.col("spelled")), text.normalise_ascii(F.col("spelled"), keep_punctuation=False)
-    rows = spelled.select("doc_id", norm.alias("norm"), loose.alias("loose"))
+    rows = spelled.select("doc_id", *[_or_empty(form, F.col("spelled")).alias(name) for name, form in (("norm", norm), ("loose", loose))])
     return rows.select(
         "doc_id",
         F.length("norm").cast("bigint").alias("norm_length"),
@@ -515,11 +520,11 @@ def merge_preserve_created(t: Tables) -> DataFrame:
 )
 def cache_first_wins(t: Tables) -> DataFrame:
     """English texts are in the cache, the others come new; the earliest text of each normal form stays."""
-    rows = t.documents.select(
-        "doc_id", "source", "lang", text.address_hash(text.normalise_address(F.col("text"))).alias("addr_hash")
-    )
-    english = F.col("lang") == "en"
-    merged = state.first_wins_upsert(rows.filter(english), rows.filter(~english), "addr_hash", [F.asc("doc_id")])
+    norm = _or_empty(text.normalise_address(F.col("text")), F.col("text"))
+    rows = t.documents.select("doc_id", "source", "lang", text.address_hash(norm).alias("addr_hash"))
+    english = F.col("lang").eqNullSafe("en")
+    order = [F.asc_nulls_last("doc_id"), F.asc_nulls_last("source")]
+    merged = state.first_wins_upsert(rows.filter(english), rows.filter(~english), "addr_hash", order)
     return merged.select("addr_hash", "doc_id", "source")
 
 
