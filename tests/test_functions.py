@@ -102,3 +102,12 @@ def test_haversine(spark):
     assert none is None
     assert km == pytest.approx(3.141592653589793 * 6371.0)
     assert value(spark, geo.travel_minutes(F.col("a")), [(25.0,)], "a double") == 30.0
+
+
+def test_packed_ids(spark):
+    ids = ["", "a", "ab", "0AB1", "ewm:wh1", "é", "ff" * 32, "0g", "00", "a" * 10_001, None]
+    rows = spark.createDataFrame([(i,) for i in ids], "id string").withColumn("packed", text.packed_id(F.col("id")))
+    got = rows.select("id", "packed", text.unpacked_id(F.col("packed")).alias("back")).collect()
+    assert [r.back for r in got] == ids
+    assert len({bytes(r.packed) for r in got if r.packed is not None}) == len(ids) - 1
+    assert len(got[6].packed) == 33
